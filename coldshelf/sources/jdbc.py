@@ -17,18 +17,20 @@ from coldshelf.functions.naming import jdbc_name
 
 POSTGRES_DRIVER = "org.postgresql.Driver"
 
-# Types whose values order the same way in the database and can be written
-# back as a literal without loss. Zoned timestamps and floats are left out.
-_KEY_TYPES = (
+# Types whose values can be compared in the database and written back as a
+# literal without loss. Zoned timestamps and floats are left out.
+_NUMBER_AND_TIME = (
     T.ByteType,
     T.ShortType,
     T.IntegerType,
     T.LongType,
     T.DecimalType,
-    T.StringType,
     T.DateType,
     T.TimestampNTZType,
 )
+_KEY_TYPES = (*_NUMBER_AND_TIME, T.StringType)
+
+_MAX_PARTITIONS = 20_000
 
 
 @dataclass(frozen=True)
@@ -134,7 +136,6 @@ def scan(
     relation: str,
     key_columns: Sequence[str] | None = None,
     rows_per_partition: int | None = None,
-    max_partitions: int = 20_000,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Whole table as a lazy DataFrame, one database query per partition.
@@ -143,17 +144,58 @@ def scan(
     (:func:`key_ranges`); without them it is one partition. ``options`` are
     passed to the reader (``customSchema`` for a bare numeric, for example).
     """
+    ranges = key_ranges(spark, connection, relation, key_columns, rows_per_partition) if key_columns else []
+    return _read(spark, connection, relation, ranges, options)
+
+
+def scan_table(
+    spark: SparkSession,
+    connection: Connection,
+    schema: str,
+    table: str,
+    key_columns: Sequence[str] | None = None,
+    rows_per_partition: int | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Whole source table, read by its quoted name.
+
+    A PostgreSQL table without ``key_columns`` is read in ranges of its pages
+    (:func:`page_ranges`), so that no table is one task's work for want of a key.
+    """
+    relation = jdbc_name(schema, table)
+    if key_columns or connection.driver != POSTGRES_DRIVER:
+        return scan(spark, connection, relation, key_columns, rows_per_partition, options)
+    return _read(spark, connection, relation, page_ranges(spark, connection, relation), options)
+
+
+def _read(
+    spark: SparkSession,
+    connection: Connection,
+    relation: str,
+    ranges: Sequence[str],
+    options: Mapping[str, str] | None,
+) -> DataFrame:
     options = {**connection.options(), **(options or {})}
-    if not key_columns:
+    if len(ranges) < 2:
         return spark.read.format("jdbc").options(**options).option("dbtable", relation).load()
-    ranges = key_ranges(spark, connection, relation, key_columns, rows_per_partition, max_partitions)
     url = options.pop("url")
-    return spark.read.jdbc(url, relation, predicates=ranges, properties=options)
+    return spark.read.jdbc(url, relation, predicates=list(ranges), properties=options)
 
 
-def scan_table(spark: SparkSession, connection: Connection, schema: str, table: str, **scan_options) -> DataFrame:
-    """Whole source table, read by its quoted name."""
-    return scan(spark, connection, jdbc_name(schema, table), **scan_options)
+def page_ranges(
+    spark: SparkSession, connection: Connection, relation: str, pages_per_partition: int = 32_768
+) -> list[str]:
+    """Predicates that split a PostgreSQL table by the pages its rows lie in.
+
+    Balanced whatever the data, and planned without reading the table. Views
+    and partitioned parents have no pages of their own and stay in one part.
+    """
+    size = f"SELECT pg_relation_size({_literal(relation)}::regclass) / current_setting('block_size')::bigint AS pages"
+    pages = _query(spark, connection, size).first()[0] or 0
+    step = max(pages_per_partition, -(-pages // _MAX_PARTITIONS))
+    starts = list(range(0, pages, step))
+    predicates = [f"ctid >= '({low},0)'::tid AND ctid < '({high},0)'::tid" for low, high in zip(starts, starts[1:])]
+    return [*predicates, *(f"ctid >= '({low},0)'::tid" for low in starts[-1:])]
 
 
 def key_ranges(
@@ -162,32 +204,32 @@ def key_ranges(
     relation: str,
     key_columns: Sequence[str],
     rows_per_partition: int | None = None,
-    max_partitions: int = 20_000,
 ) -> list[str]:
     """Predicates that split a table into disjoint parts of about equal size.
 
     The boundaries are every n-th key, found in the database, so gaps and
     clusters in the key do not matter. A value that alone fills several parts
-    (a hot key) is split again by the next key column and then by the table's
-    other columns. Together the predicates hold for every row exactly once,
-    whatever rows arrive after planning: the outer ranges are open and NULL has
-    a part of its own. Only the boundaries come to the driver, at most about
-    ``max_partitions`` of them.
+    (a hot key) is split again by the next key column, and after the last one
+    by the table's other number and time columns. Together the predicates hold
+    for every row exactly once, whatever rows arrive after planning: the outer
+    ranges are open and NULL has a part of its own. Only the boundaries come to
+    the driver, some ten thousand of them for the largest table.
+
+    Without ``rows_per_partition`` the rows are counted first, and parts hold
+    50,000 to a million rows, or more if there would be too many parts.
     """
-    schema = scan(spark, connection, relation).schema
-    fields = {f.name.lower(): f for f in schema.fields}
-    key = [fields[name.lower()].name for name in key_columns]
-    for name in key:
-        if not isinstance(fields[name.lower()].dataType, _KEY_TYPES):
-            raise ValueError(f"column {name} cannot split a scan: {fields[name.lower()].dataType.simpleString()}")
-    others = [f.name for f in schema.fields if isinstance(f.dataType, _KEY_TYPES) and f.name not in key]
-    planner = _RangePlanner(spark, connection, relation, max_partitions)
-    total, _ = planner.count(key[0], None)
+    columns = {f.name.lower(): f for f in scan(spark, connection, relation).schema.fields}
+    key = [columns[name.lower()] for name in key_columns]
+    for column in key:
+        if not isinstance(column.dataType, _KEY_TYPES):
+            raise ValueError(f"column {column.name} cannot split a scan: {column.dataType.simpleString()}")
+    others = [f for f in columns.values() if f not in key and isinstance(f.dataType, _NUMBER_AND_TIME)]
     if rows_per_partition is None:
-        slots = spark.sparkContext.defaultParallelism
-        rows_per_partition = min(max(total // slots, 50_000), 1_000_000)
-    planner.step = max(rows_per_partition, -(-total // max_partitions), 1)
-    return list(planner.split([*key, *others], None))
+        total = _query(spark, connection, f"SELECT COUNT(*) AS n FROM {relation}").first()[0]
+        even = total // spark.sparkContext.defaultParallelism
+        rows_per_partition = max(min(max(even, 50_000), 1_000_000), -(-total // _MAX_PARTITIONS))
+    planner = _RangePlanner(spark, connection, relation, max(rows_per_partition, 1))
+    return list(planner.split([f.name for f in [*key, *others]]))
 
 
 class _RangePlanner:
@@ -199,58 +241,41 @@ class _RangePlanner:
         self.relation = relation
         self.step = step
 
-    def split(self, columns: Sequence[str], within: str | None) -> Iterator[str]:
+    def split(self, columns: Sequence[str], within: str | None = None) -> Iterator[str]:
         if not columns:
-            # Rows equal in every column that could tell them apart.
+            # Rows alike in every column that could tell them apart.
             yield within or "1 = 1"
             return
         name, rest = jdbc_name(columns[0]), columns[1:]
-        rows, nulls = self.count(columns[0], within)
-        yield from self._equal(f"{name} IS NULL", rest, within, nulls > self.step)
-        if rows - nulls <= self.step:
-            yield _both(within, f"{name} IS NOT NULL")
-            return
-        seen = Counter(self.boundaries(columns[0], within))
-        low = None
-        for value, times in seen.items():
+        empty = _both(within, f"{name} IS NULL")
+        nulls = _query(self.spark, self.connection, f"SELECT COUNT(*) AS n FROM {self.relation} WHERE {empty}")
+        yield from self.split(rest, empty) if nulls.first()[0] > self.step else [empty]
+        # A boundary found more than once is a value that fills several parts.
+        low = f"{name} IS NOT NULL"
+        for value, times in Counter(self.boundaries(name, within)).items():
             bound = _literal(value)
             yield _both(within, low, f"{name} < {bound}")
+            low = f"{name} >= {bound}"
             if times > 1:
-                yield from self._equal(f"{name} = {bound}", rest, within, True)
+                yield from self.split(rest, _both(within, f"{name} = {bound}"))
                 low = f"{name} > {bound}"
-            else:
-                low = f"{name} >= {bound}"
-        yield _both(within, low or f"{name} IS NOT NULL")
-
-    def _equal(self, test: str, rest: Sequence[str], within: str | None, large: bool) -> Iterator[str]:
-        """Rows sharing one value: split further if they fill several parts."""
-        if large:
-            yield from self.split(rest, _both(within, test))
-        else:
-            yield _both(within, test)
-
-    def count(self, column: str, within: str | None) -> tuple[int, int]:
-        """Rows, and rows where the column is NULL."""
-        row = self._query(f"SELECT COUNT(*) AS n, COUNT({jdbc_name(column)}) AS k FROM {self._rows(within)}").first()
-        return row[0], row[0] - row[1]
+        yield _both(within, low)
 
-    def boundaries(self, column: str, within: str | None) -> list:
+    def boundaries(self, name: str, within: str | None) -> list:
         """Every ``step``-th value of a column, in the database's own order."""
-        name = jdbc_name(column)
-        rows = self._rows(_both(within, f"{name} IS NOT NULL"))
+        rows = f"{self.relation} WHERE {_both(within, f'{name} IS NOT NULL')}"
         if self.connection.window_order:
             numbered = f"SELECT {name}, ROW_NUMBER() OVER (ORDER BY {name}) AS rn FROM {rows}"
         else:
             ordered = f"SELECT {name} FROM {rows} ORDER BY {name}"
             numbered = f"SELECT {name}, ROW_NUMBER() OVER () AS rn FROM ({ordered}) o"
-        found = self._query(f"SELECT {name}, rn FROM ({numbered}) q WHERE MOD(rn, {self.step}) = 0")
-        return [value for value, _ in sorted(found.collect(), key=lambda row: row[1])]
+        nth = f"SELECT {name}, rn FROM ({numbered}) q WHERE MOD(rn, {self.step}) = 0"
+        found = _query(self.spark, self.connection, nth).collect()
+        return [value for value, _ in sorted(found, key=lambda row: row[1])]
 
-    def _rows(self, within: str | None) -> str:
-        return f"{self.relation} WHERE {within}" if within else self.relation
 
-    def _query(self, sql: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.connection.options()).option("query", sql).load()
+def _query(spark: SparkSession, connection: Connection, sql: str) -> DataFrame:
+    return spark.read.format("jdbc").options(**connection.options()).option("query", sql).load()
 
 
 def _both(*tests: str | None) -> str:
