@@ -1,0 +1,193 @@
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from coldshelf.functions.naming import jdbc_name
+from coldshelf.sources import jdbc
+from coldshelf.sources.jdbc import (
+    POSTGRES_DRIVER,
+    Connection,
+    inventory,
+    key_ranges,
+    page_ranges,
+    primary_keys,
+    resolve_connection,
+    scan,
+    scan_table,
+)
+from compare import spark_rows
+from workload.data import load, load_catalog
+
+
+def check_split(spark, source, relation, key, rows, step):
+    """The parts hold every row once, and none is much larger than ``step``."""
+    whole = scan(spark, source, relation)
+    split = scan(spark, source, relation, key, step)
+    assert spark_rows(split) == spark_rows(whole)
+    ranges = key_ranges(spark, source, relation, key, step)
+    assert len(set(ranges)) == len(ranges)
+    sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == rows
+    return max(sizes), ranges
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_key_ranges_hold_each_row_once(spark, source, seed):
+    rng = random.Random(seed)
+    values = {
+        "i": lambda: rng.choice([None, 7, 7, 7, rng.randint(-50, 1000)]),
+        "s": lambda: rng.choice(["(null)", "hot'key", "hot'key", "", rng.choice("abcXYZé") * rng.randint(1, 3)]),
+        "d": lambda: dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 400)),
+        "t": lambda: dt.datetime(2020, 1, 1) + dt.timedelta(microseconds=rng.randint(0, 10**9)),
+        "m": lambda: Decimal(rng.randint(-500, 500)) / 100,
+    }
+    rows = [(n, *(make() for make in values.values())) for n in range(1500)]
+    df = spark.createDataFrame(rows, "n int, i int, s string, d date, t timestamp_ntz, m decimal(10,2)")
+    load(spark, source, df, "skewed")
+    # The writer cannot send a NULL text to this database.
+    opened = spark._jvm.java.sql.DriverManager.getConnection(source.url)
+    assert opened.createStatement().executeUpdate("UPDATE skewed SET \"s\" = NULL WHERE \"s\" = '(null)'") > 200
+    for key in (["i"], ["s"], ["d"], ["t"], ["m"], ["s", "i"], ["i", "s", "d"]):
+        largest, _ = check_split(spark, source, "skewed", [k for k in key], 1500, 100)
+        # ``n`` tells all rows apart, so even hot values and NULLs are split.
+        assert largest <= 200, key
+
+
+def test_hot_key_is_split_by_the_next_column(spark, source):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 42).otherwise(F.col("id")).cast("int").alias("k"), (F.col("id") % 100).alias("n")
+    )
+    load(spark, source, df, "hot")
+    largest, ranges = check_split(spark, source, "hot", ["k", "n"], 3000, 100)
+    assert largest <= 200
+    assert any(r.startswith('"k" = 42 AND "n" >=') for r in ranges)
+
+
+def test_identical_rows_stay_together(spark, source):
+    load(spark, source, spark.range(500).select(F.lit(1).alias("k")), "same")
+    largest, _ = check_split(spark, source, "same", ["k"], 500, 100)
+    assert largest == 500
+
+
+def test_rows_that_arrive_after_planning_are_read(spark, source):
+    df = spark.createDataFrame([(i,) for i in range(1000)], "k bigint")
+    load(spark, source, df, "growing")
+    split = scan(spark, source, "growing", ["k"], 100)
+    late = spark.createDataFrame([(-5,), (450,), (99999,), (None,)], "k bigint")
+    late.write.format("jdbc").options(**source.options()).option("dbtable", "growing").mode("append").save()
+    assert split.count() == 1004
+
+
+def test_default_part_sizes(spark, source):
+    load(spark, source, spark.range(120_000).select(F.col("id").alias("k")), "many")
+    split = scan(spark, source, "many", ["k"])
+    sizes = sorted(r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == 120_000 and max(sizes) <= 50_000
+    load(spark, source, spark.range(10).select(F.col("id").alias("k")), "few")
+    assert scan(spark, source, "few", ["k"]).count() == 10
+
+
+def test_key_must_be_comparable(spark, source):
+    load(spark, source, spark.range(3).select(F.col("id").cast("double").alias("x")), "floats")
+    with pytest.raises(ValueError, match="cannot split"):
+        key_ranges(spark, source, "floats", ["x"])
+
+
+def test_empty_table(spark, source):
+    load(spark, source, spark.createDataFrame([], "k int, s string"), "empty")
+    assert scan(spark, source, "empty", ["k"], 10).count() == 0
+
+
+def test_quotes_in_a_table_name(spark, source):
+    load(spark, source, spark.range(5).select(F.col("id").alias("k")), jdbc_name("odd", 'a"b'))
+    assert scan_table(spark, source, "odd", 'a"b').count() == 5
+    assert scan_table(spark, source, "odd", 'a"b', key_columns=["k"], rows_per_partition=2).count() == 5
+
+
+def test_inventory_pushes_the_schema_list(spark, source):
+    rows = [("public", "a"), ("public", "b"), ("audit", "c"), ("Public", "d")]
+    load(spark, source, spark.createDataFrame(rows, "TABLE_SCHEMA string, TABLE_NAME string"), "INFORMATION_SCHEMA.TABLES")
+    found = inventory(spark, source, ["public", "audit"])
+    assert found.columns == ["table_schema", "table_name"]
+    assert sorted(tuple(r) for r in found.collect()) == [("audit", "c"), ("public", "a"), ("public", "b")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*In(TABLE_SCHEMA, [audit,public])]" in plan
+    with pytest.raises(ValueError):
+        inventory(spark, source, [])
+
+
+def test_primary_keys(spark, source):
+    load_catalog(spark, source, ["orders", "lineitem"])
+    keys = {r.table_name: r.key_columns for r in primary_keys(spark, source, ["main"]).collect()}
+    assert keys == {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]}
+
+
+def test_page_ranges(spark, monkeypatch):
+    postgres = Connection(url="jdbc:postgresql://h/d")
+    asked = []
+
+    def answer(pages):
+        def query(spark_, connection, sql):
+            asked.append(sql)
+            return spark.createDataFrame([(pages,)], "pages bigint")
+
+        monkeypatch.setattr(jdbc, "_query", query)
+
+    answer(70_000)
+    assert page_ranges(spark, postgres, '"s"."it\'s"') == [
+        "ctid >= '(0,0)'::tid AND ctid < '(32768,0)'::tid",
+        "ctid >= '(32768,0)'::tid AND ctid < '(65536,0)'::tid",
+        "ctid >= '(65536,0)'::tid",
+    ]
+    assert "'\"s\".\"it''s\"'::regclass" in asked[0]
+    answer(10)
+    assert page_ranges(spark, postgres, "t") == ["ctid >= '(0,0)'::tid"]
+    for pages in (0, None):
+        answer(pages)
+        assert page_ranges(spark, postgres, "v") == []
+    answer(10**10)
+    assert len(page_ranges(spark, postgres, "huge")) == 20_000
+
+
+def test_ordered_numbering_differs_by_database(spark, monkeypatch):
+    seen = []
+
+    def query(spark_, connection, sql):
+        seen.append(sql)
+        return spark.createDataFrame([], "k int, rn bigint")
+
+    monkeypatch.setattr(jdbc, "_query", query)
+    jdbc._RangePlanner(spark, Connection(url="x"), '"s"."t"', 10).boundaries('"k"', None)
+    assert seen[0] == (
+        'SELECT "k", rn FROM (SELECT "k", ROW_NUMBER() OVER (ORDER BY "k") AS rn FROM "s"."t" '
+        'WHERE "k" IS NOT NULL) q WHERE MOD(rn, 10) = 0'
+    )
+
+
+def test_connection_options():
+    connection = Connection("jdbc:postgresql://h/d", user="u", password="p", properties={"ssl": "true"})
+    assert connection.options() == {
+        "url": "jdbc:postgresql://h/d",
+        "driver": POSTGRES_DRIVER,
+        "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
+        "user": "u",
+        "password": "p",
+        "ssl": "true",
+    }
+    assert "'p'" not in repr(connection) and "'u'" not in repr(connection)
+
+
+def test_resolve_connection():
+    inline = {"jdbc_url": "jdbc:x", "user_env": "U", "password_env": "P", "driver": "d.Driver"}
+    found = resolve_connection(inline, {"U": "me", "P": "hidden"})
+    assert (found.url, found.user, found.password, found.driver) == ("jdbc:x", "me", "hidden", "d.Driver")
+    direct = resolve_connection({"jdbc_url": "jdbc:x", "username": "a", "password": "b"}, {})
+    assert (direct.user, direct.password, direct.driver) == ("a", "b", POSTGRES_DRIVER)
+    with pytest.raises(ValueError, match="P is not set"):
+        resolve_connection(inline, {"U": "me"})
+    with pytest.raises(ValueError, match="jdbc_url"):
+        resolve_connection({"username": "a"})

@@ -1,0 +1,230 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from coldshelf.functions.naming import jdbc_name
+from coldshelf.operators.manifest import ARGUMENTS
+from coldshelf.plans.fanout import append_run_log, archive_many
+from coldshelf.plans.pipeline import InvalidConfig, find_connection, run_archive
+from coldshelf.sources.config import parse_configs, source_rows
+from coldshelf.sources.jdbc import Connection
+from coldshelf.sources.lake import read_archive
+from coldshelf.streaming.requests import serve_requests
+from workload.data import load
+
+RUN_TS = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+
+
+@pytest.fixture
+def jobs(spark, name, tmp_path):
+    def make(*tables, policy="6m"):
+        rows = [("src", "main", t, "c", f"{tmp_path}/{t}/", name, f"main_{t}", policy) for t in tables]
+        return spark.createDataFrame(rows, "source_name string, " + ", ".join(f"{a} string" for a in ARGUMENTS))
+
+    return make
+
+
+def by_table(statuses):
+    return {r.source_table: r for r in statuses.collect()}
+
+
+def test_many_tables_at_once(spark, name, jobs):
+    tables = [f"t{i}" for i in range(20)]
+    done = by_table(archive_many(spark, jobs(*tables), lambda row: spark.range(int(row.source_table[1:]) * 10), run_ts=RUN_TS, max_concurrent=6))
+    assert {t: (r.row_count, r.status, r.error) for t, r in done.items()} == {
+        t: (int(t[1:]) * 10, "archived", None) for t in tables
+    }
+    assert len({r.run_id for r in done.values()}) == 1
+    stamps = {read_archive(spark, name, f"main_{t}").select(F.min("retention_added_at")).first()[0] for t in tables[1:]}
+    assert len(stamps) == 1
+
+
+def test_a_failing_table_leaves_the_others_done(spark, name, jobs):
+    def read(row):
+        if row.source_table == "gone":
+            raise RuntimeError("table is gone")
+        if row.source_table == "broken":
+            return spark.range(5).select(F.raise_error(F.lit("bad block")).alias("x"))
+        return spark.range(5)
+
+    done = by_table(archive_many(spark, jobs("a", "gone", "broken", "b"), read, run_ts=RUN_TS))
+    assert {t: r.status for t, r in done.items()} == {"a": "archived", "b": "archived", "gone": "failed", "broken": "failed"}
+    assert "table is gone" in done["gone"].error and "bad block" in done["broken"].error
+    assert read_archive(spark, name, "main_b").count() == 5
+    assert not spark.catalog.tableExists(f"{name}.main_broken")
+
+
+def test_bad_literal_fails_its_table_only(spark, jobs):
+    rows = jobs("a").unionByName(jobs("b", policy="6w"))
+    done = by_table(archive_many(spark, rows, lambda row: spark.range(2), run_ts=RUN_TS))
+    assert (done["a"].status, done["b"].status, done["b"].expires_at) == ("archived", "failed", None)
+
+
+def test_clashing_targets_are_refused(spark, name, jobs):
+    rows = jobs("a", "b", "c").withColumn("target_glue_table", F.when(F.col("source_table") != "c", "x y").otherwise("z-1"))
+    done = by_table(archive_many(spark, rows, lambda row: spark.range(2), run_ts=RUN_TS))
+    assert {t: (r.status, r.target_table) for t, r in done.items()} == {
+        "a": ("refused", "x_y"),
+        "b": ("refused", "x_y"),
+        "c": ("archived", "z_1"),
+    }
+    assert done["a"].error == "2 tables share this target"
+
+
+def test_no_tables_is_no_error(spark, jobs):
+    assert archive_many(spark, jobs("a").limit(0), lambda row: None).count() == 0
+
+
+def test_run_log_grows(spark, name, jobs, tmp_path):
+    for _ in range(2):
+        statuses = archive_many(spark, jobs("a", "b"), lambda row: spark.range(3), run_ts=RUN_TS)
+        append_run_log(statuses, f"{name}.runs", f"{tmp_path}/runs")
+    runs = spark.table(f"{name}.runs")
+    assert runs.count() == 4 and runs.select("run_id").distinct().count() == 2
+
+
+# --- from a config ----------------------------------------------------------
+
+
+def request(tmp_path, name, tables='["shop_.*"]', policy="6m", connection="shop_db"):
+    return f"""
+env: dev
+connections: {{{name}_dev: '{connection}'}}
+warehouses: {{cold: {tmp_path}/lake/}}
+retention_policies: {{keep: {policy}}}
+sources:
+  - {{name: shop, connection: {name}_dev, warehouse: cold, retention_policy: keep,
+     include: {{schemas: [public], tables: {tables}}}, exclude: {{tables: [".*_tmp$"]}}}}
+"""
+
+
+@pytest.fixture
+def shop(spark, source):
+    rows = [("public", t) for t in ("shop_orders", "shop_items", "shop_x_tmp", "other")] + [("audit", "shop_log")]
+    load(spark, source, spark.createDataFrame(rows, "TABLE_SCHEMA string, TABLE_NAME string"), "INFORMATION_SCHEMA.TABLES")
+    keys = [("public", "shop_orders", "k1", "id", 1)]
+    usage = spark.createDataFrame(
+        keys, "TABLE_SCHEMA string, TABLE_NAME string, CONSTRAINT_NAME string, COLUMN_NAME string, ORDINAL_POSITION int"
+    ).withColumn("CONSTRAINT_SCHEMA", F.col("TABLE_SCHEMA"))
+    load(spark, source, usage, "INFORMATION_SCHEMA.KEY_COLUMN_USAGE")
+    kinds = usage.drop("COLUMN_NAME", "ORDINAL_POSITION").withColumn("CONSTRAINT_TYPE", F.lit("PRIMARY KEY"))
+    load(spark, source, kinds, "INFORMATION_SCHEMA.TABLE_CONSTRAINTS")
+    load(spark, source, spark.range(1000), jdbc_name("public", "shop_orders"))
+    load(spark, source, spark.range(30).withColumn("note", F.lit("x")), jdbc_name("public", "shop_items"))
+    return source
+
+
+def frame(spark, *texts):
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string")
+    return parse_configs(df, F.col("id"), F.col("text"))
+
+
+def test_config_to_archived_tables(spark, name, shop, tmp_path):
+    configs = frame(spark, request(tmp_path, name))
+    options = {"run_ts": RUN_TS, "run_log": f"{name}_log.runs", "scan_options": {"rows_per_partition": 300}}
+    spark.sql(f"CREATE DATABASE {name}_log")
+    done = by_table(run_archive(spark, configs, {"shop_db": shop}, **options))
+    assert {t: (r.row_count, r.status, r.target_database, r.target_table) for t, r in done.items()} == {
+        "shop_orders": (1000, "archived", f"archive_{name}_dev", "public_shop_orders"),
+        "shop_items": (30, "archived", f"archive_{name}_dev", "public_shop_items"),
+    }
+    stored = read_archive(spark, f"archive_{name}_dev", "public_shop_orders")
+    assert stored.select("id").exceptAll(spark.range(1000)).count() == 0
+    # One file per non-empty range of the primary key.
+    assert len(stored.inputFiles()) >= 4
+    assert done["shop_orders"].target_path == f"{tmp_path}/lake/{name}_dev/public/shop_orders/"
+    assert spark.table(f"{name}_log.runs").count() == 2
+
+
+def test_broken_config_is_refused_before_any_read(spark, name, tmp_path):
+    unreachable = Connection(url="jdbc:nothing:here", driver="no.such.Driver")
+    with pytest.raises(InvalidConfig) as refused:
+        run_archive(spark, frame(spark, request(tmp_path, name, policy="6w")), {"shop_db": unreachable})
+    assert [b.rule for b in refused.value.breaches] == ["malformed_retention"]
+
+
+def test_nothing_selected_is_an_empty_run(spark, name, shop, tmp_path):
+    configs = frame(spark, request(tmp_path, name, tables='["nothing"]'))
+    assert run_archive(spark, configs, {"shop_db": shop}).count() == 0
+
+
+def test_inline_connection(spark, name, shop, tmp_path):
+    # Of another database kind than the reader's defaults, so its keys are not used.
+    inline = json.dumps({"jdbc_url": shop.url, "driver": shop.driver})
+    configs = frame(spark, request(tmp_path, name, tables="[shop_items]").replace("'shop_db'", inline))
+    done = by_table(run_archive(spark, configs, {}, split_by_key=False, run_ts=RUN_TS))
+    assert done["shop_items"].row_count == 30
+
+
+def test_unregistered_connection():
+    with pytest.raises(ValueError, match="not registered"):
+        find_connection("nowhere", {})
+
+
+# --- requests ---------------------------------------------------------------
+
+
+def serve(spark, tmp_path, **options):
+    seen = []
+
+    def handle(batch, run_id):
+        seen.extend((run_id, r.source_name) for r in source_rows(batch).collect())
+
+    query = serve_requests(spark, str(tmp_path / "requests"), str(tmp_path / "checkpoint"), handle, **options)
+    query.awaitTermination()
+    return sorted(seen)
+
+
+def test_each_request_is_handled_once(spark, name, tmp_path):
+    folder = tmp_path / "requests"
+    (folder / "nested").mkdir(parents=True)
+    text = request(tmp_path, name)
+    (folder / "a.yaml").write_text(text.replace("name: shop", "name: a"))
+    (folder / "nested" / "b.yaml").write_text(text.replace("name: shop", "name: b"))
+    (folder / "c.txt").write_text(text.replace("name: shop", "name: c"))
+    assert serve(spark, tmp_path) == [("run_0", "a"), ("run_0", "b")]
+    assert serve(spark, tmp_path) == []
+    (folder / "d.yaml").write_text(text.replace("name: shop", "name: d"))
+    assert serve(spark, tmp_path) == [("run_1", "d")]
+
+
+def test_failed_batch_is_given_again(spark, name, tmp_path):
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    (folder / "a.yaml").write_text(request(tmp_path, name))
+    attempts = []
+
+    def fail(batch, run_id):
+        attempts.append((run_id, batch.count()))
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        serve_requests(spark, str(folder), str(tmp_path / "checkpoint"), fail).awaitTermination()
+    assert attempts == [("run_0", 1)]
+    assert serve(spark, tmp_path) == [("run_0", "shop")]
+
+
+def test_few_files_at_a_time(spark, name, tmp_path):
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"{i}.yaml").write_text(request(tmp_path, name))
+    assert [run for run, _ in serve(spark, tmp_path, max_files=1)] == ["run_0", "run_1", "run_2"]
+
+
+def test_a_request_archives_its_tables(spark, name, shop, tmp_path):
+    (tmp_path / "requests").mkdir()
+    (tmp_path / "requests" / "a.yaml").write_text(request(tmp_path, name))
+    statuses = []
+
+    def handle(batch, run_id):
+        done = run_archive(spark, batch, {"shop_db": shop}, run_id=run_id, run_ts=RUN_TS)
+        statuses.extend(done.collect())
+
+    serve_requests(spark, str(tmp_path / "requests"), str(tmp_path / "checkpoint"), handle).awaitTermination()
+    assert sorted((r.run_id, r.source_table, r.row_count) for r in statuses) == [
+        ("run_0", "shop_items", 30),
+        ("run_0", "shop_orders", 1000),
+    ]
