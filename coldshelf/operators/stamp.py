@@ -31,7 +31,8 @@ def run_time(run_ts: dt.datetime, ts_type: str = "timestamp") -> Column:
 
 
 def expiry(added_at: Column, literal: Column, ts_type: str = "timestamp") -> Column:
-    """When retention ends: a whole number of 24-hour days after ``added_at``."""
+    """When retention ends, for a start and literal that differ by row: a whole
+    number of 24-hour days after ``added_at``."""
     if ts_type == "timestamp_ntz":
         return added_at + retention_interval(literal)
     # Counted in microseconds, so that no session zone's clock change shifts it.
@@ -51,12 +52,13 @@ def stamp(
     A source column already called like a stamp is replaced, or refused with
     ``on_conflict="error"``.
     """
-    parse_retention(policy)
+    days = parse_retention(policy)
     if on_conflict == "error":
         taken = [c for c in df.columns if c.lower() in (ADDED_AT, EXPIRES_AT)]
         if taken:
             raise ValueError(f"source already has {', '.join(taken)}")
     elif on_conflict != "replace":
         raise ValueError(f"unknown conflict rule: {on_conflict!r}")
-    added = run_time(run_ts or utc_now(), ts_type)
-    return df.withColumn(ADDED_AT, added).withColumn(EXPIRES_AT, expiry(added, F.lit(policy), ts_type))
+    run_ts = run_ts or utc_now()
+    added, expires = run_time(run_ts, ts_type), run_time(run_ts + dt.timedelta(days=days), ts_type)
+    return df.withColumn(ADDED_AT, added).withColumn(EXPIRES_AT, expires)

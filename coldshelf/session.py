@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 BASE_CONF = {
     # Stamps are UTC instants; the session zone must not shift them.
     "spark.sql.session.timeZone": "UTC",
+    # Keeps min/max of the stamps in the footers, so files not yet due are skipped.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Tables archived at the same time share the executors.

@@ -85,7 +85,7 @@ def test_default_part_sizes(spark, source):
     load(spark, source, spark.range(120_000).select(F.col("id").alias("k")), "many")
     split = scan(spark, source, "many", ["k"])
     sizes = sorted(r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect())
-    assert sum(sizes) == 120_000 and max(sizes) <= 50_000
+    assert sum(sizes) == 120_000 and max(sizes) <= 15_000 and len(sizes) == 9
     load(spark, source, spark.range(10).select(F.col("id").alias("k")), "few")
     assert scan(spark, source, "few", ["k"]).count() == 10
 
@@ -152,6 +152,24 @@ def test_page_ranges(spark, monkeypatch):
     assert len(page_ranges(spark, postgres, "huge")) == 20_000
 
 
+def test_boundaries_from_a_sample(spark, monkeypatch):
+    seen = []
+
+    def query(spark_, connection, sql):
+        seen.append(sql)
+        if "ROW_NUMBER" in sql:
+            return spark.createDataFrame([(500, 10), (900, 20)], "k int, rn bigint")
+        return spark.createDataFrame([(20 if len(seen) == 1 else 0,)], "n bigint")
+
+    monkeypatch.setattr(jdbc, "_query", query)
+    monkeypatch.setattr(jdbc, "scan", lambda *_: spark.createDataFrame([], "k int"))
+    ranges = key_ranges(spark, Connection(url="x"), "t", ["k"], None, 0.01)
+    assert seen[0] == "SELECT COUNT(*) AS n FROM t TABLESAMPLE SYSTEM (0.01)"
+    # 200,000 rows in 8 parts of 25,000: every second row of the sample.
+    assert "TABLESAMPLE SYSTEM (0.01)" in seen[2] and "MOD(rn, 2) = 0" in seen[2]
+    assert ranges == ['"k" IS NULL', '"k" IS NOT NULL AND "k" < 500', '"k" >= 500 AND "k" < 900', '"k" >= 900']
+
+
 def test_ordered_numbering_differs_by_database(spark, monkeypatch):
     seen = []
 

@@ -20,6 +20,8 @@ PRIMARY_KEYS = {
     "lineitem": ["l_orderkey", "l_linenumber"],
     "supplier": ["s_suppkey"],
 }
+# A key whose leading column has few values, each holding much of the table.
+HOT_KEY = ["l_returnflag", "l_orderkey"]
 _DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 _loaded: set[tuple[str, str, str]] = set()
 
@@ -59,7 +61,8 @@ def source_database(spark: SparkSession, sf_dir: str, *names: str) -> Connection
         )
     connection = embedded(spark, f"source:{sf_dir}")
     for name in names:
-        load(spark, connection, table(spark, sf_dir, name), jdbc_name(SOURCE_SCHEMA, name))
+        keys = [PRIMARY_KEYS[name], *([HOT_KEY] if name == "lineitem" else [])]
+        load(spark, connection, table(spark, sf_dir, name), jdbc_name(SOURCE_SCHEMA, name), keys)
     return connection
 
 
@@ -74,8 +77,11 @@ def embedded(spark: SparkSession, label: str) -> Connection:
     return Connection(url=f"jdbc:derby:memory:{name};create=true", driver=_DERBY, window_order=False)
 
 
-def load(spark: SparkSession, connection: Connection, df: DataFrame, relation: str) -> None:
-    """Write a DataFrame to the embedded database, once per application."""
+def load(
+    spark: SparkSession, connection: Connection, df: DataFrame, relation: str, keys: list[list[str]] = ()
+) -> None:
+    """Write a DataFrame to the embedded database, once per application, and
+    index its keys as a source database would."""
     mark = (spark.sparkContext.applicationId, connection.url, relation)
     if mark in _loaded:
         return
@@ -85,6 +91,11 @@ def load(spark: SparkSession, connection: Connection, df: DataFrame, relation: s
     if texts:
         writer = writer.option("createTableColumnTypes", texts)
     writer.option("dbtable", relation).mode("overwrite").save()
+    opened = spark._jvm.java.sql.DriverManager.getConnection(connection.url)
+    for key in keys:
+        columns = ", ".join(map(jdbc_name, key))
+        opened.createStatement().execute(f"CREATE INDEX {jdbc_name(unique('by_key'))} ON {relation} ({columns})")
+    opened.close()
     _loaded.add(mark)
 
 

@@ -24,6 +24,7 @@ from coldshelf.sources.jdbc import inventory, scan_table
 from coldshelf.sources.lake import list_tables, read_archive
 from coldshelf.streaming.requests import serve_requests
 from workload.data import (
+    HOT_KEY,
     SOURCE_SCHEMA,
     embedded,
     load,
@@ -43,13 +44,13 @@ NTZ = "timestamp_ntz"
 
 def jdbc_scan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     connection = source_database(spark, sf_dir, "orders")
-    return scan_table(spark, connection, SOURCE_SCHEMA, "orders", key_columns=["o_orderkey"], rows_per_partition=2000)
+    return scan_table(spark, connection, SOURCE_SCHEMA, "orders", key_columns=["o_orderkey"])
 
 
 def jdbc_scan_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The key has three values, so each holds about a third of the rows."""
+    """The key's first column has three values, each with about a third of the rows."""
     connection = source_database(spark, sf_dir, "lineitem")
-    return scan_table(spark, connection, SOURCE_SCHEMA, "lineitem", key_columns=["l_returnflag"])
+    return scan_table(spark, connection, SOURCE_SCHEMA, "lineitem", key_columns=HOT_KEY)
 
 
 def jdbc_archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
