@@ -3,10 +3,11 @@ and the lake catalog an archive writes to."""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping
 from urllib.parse import urlsplit
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     # Stamps are UTC instants; the session zone must not shift them.
@@ -59,3 +60,23 @@ def build_session(app_name: str = "coldshelf", conf: Mapping[str, str] | None =
     for key, value in {**BASE_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, as the cluster names it. Only a local
+    session, whose executors are this process, may do with a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return tempfile.mkdtemp(prefix="coldshelf-")
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """The rows as they are now: read once, the same at every later use, and
+    still there when executors are lost."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

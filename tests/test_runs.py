@@ -145,6 +145,22 @@ def test_broken_config_is_refused_before_any_read(spark, name, tmp_path):
     assert [b.rule for b in refused.value.breaches] == ["malformed_retention"]
 
 
+def test_broken_configs_can_be_left_out(spark, name, shop, tmp_path):
+    configs = frame(spark, request(tmp_path, name, tables="[shop_items]"), request(tmp_path, name, policy="6w"), "a: [")
+    options = {"run_ts": RUN_TS, "on_invalid": "report", "run_log": f"{name}_log.runs"}
+    spark.sql(f"CREATE DATABASE {name}_log")
+    run_archive(spark, configs, {"shop_db": shop}, **options)
+    done = spark.table(f"{name}_log.runs").collect()
+    assert sorted((r.config_id, r.source_table or "", r.status) for r in done) == [
+        ("0", "shop_items", "archived"),
+        ("1", "", "invalid"),
+        ("2", "", "invalid"),
+    ]
+    assert len({r.run_id for r in done}) == 1
+    with pytest.raises(ValueError):
+        run_archive(spark, configs, {"shop_db": shop}, on_invalid="ignore")
+
+
 def test_nothing_selected_is_an_empty_run(spark, name, shop, tmp_path):
     configs = frame(spark, request(tmp_path, name, tables='["nothing"]'))
     assert run_archive(spark, configs, {"shop_db": shop}).count() == 0
@@ -217,11 +233,12 @@ def test_few_files_at_a_time(spark, name, tmp_path):
 def test_a_request_archives_its_tables(spark, name, shop, tmp_path):
     (tmp_path / "requests").mkdir()
     (tmp_path / "requests" / "a.yaml").write_text(request(tmp_path, name))
+    (tmp_path / "requests" / "b.yaml").write_text("env: dev")
     statuses = []
 
     def handle(batch, run_id):
-        done = run_archive(spark, batch, {"shop_db": shop}, run_id=run_id, run_ts=RUN_TS)
-        statuses.extend(done.collect())
+        done = run_archive(spark, batch, {"shop_db": shop}, run_id=run_id, run_ts=RUN_TS, on_invalid="report")
+        statuses.extend(done.filter("status != 'invalid'").collect())
 
     serve_requests(spark, str(tmp_path / "requests"), str(tmp_path / "checkpoint"), handle).awaitTermination()
     assert sorted((r.run_id, r.source_table, r.row_count) for r in statuses) == [

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldshelf.functions.naming import jdbc_name
+from coldshelf.session import shared_folder
 from coldshelf.sources.jdbc import Connection
 
 SOURCE_SCHEMA = "main"
@@ -32,12 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        shared = tempfile.mkdtemp(prefix="coldshelf-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def unique(name: str) -> str:

@@ -84,7 +84,7 @@ def jdbc_archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"warehouse_db": connection},
         run_ts=RUN_TS,
         ts_type=NTZ,
-        database_location=f"{folder}/database",
+        database_root=folder,
     )
     return statuses.select("source_name", "source_schema", "source_table", "target_table", "row_count", "status")
 
@@ -168,7 +168,7 @@ def archive_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run archives the table from itself, with another schema."""
     folder, database = scratch(spark, "archive_replace"), unique("archive_replace")
     target = {"database": database, "table": "orders", "path": f"{folder}/orders/", "ts_type": NTZ}
-    place = {"database_location": f"{folder}/database"}
+    place = {"database_root": folder}
     archive_table(table(spark, sf_dir, "orders"), policy="10d", run_ts=RUN_TS, **target, **place)
     newer = read_archive(spark, database, "orders").select(
         "o_orderkey", F.upper("o_orderstatus").alias("status"), F.col(ADDED_AT).alias("first_added_at"), ADDED_AT
@@ -386,7 +386,7 @@ def _archived(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
         "6m",
         run_ts=RUN_TS,
         ts_type=NTZ,
-        database_location=f"{folder}/database",
+        database_root=folder,
     )
     return read_archive(spark, database, name)
 
@@ -406,7 +406,7 @@ def _archive_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple
         lambda row: table(spark, sf_dir, row.source_table),
         run_ts=RUN_TS,
         ts_type=NTZ,
-        database_location=f"{folder}/database",
+        database_root=folder,
     )
     return statuses, database, folder
 
