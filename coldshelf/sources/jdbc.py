@@ -30,6 +30,9 @@ _NUMBER_AND_TIME = (
 )
 _KEY_TYPES = (*_NUMBER_AND_TIME, T.StringType)
 
+# A scan is split into parts of 5,000 to a million rows, if that makes no more
+# than 20,000 parts.
+_MIN_ROWS, _MAX_ROWS = 5_000, 1_000_000
 _MAX_PARTITIONS = 20_000
 
 
@@ -135,6 +138,7 @@ def scan(
     connection: Connection,
     relation: str,
     key_columns: Sequence[str] | None = None,
+    unique_key: bool = False,
     rows_per_partition: int | None = None,
     sample_percent: float | None = None,
     options: Mapping[str, str] | None = None,
@@ -147,7 +151,7 @@ def scan(
     """
     ranges = []
     if key_columns:
-        ranges = key_ranges(spark, connection, relation, key_columns, rows_per_partition, sample_percent)
+        ranges = key_ranges(spark, connection, relation, key_columns, unique_key, rows_per_partition, sample_percent)
     return _read(spark, connection, relation, ranges, options)
 
 
@@ -157,6 +161,7 @@ def scan_table(
     schema: str,
     table: str,
     key_columns: Sequence[str] | None = None,
+    unique_key: bool = False,
     rows_per_partition: int | None = None,
     sample_percent: float | None = None,
     options: Mapping[str, str] | None = None,
@@ -168,7 +173,7 @@ def scan_table(
     """
     relation = jdbc_name(schema, table)
     if key_columns or connection.driver != POSTGRES_DRIVER:
-        return scan(spark, connection, relation, key_columns, rows_per_partition, sample_percent, options)
+        return scan(spark, connection, relation, key_columns, unique_key, rows_per_partition, sample_percent, options)
     return _read(spark, connection, relation, page_ranges(spark, connection, relation), options)
 
 
@@ -207,21 +212,23 @@ def key_ranges(
     connection: Connection,
     relation: str,
     key_columns: Sequence[str],
+    unique_key: bool = False,
     rows_per_partition: int | None = None,
     sample_percent: float | None = None,
 ) -> list[str]:
-    """Predicates that split a table into disjoint parts of about equal size.
+    """Predicates that split a table into disjoint parts of bounded row count.
 
-    The boundaries are every n-th key, found in the database, so gaps and
-    clusters in the key do not matter. A value that alone fills several parts
-    (a hot key) is split again by the next key column, and after the last one
-    by the table's other number and time columns. Together the predicates hold
-    for every row exactly once, whatever rows arrive after planning: the outer
-    ranges are open and NULL has a part of its own. Only the boundaries come to
-    the driver, some ten thousand of them for the largest table.
+    Together they hold for every row exactly once, whatever rows arrive after
+    planning: the outer ranges are open and NULL has a part of its own. Only
+    the boundaries come to the driver, some ten thousand for the largest table.
 
-    Without ``rows_per_partition`` the rows are counted first, and parts hold
-    5,000 to a million rows, or more if there would be too many parts.
+    A single integer column that is a ``unique_key`` is cut into even strides
+    between its ends: a stride of n keys holds at most n rows, so nothing has
+    to be counted. Otherwise the boundaries are every n-th key, found in the
+    database in one pass over the key's index, so gaps and clusters do not
+    matter. A value that alone fills several parts (a hot key) is split again by
+    the next key column, and after the last one by the table's other number and
+    time columns.
 
     ``sample_percent`` looks for boundaries in a block sample of the table
     instead of all its keys (PostgreSQL). Parts get less even, no less whole.
@@ -232,26 +239,72 @@ def key_ranges(
         if not isinstance(column.dataType, _KEY_TYPES):
             raise ValueError(f"column {column.name} cannot split a scan: {column.dataType.simpleString()}")
     others = [f for f in columns.values() if f not in key and isinstance(f.dataType, _NUMBER_AND_TIME)]
+    names = [f.name for f in [*key, *others]]
+    slots = spark.sparkContext.defaultParallelism
+    if unique_key and len(key) == 1 and _is_whole_number(key[0].dataType):
+        strides = _even_strides(spark, connection, relation, names[0], slots, rows_per_partition)
+        if strides:
+            return strides
     share = 1.0 if sample_percent is None else sample_percent / 100
     looked_at = relation if sample_percent is None else f"{relation} TABLESAMPLE SYSTEM ({sample_percent})"
+    planner = _RangePlanner(spark, connection, looked_at)
     if rows_per_partition is None:
-        total = int(_query(spark, connection, f"SELECT COUNT(*) AS n FROM {looked_at}").first()[0] / share)
-        even = total // spark.sparkContext.defaultParallelism
-        rows_per_partition = max(min(max(even, 5_000), 1_000_000), -(-total // _MAX_PARTITIONS))
-    planner = _RangePlanner(spark, connection, looked_at, max(int(rows_per_partition * share), 1))
-    return list(planner.split([f.name for f in [*key, *others]]))
+        found = planner.measure(jdbc_name(names[0]), slots, share)
+    else:
+        planner.step = max(int(rows_per_partition * share), 1)
+        found = None
+    return list(planner.split(names, found=found))
+
+
+def _is_whole_number(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0)
+
+
+def _even_strides(
+    spark: SparkSession, connection: Connection, relation: str, column: str, slots: int, rows: int | None
+) -> list[str]:
+    """Ranges of equal width over a unique integer column; none if its values
+    lie so far apart that the width would say little about the rows."""
+    name = jdbc_name(column)
+    # One query per end: each is a single step into the index.
+    ends = [_query(spark, connection, f"SELECT {f}({name}) AS k FROM {relation}").first()[0] for f in ("MIN", "MAX")]
+    if ends[0] is None:
+        return []
+    low, high = map(int, ends)
+    span = high - low + 1
+    stride = rows or min(max(span // slots, _MIN_ROWS), _MAX_ROWS)
+    stride = max(stride, -(-span // _MAX_PARTITIONS))
+    if stride > 50 * _MAX_ROWS:
+        return []
+    starts = list(range(low + stride, high + 1, stride))
+    if not starts:
+        return ["1 = 1"]
+    inner = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(starts, starts[1:])]
+    return [f"{name} IS NULL", f"{name} < {starts[0]}", *inner, f"{name} >= {starts[-1]}"]
 
 
 class _RangePlanner:
     """Walks the key columns from left to right, splitting what is too large."""
 
-    def __init__(self, spark: SparkSession, connection: Connection, relation: str, step: int):
+    def __init__(self, spark: SparkSession, connection: Connection, relation: str):
         self.spark = spark
         self.connection = connection
         self.relation = relation
-        self.step = step
-
-    def split(self, columns: Sequence[str], within: str | None = None) -> Iterator[str]:
+        self.step = 1
+
+    def measure(self, name: str, slots: int, share: float) -> list:
+        """Choose the step by looking at the keys, small steps first; returns the
+        boundaries found on the way. Each look stops at its last boundary, so
+        only the one that reaches the table's end reads all keys."""
+        fine = max(int(_MIN_ROWS * share), 1)
+        while len(found := self.boundaries(name, None, fine, fine * _MAX_PARTITIONS)) == _MAX_PARTITIONS:
+            fine *= 20
+        wanted = min(len(found) * fine // slots, int(_MAX_ROWS * share))
+        every = max(wanted // fine, 1)
+        self.step = fine * every
+        return found[every - 1 :: every]
+
+    def split(self, columns: Sequence[str], within: str | None = None, found: list | None = None) -> Iterator[str]:
         if not columns:
             # Rows alike in every column that could tell them apart.
             yield within or "1 = 1"
@@ -260,9 +313,11 @@ class _RangePlanner:
         empty = _both(within, f"{name} IS NULL")
         nulls = _query(self.spark, self.connection, f"SELECT COUNT(*) AS n FROM {self.relation} WHERE {empty}")
         yield from self.split(rest, empty) if nulls.first()[0] > self.step else [empty]
+        if found is None:
+            found = self.boundaries(name, within, self.step)
         # A boundary found more than once is a value that fills several parts.
         low = f"{name} IS NOT NULL"
-        for value, times in Counter(self.boundaries(name, within)).items():
+        for value, times in Counter(found).items():
             bound = _literal(value)
             yield _both(within, low, f"{name} < {bound}")
             low = f"{name} >= {bound}"
@@ -271,7 +326,7 @@ class _RangePlanner:
                 low = f"{name} > {bound}"
         yield _both(within, low)
 
-    def boundaries(self, name: str, within: str | None) -> list:
+    def boundaries(self, name: str, within: str | None, step: int, last: int | None = None) -> list:
         """Every ``step``-th value of a column, in the database's own order."""
         rows = f"{self.relation} WHERE {_both(within, f'{name} IS NOT NULL')}"
         if self.connection.window_order:
@@ -279,7 +334,8 @@ class _RangePlanner:
         else:
             ordered = f"SELECT {name} FROM {rows} ORDER BY {name}"
             numbered = f"SELECT {name}, ROW_NUMBER() OVER () AS rn FROM ({ordered}) o"
-        nth = f"SELECT {name}, rn FROM ({numbered}) q WHERE MOD(rn, {self.step}) = 0"
+        stop = f" AND rn <= {last}" if last else ""
+        nth = f"SELECT {name}, rn FROM ({numbered}) q WHERE MOD(rn, {step}) = 0{stop}"
         found = _query(self.spark, self.connection, nth).collect()
         return [value for value, _ in sorted(found, key=lambda row: row[1])]
 

@@ -25,9 +25,9 @@ from workload.data import load, load_catalog
 def check_split(spark, source, relation, key, rows, step):
     """The parts hold every row once, and none is much larger than ``step``."""
     whole = scan(spark, source, relation)
-    split = scan(spark, source, relation, key, step)
+    split = scan(spark, source, relation, key, rows_per_partition=step)
     assert spark_rows(split) == spark_rows(whole)
-    ranges = key_ranges(spark, source, relation, key, step)
+    ranges = key_ranges(spark, source, relation, key, rows_per_partition=step)
     assert len(set(ranges)) == len(ranges)
     sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == rows
@@ -72,10 +72,11 @@ def test_identical_rows_stay_together(spark, source):
     assert largest == 500
 
 
-def test_rows_that_arrive_after_planning_are_read(spark, source):
+@pytest.mark.parametrize("unique", [False, True])
+def test_rows_that_arrive_after_planning_are_read(spark, source, unique):
     df = spark.createDataFrame([(i,) for i in range(1000)], "k bigint")
     load(spark, source, df, "growing")
-    split = scan(spark, source, "growing", ["k"], 100)
+    split = scan(spark, source, "growing", ["k"], unique_key=unique, rows_per_partition=100)
     late = spark.createDataFrame([(-5,), (450,), (99999,), (None,)], "k bigint")
     late.write.format("jdbc").options(**source.options()).option("dbtable", "growing").mode("append").save()
     assert split.count() == 1004
@@ -98,7 +99,7 @@ def test_key_must_be_comparable(spark, source):
 
 def test_empty_table(spark, source):
     load(spark, source, spark.createDataFrame([], "k int, s string"), "empty")
-    assert scan(spark, source, "empty", ["k"], 10).count() == 0
+    assert scan(spark, source, "empty", ["k"], unique_key=True).count() == 0
 
 
 def test_quotes_in_a_table_name(spark, source):
@@ -152,22 +153,57 @@ def test_page_ranges(spark, monkeypatch):
     assert len(page_ranges(spark, postgres, "huge")) == 20_000
 
 
+def test_large_tables_get_larger_steps(spark, source, monkeypatch):
+    monkeypatch.setattr(jdbc, "_MIN_ROWS", 10)
+    monkeypatch.setattr(jdbc, "_MAX_PARTITIONS", 40)
+    load(spark, source, spark.range(5000).select(F.col("id").alias("k")), "large")
+    looked = []
+    ask = jdbc._query
+    monkeypatch.setattr(jdbc, "_query", lambda s, c, sql: (looked.append(sql), ask(s, c, sql))[1])
+    split = scan(spark, source, "large", ["k"])
+    # 10 rows a part would make 500 parts, 200 make 25; 8 slots want 600 or so.
+    assert ["MOD(rn, 10) = 0 AND rn <= 400" in q or "MOD(rn, 200) = 0 AND rn <= 8000" in q for q in looked if "MOD" in q] == [True, True]
+    sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) == 600 and len(sizes) == 9
+
+
+def test_unique_integers_are_cut_into_strides(spark, source):
+    df = spark.range(20_000).select((F.col("id") * 3 - 10_000).alias("k"), F.col("id").cast("decimal(12,0)").alias("m"))
+    load(spark, source, df, "ids")
+    for key in ("k", "m"):
+        ranges = key_ranges(spark, source, "ids", [key], unique_key=True, rows_per_partition=6000)
+        split = scan(spark, source, "ids", [key], unique_key=True, rows_per_partition=6000)
+        assert spark_rows(split) == spark_rows(scan(spark, source, "ids"))
+        sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 6000
+        assert len(ranges) == {"k": 11, "m": 5}[key]
+    assert key_ranges(spark, source, "ids", ["k"], unique_key=True, rows_per_partition=10**6) == ["1 = 1"]
+
+
+def test_scattered_unique_integers_are_counted(spark, source):
+    df = spark.range(1000).select(F.when(F.col("id") < 999, F.col("id")).otherwise(10**15).alias("k"))
+    load(spark, source, df, "scattered")
+    split = scan(spark, source, "scattered", ["k"], unique_key=True, rows_per_partition=100)
+    sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 101
+
+
 def test_boundaries_from_a_sample(spark, monkeypatch):
     seen = []
 
     def query(spark_, connection, sql):
         seen.append(sql)
         if "ROW_NUMBER" in sql:
-            return spark.createDataFrame([(500, 10), (900, 20)], "k int, rn bigint")
-        return spark.createDataFrame([(20 if len(seen) == 1 else 0,)], "n bigint")
+            return spark.createDataFrame([(i * 10, i) for i in range(1, 41)], "k int, rn bigint")
+        return spark.createDataFrame([(0,)], "n bigint")
 
     monkeypatch.setattr(jdbc, "_query", query)
     monkeypatch.setattr(jdbc, "scan", lambda *_: spark.createDataFrame([], "k int"))
-    ranges = key_ranges(spark, Connection(url="x"), "t", ["k"], None, 0.01)
-    assert seen[0] == "SELECT COUNT(*) AS n FROM t TABLESAMPLE SYSTEM (0.01)"
-    # 200,000 rows in 8 parts of 25,000: every second row of the sample.
-    assert "TABLESAMPLE SYSTEM (0.01)" in seen[2] and "MOD(rn, 2) = 0" in seen[2]
-    assert ranges == ['"k" IS NULL', '"k" IS NOT NULL AND "k" < 500', '"k" >= 500 AND "k" < 900', '"k" >= 900']
+    ranges = key_ranges(spark, Connection(url="x"), "t", ["k"], sample_percent=0.02)
+    # One row in 5,000: 40 of them stand for 200,000 rows, 25,000 for each slot.
+    assert all("FROM t TABLESAMPLE SYSTEM (0.02) WHERE" in q for q in seen) and "MOD(rn, 1) = 0" in seen[0]
+    assert ranges[:3] == ['"k" IS NULL', '"k" IS NOT NULL AND "k" < 50', '"k" >= 50 AND "k" < 100']
+    assert ranges[-1] == '"k" >= 400' and len(ranges) == 10
 
 
 def test_ordered_numbering_differs_by_database(spark, monkeypatch):
@@ -178,7 +214,7 @@ def test_ordered_numbering_differs_by_database(spark, monkeypatch):
         return spark.createDataFrame([], "k int, rn bigint")
 
     monkeypatch.setattr(jdbc, "_query", query)
-    jdbc._RangePlanner(spark, Connection(url="x"), '"s"."t"', 10).boundaries('"k"', None)
+    jdbc._RangePlanner(spark, Connection(url="x"), '"s"."t"').boundaries('"k"', None, 10)
     assert seen[0] == (
         'SELECT "k", rn FROM (SELECT "k", ROW_NUMBER() OVER (ORDER BY "k") AS rn FROM "s"."t" '
         'WHERE "k" IS NOT NULL) q WHERE MOD(rn, 10) = 0'

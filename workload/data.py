@@ -68,8 +68,16 @@ def embedded(spark: SparkSession, label: str) -> Connection:
             "executors cannot see this process's embedded database: "
             "set spark.coldshelf.source.url to a database the cluster can reach"
         )
+    # Room for the tables' pages, as a database server has; read when it starts.
+    spark._jvm.java.lang.System.setProperty("derby.storage.pageCacheSize", "100000")
     name = hashlib.md5(label.encode()).hexdigest()
-    return Connection(url=f"jdbc:derby:memory:{name};create=true", driver=_DERBY, window_order=False)
+    return Connection(
+        url=f"jdbc:derby:memory:{name};create=true",
+        driver=_DERBY,
+        window_order=False,
+        # Nothing writes while it is read, so readers need no row locks.
+        properties={"sessionInitStatement": "SET CURRENT ISOLATION = UR"},
+    )
 
 
 def load(

@@ -44,7 +44,7 @@ NTZ = "timestamp_ntz"
 
 def jdbc_scan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     connection = source_database(spark, sf_dir, "orders")
-    return scan_table(spark, connection, SOURCE_SCHEMA, "orders", key_columns=["o_orderkey"])
+    return scan_table(spark, connection, SOURCE_SCHEMA, "orders", key_columns=["o_orderkey"], unique_key=True)
 
 
 def jdbc_scan_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
