@@ -65,7 +65,7 @@ ORACLE = {
                '{"name":"' || event_type || '","value":"' || json_extract_string(props, '$.k') || '"}' AS document
         FROM events""",
     "retention_stamp_orders": f"SELECT *, {_STAMPS} FROM orders",
-    "retention_literals": """
+    "retention_days": """
         WITH units AS (
           SELECT event_id, user_id, event_id % 3 AS u,
                  CASE WHEN event_type = 'error' THEN 'w' WHEN event_id % 3 = 0 THEN 'd'
@@ -112,7 +112,7 @@ ORACLE = {
           AND (regexp_matches(c_name, '^(?:Customer#0+1)') OR regexp_matches(c_name, '^(?:(Cust).*5)'))
           AND NOT (regexp_matches(c_name, '^(?:.*7)') OR regexp_matches(c_name, '^(?:x|.*9)'))""",
     "discovery_result": f"WITH {_NATIONS}, {_KEPT} SELECT source_name, table_schema, table_name FROM discovered",
-    "discovery_count": f"""
+    "discovery_counts": f"""
         WITH {_NATIONS}, {_KEPT},
         sources AS (
           SELECT n_name AS config_id, 0 AS source_pos, n_name || '-picked' AS source_name FROM nations
@@ -132,7 +132,7 @@ ORACLE = {
                string_agg('{{"schema":"' || table_schema || '","table":"' || table_name || '"}}', ','
                           ORDER BY table_schema, table_name) || ']}}' AS result
         FROM sized GROUP BY n_name, source_pos, source_name, spread % documents""",
-    "manifest_rows": f"WITH {_NATIONS}, {_KEPT}, {_MANIFEST} SELECT * EXCLUDE (source_pos) FROM jobs",
+    "manifest": f"WITH {_NATIONS}, {_KEPT}, {_MANIFEST} SELECT * EXCLUDE (source_pos) FROM jobs",
     "manifest_first_source": f"""
         WITH {_NATIONS}, {_KEPT}, {_MANIFEST}
         SELECT '{{"script_args":{{"--source_schema":"' || source_schema || '","--source_table":"' || source_table ||
@@ -142,10 +142,12 @@ ORACLE = {
         FROM jobs WHERE source_pos = 0""",
     "manifest_conflicts": """
         WITH names AS (
-          SELECT p_type || '_' || p_name || '_' || (p_partkey % 997) AS name FROM part),
+          SELECT 'archive_' || p_type AS db, p_brand || '_' || p_name || '_' || p_size AS name FROM part),
         stored AS (
-          SELECT 'archive_parts.' || lower(regexp_replace(name, '[^A-Za-z0-9_]', '_', 'g')) AS subject, count(*) AS tables,
-                 min(CASE WHEN regexp_matches(name, '[^A-Za-z0-9_]') THEN 'archive_parts.' || name END) AS renamed
+          SELECT lower(regexp_replace(db, '[^A-Za-z0-9_]', '_', 'g') || '.' || regexp_replace(name, '[^A-Za-z0-9_]', '_', 'g'))
+                   AS subject,
+                 count(*) AS tables,
+                 min(CASE WHEN regexp_matches(db || name, '[^A-Za-z0-9_]') THEN db || '.' || name END) AS renamed
           FROM names GROUP BY 1)
         SELECT 'target_collision' AS rule, subject, tables || ' tables share this target' AS detail
         FROM stored WHERE tables > 1
@@ -201,7 +203,7 @@ ORACLE = {
         SELECT table_name, count(*) AS row_count, count(CASE WHEN e <= TIMESTAMP '1998-01-01' THEN 1 END) AS expired_count,
                min(e) AS first_expiry, max(e) AS last_expiry
         FROM stamped GROUP BY table_name""",
-    "table_ages": """
+    "table_age": """
         WITH ages AS (
           SELECT 'orders' AS table_name, max(o_orderdate) AS newest FROM orders
           UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem

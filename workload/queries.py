@@ -7,14 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from coldshelf.functions import retention
 from coldshelf.functions.documents import lookup, string_map
 from coldshelf.functions.naming import bucket, jdbc_address, qualified_name
-from coldshelf.functions.retention import is_retention_literal, retention_days
+from coldshelf.operators import discover as discovery
+from coldshelf.operators import manifest as jobs
+from coldshelf.operators import retire
 from coldshelf.operators.archive import archive_table, ensure_database
-from coldshelf.operators.discover import discover, discovery_counts, discovery_documents, filter_inventory
-from coldshelf.operators.manifest import ARGUMENTS, manifest, manifest_violations, script_args
+from coldshelf.operators.manifest import ARGUMENTS
 from coldshelf.operators.purge import purge
-from coldshelf.operators.retire import expired, expiry_summary, table_age
 from coldshelf.operators.stamp import ADDED_AT, EXPIRES_AT, expiry, stamp
 from coldshelf.operators.validate import violations
 from coldshelf.plans.fanout import append_run_log, archive_many
@@ -119,7 +120,7 @@ def retention_stamp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamp(table(spark, sf_dir, "orders"), "6m", RUN_TS, NTZ)
 
 
-def retention_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def retention_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event's user id as a length, in units good and bad."""
     unit = F.when(F.col("event_type") == "error", "w").otherwise(
         F.element_at(F.array(F.lit("d"), F.lit("M"), F.lit("y")), (F.col("event_id") % 3 + 1).cast("int"))
@@ -129,8 +130,8 @@ def retention_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         "event_id",
         "literal",
-        is_retention_literal(literal).alias("well_formed"),
-        retention_days(literal).cast("bigint").alias("days"),
+        retention.is_retention_literal(literal).alias("well_formed"),
+        retention.retention_days(literal).cast("bigint").alias("days"),
     )
 
 
@@ -239,41 +240,41 @@ def inventory_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = table(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("table_schema"), F.col("c_name").alias("table_name")
     )
-    return filter_inventory(listed, ["BUILDING", "MACHINERY"], ["Customer#0+1", "(?P<n>Cust).*5"], [".*7", "x|.*9"])
+    return discovery.filter_inventory(listed, ["BUILDING", "MACHINERY"], ["Customer#0+1", "(?P<n>Cust).*5"], [".*7", "x|.*9"])
 
 
 def discovery_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _discovered(spark, sf_dir).select("source_name", "table_schema", "table_name")
 
 
-def discovery_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discovery_counts(_inventory(spark, sf_dir), source_rows(_configs(spark, sf_dir)))
+def discovery_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discovery.discovery_counts(_inventory(spark, sf_dir), source_rows(_configs(spark, sf_dir)))
 
 
 def discovery_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A small document size, so that sources need several."""
-    return discovery_documents(_discovered(spark, sf_dir), max_tables=8)
+    return discovery.discovery_documents(_discovered(spark, sf_dir), max_tables=8)
 
 
-def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest(_discovered(spark, sf_dir)).select("source_name", *ARGUMENTS)
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.manifest(_discovered(spark, sf_dir)).select("source_name", *ARGUMENTS)
 
 
 def manifest_first_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the first source of each config, as JSON job arguments."""
     sources = source_rows(_configs(spark, sf_dir), only_first_source=True)
-    jobs = script_args(manifest(discover(_inventory(spark, sf_dir), sources)))
-    return jobs.select(F.to_json(F.struct("script_args")).alias("job"))
+    rows = jobs.manifest(discovery.discover(_inventory(spark, sf_dir), sources))
+    return jobs.script_args(rows).select(F.to_json(F.struct("script_args")).alias("job"))
 
 
 def manifest_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part names as table names: blanks are unsafe and many names repeat."""
+    """Parts as tables: brands hold a ``#``, names a blank, and many repeat."""
     part = table(spark, sf_dir, "part")
     rows = part.select(
-        F.lit("archive_parts").alias("target_glue_db"),
-        F.concat_ws("_", "p_type", "p_name", (F.col("p_partkey") % 997).cast("string")).alias("target_glue_table"),
+        F.concat(F.lit("archive_"), "p_type").alias("target_glue_db"),
+        F.concat_ws("_", "p_brand", "p_name", "p_size").alias("target_glue_table"),
     )
-    return manifest_violations(rows)
+    return jobs.manifest_violations(rows)
 
 
 def config_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,23 +355,23 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def expired_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders stamped as of their own date, under a policy by priority."""
-    return expired(_dated_orders(spark, sf_dir), dt.datetime(1998, 1, 1))
+    return retire.expired(_dated_orders(spark, sf_dir), dt.datetime(1998, 1, 1))
 
 
 def expiry_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
     shipped = lineitem.withColumn(EXPIRES_AT, expiry(F.col("l_shipdate"), F.lit("1y"), NTZ))
     tables = {"orders": _dated_orders(spark, sf_dir), "lineitem": shipped}
-    return expiry_summary(tables, dt.datetime(1998, 1, 1))
+    return retire.expiry_summary(tables, dt.datetime(1998, 1, 1))
 
 
-def table_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {
         "orders": (table(spark, sf_dir, "orders"), "o_orderdate"),
         "lineitem": (table(spark, sf_dir, "lineitem"), "l_shipdate"),
         "events": (table(spark, sf_dir, "events"), "ts"),
     }
-    return table_age(tables, "20y", dt.datetime(2022, 1, 1))
+    return retire.table_age(tables, "20y", dt.datetime(2022, 1, 1))
 
 
 # --- shared parts ----------------------------------------------------------
@@ -399,10 +400,9 @@ def _archive_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple
         ("tables", SOURCE_SCHEMA, n, connection, f"{folder}/{connection}/{SOURCE_SCHEMA}/{n}/", database, f"{SOURCE_SCHEMA}_{n}", "6m")
         for n in names
     ]
-    jobs = spark.createDataFrame(rows, ["source_name", *ARGUMENTS])
     statuses = archive_many(
         spark,
-        jobs,
+        spark.createDataFrame(rows, ["source_name", *ARGUMENTS]),
         lambda row: table(spark, sf_dir, row.source_table),
         run_ts=RUN_TS,
         ts_type=NTZ,
@@ -456,7 +456,7 @@ def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discover(_inventory(spark, sf_dir), source_rows(_configs(spark, sf_dir)))
+    return discovery.discover(_inventory(spark, sf_dir), source_rows(_configs(spark, sf_dir)))
 
 
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,7 +474,7 @@ QUERIES = {
         inventory_scan,
         config_lookup,
         retention_stamp_orders,
-        retention_literals,
+        retention_days,
         address_parts,
         archive_roundtrip_lineitem,
         archive_roundtrip_arrays,
@@ -485,15 +485,15 @@ QUERIES = {
         purge_report,
         inventory_filter,
         discovery_result,
-        discovery_count,
+        discovery_counts,
         discovery_document,
-        manifest_rows,
+        manifest,
         manifest_first_source,
         manifest_conflicts,
         config_violations,
         request_stream,
         expired_rows,
         expiry_overview,
-        table_ages,
+        table_age,
     )
 }
