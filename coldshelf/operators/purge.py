@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from coldshelf.functions.naming import qualified_name
-from coldshelf.sources.lake import delete_files, is_inside, list_tables, table_location
+from coldshelf.sources.lake import catalog_entry, delete_files, is_inside, list_tables
 
 _REPORT = "table_name string, location string, dropped boolean"
 
@@ -32,7 +32,8 @@ def purge(
     for row in list_tables(spark, database, catalog).toLocalIterator():
         name = qualified_name(catalog, database, row.table_name)
         # A lake catalog owns its tables' files and deletes them itself.
-        folder = None if catalog else table_location(spark, name)[1]
+        entry = None if catalog else catalog_entry(spark, name)
+        folder = entry and (entry.archive_path or entry.location)
         planned.append((row.table_name, name, folder))
     strays = [folder for _, _, folder in planned if folder and not any(is_inside(spark, folder, r) for r in roots)]
     if strays:
