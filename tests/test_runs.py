@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from coldshelf.functions.naming import jdbc_name
 from coldshelf.operators.manifest import ARGUMENTS
+from coldshelf.plans import fanout
 from coldshelf.plans.fanout import append_run_log, archive_many
 from coldshelf.plans.pipeline import InvalidConfig, find_connection, run_archive
 from coldshelf.sources.config import parse_configs, source_rows
@@ -73,6 +74,17 @@ def test_clashing_targets_are_refused(spark, name, jobs):
     assert done["a"].error == "2 tables share this target"
 
 
+def test_statuses_are_reported_on_the_way(spark, jobs, monkeypatch):
+    monkeypatch.setattr(fanout, "REPORT_EVERY", 3)
+    reports = []
+    rows = jobs(*(f"t{i}" for i in range(10)))
+    done = archive_many(
+        spark, rows, lambda row: spark.range(1), on_statuses=lambda df: reports.append([r.source_table for r in df.collect()]), max_concurrent=2
+    )
+    assert len(reports) >= 3 and all(len(r) >= 3 for r in reports[:-1])
+    assert sorted(t for r in reports for t in r) == sorted(r.source_table for r in done.collect())
+
+
 def test_no_tables_is_no_error(spark, jobs):
     assert archive_many(spark, jobs("a").limit(0), lambda row: None).count() == 0
 
@@ -174,6 +186,16 @@ def test_inline_connection(spark, name, shop, tmp_path):
     assert done["shop_items"].row_count == 30
 
 
+def test_options_for_one_table(spark, name, shop, tmp_path):
+    def options(row):
+        return {"options": {"customSchema": '`id` string'}} if row.source_table == "shop_orders" else None
+
+    done = run_archive(spark, frame(spark, request(tmp_path, name)), {"shop_db": shop}, scan_options=options, run_ts=RUN_TS)
+    assert {r.status for r in done.collect()} == {"archived"}
+    kinds = {t: dict(read_archive(spark, f"archive_{name}_dev", f"public_{t}").dtypes)["id"] for t in ("shop_orders", "shop_items")}
+    assert kinds == {"shop_orders": "string", "shop_items": "bigint"}
+
+
 def test_unregistered_connection():
     with pytest.raises(ValueError, match="not registered"):
         find_connection("nowhere", {})
