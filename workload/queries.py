@@ -446,10 +446,10 @@ def _configs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as the tables of their nation's connection."""
+    """Customers as the tables of their nation's database."""
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        F.concat("n_name", F.lit("_dev")).alias("connection"),
+        F.concat(F.lit("db."), F.lower("n_name")).alias("connection_value"),
         F.col("c_mktsegment").alias("table_schema"),
         F.col("c_name").alias("table_name"),
     )
