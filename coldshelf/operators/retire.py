@@ -44,7 +44,8 @@ def table_age(tables: Mapping[str, tuple[DataFrame, str]], policy: str, as_of: d
     for name, (df, column) in tables.items():
         limit = run_time(as_of - dt.timedelta(days=days), dict(df.dtypes)[column])
         newest = df.agg(F.max(column).alias("newest"))
-        parts.append(newest.select(F.lit(name).alias("table_name"), "newest", (F.col("newest") <= limit).alias("eligible")))
+        eligible = (F.col("newest") <= limit).alias("eligible")
+        parts.append(newest.select(F.lit(name).alias("table_name"), "newest", eligible))
     return _union(parts)
 
 

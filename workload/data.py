@@ -56,6 +56,8 @@ def source_database(spark: SparkSession, sf_dir: str, *names: str) -> Connection
         )
     connection = embedded(spark, f"source:{sf_dir}")
     for name in names:
+        if _mark(spark, connection, jdbc_name(SOURCE_SCHEMA, name)) in _loaded:
+            continue
         keys = [PRIMARY_KEYS[name], *([HOT_KEY] if name == "lineitem" else [])]
         load(spark, connection, table(spark, sf_dir, name), jdbc_name(SOURCE_SCHEMA, name), keys)
     return connection
@@ -85,7 +87,7 @@ def load(
 ) -> None:
     """Write a DataFrame to the embedded database, once per application, and
     index its keys as a source database would."""
-    mark = (spark.sparkContext.applicationId, connection.url, relation)
+    mark = _mark(spark, connection, relation)
     if mark in _loaded:
         return
     # The default text type of this database cannot be compared or sorted.
@@ -102,6 +104,10 @@ def load(
     _loaded.add(mark)
 
 
+def _mark(spark: SparkSession, connection: Connection, relation: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, connection.url, relation
+
+
 def load_catalog(spark: SparkSession, connection: Connection, names: list[str]) -> None:
     """Give the embedded database the standard catalog views of its tables."""
     keys = [(SOURCE_SCHEMA, n, f"pk_{n}", c, i) for n in names for i, c in enumerate(PRIMARY_KEYS[n], 1)]
