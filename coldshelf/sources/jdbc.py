@@ -146,7 +146,8 @@ def scan(
     """Whole table as a lazy DataFrame, one database query per partition.
 
     With ``key_columns`` the table is read in ranges of about equal row count
-    (:func:`key_ranges`); without them it is one partition. ``options`` are
+    (:func:`key_ranges`); without them, or if none of them can split it, it is
+    one partition. ``options`` are
     passed to the reader (``customSchema`` for a bare numeric, for example).
     """
     ranges = []
@@ -168,13 +169,16 @@ def scan_table(
 ) -> DataFrame:
     """Whole source table, read by its quoted name.
 
-    A PostgreSQL table without ``key_columns`` is read in ranges of its pages
+    A PostgreSQL table that no key splits is read in ranges of its pages
     (:func:`page_ranges`), so that no table is one task's work for want of a key.
     """
     relation = jdbc_name(schema, table)
-    if key_columns or connection.driver != POSTGRES_DRIVER:
-        return scan(spark, connection, relation, key_columns, unique_key, rows_per_partition, sample_percent, options)
-    return _read(spark, connection, relation, page_ranges(spark, connection, relation), options)
+    ranges = []
+    if key_columns:
+        ranges = key_ranges(spark, connection, relation, key_columns, unique_key, rows_per_partition, sample_percent)
+    if not ranges and connection.driver == POSTGRES_DRIVER:
+        ranges = page_ranges(spark, connection, relation)
+    return _read(spark, connection, relation, ranges, options)
 
 
 def _read(
@@ -228,20 +232,20 @@ def key_ranges(
     database in one pass over the key's index, so gaps and clusters do not
     matter. A value that alone fills several parts (a hot key) is split again by
     the next key column, and after the last one by the table's other number and
-    time columns.
+    time columns. Key columns of other types (floats, zoned timestamps) are passed
+    over; if that leaves none, there are no ranges.
 
     ``sample_percent`` looks for boundaries in a block sample of the table
     instead of all its keys (PostgreSQL). Parts get less even, no less whole.
     """
     columns = {f.name.lower(): f for f in scan(spark, connection, relation).schema.fields}
-    key = [columns[name.lower()] for name in key_columns]
-    for column in key:
-        if not isinstance(column.dataType, _KEY_TYPES):
-            raise ValueError(f"column {column.name} cannot split a scan: {column.dataType.simpleString()}")
+    key = [f for f in (columns[name.lower()] for name in key_columns) if isinstance(f.dataType, _KEY_TYPES)]
+    if not key:
+        return []
     others = [f for f in columns.values() if f not in key and isinstance(f.dataType, _NUMBER_AND_TIME)]
     names = [f.name for f in [*key, *others]]
     slots = spark.sparkContext.defaultParallelism
-    if unique_key and len(key) == 1 and _is_whole_number(key[0].dataType):
+    if unique_key and len(key_columns) == 1 and _is_whole_number(key[0].dataType):
         strides = _even_strides(spark, connection, relation, names[0], slots, rows_per_partition)
         if strides:
             return strides

@@ -91,10 +91,20 @@ def test_default_part_sizes(spark, source):
     assert scan(spark, source, "few", ["k"]).count() == 10
 
 
-def test_key_must_be_comparable(spark, source):
-    load(spark, source, spark.range(3).select(F.col("id").cast("double").alias("x")), "floats")
-    with pytest.raises(ValueError, match="cannot split"):
-        key_ranges(spark, source, "floats", ["x"])
+def test_key_columns_that_cannot_split(spark, source, monkeypatch):
+    df = spark.range(300).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("k"))
+    load(spark, source, df, jdbc_name("odd", "floats"))
+    floats = jdbc_name("odd", "floats")
+    assert key_ranges(spark, source, floats, ["x"]) == []
+    assert scan(spark, source, floats, ["x"]).count() == 300
+    # The leading column is passed over, and the rest is no unique key by itself.
+    split = scan(spark, source, floats, ["x", "k"], unique_key=True, rows_per_partition=100)
+    assert split.count() == 300 and split.rdd.getNumPartitions() > 2
+    pages = []
+    monkeypatch.setattr(jdbc, "POSTGRES_DRIVER", source.driver)
+    monkeypatch.setattr(jdbc, "page_ranges", lambda *_: (pages.append(1), ["1 = 1", "1 = 0"])[1])
+    assert scan_table(spark, source, "odd", "floats", ["x"]).count() == 300 and pages == [1]
+    assert scan_table(spark, source, "odd", "floats", ["k"]).count() == 300 and pages == [1]
 
 
 def test_empty_table(spark, source):

@@ -52,7 +52,8 @@ def test_a_failing_table_leaves_the_others_done(spark, name, jobs):
 
     done = by_table(archive_many(spark, jobs("a", "gone", "broken", "b"), read, run_ts=RUN_TS))
     assert {t: r.status for t, r in done.items()} == {"a": "archived", "b": "archived", "gone": "failed", "broken": "failed"}
-    assert "table is gone" in done["gone"].error and "bad block" in done["broken"].error
+    assert done["gone"].error == "RuntimeError: table is gone"
+    assert "bad block" in done["broken"].error and "\tat " not in done["broken"].error
     assert read_archive(spark, name, "main_b").count() == 5
     assert not spark.catalog.tableExists(f"{name}.main_broken")
 
