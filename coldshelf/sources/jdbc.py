@@ -46,6 +46,8 @@ class Connection:
     driver: str = POSTGRES_DRIVER
     # Without a fetch size the PostgreSQL driver holds a whole result in memory.
     fetch_size: int = 10_000
+    # The most connections one scan holds at a time; None leaves it to the cores.
+    max_connections: int | None = None
     # False for databases that number rows only in the order of a subquery.
     window_order: bool = True
     properties: Mapping[str, str] = field(default_factory=dict, repr=False)
@@ -192,7 +194,9 @@ def _read(
     if len(ranges) < 2:
         return spark.read.format("jdbc").options(**options).option("dbtable", relation).load()
     url = options.pop("url")
-    return spark.read.jdbc(url, relation, predicates=list(ranges), properties=options)
+    df = spark.read.jdbc(url, relation, predicates=list(ranges), properties=options)
+    # A task reads its ranges one after another, on one connection at a time.
+    return df.coalesce(connection.max_connections) if connection.max_connections else df
 
 
 def page_ranges(

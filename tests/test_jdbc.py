@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -107,6 +108,13 @@ def test_key_columns_that_cannot_split(spark, source, monkeypatch):
     assert scan_table(spark, source, "odd", "floats", ["k"]).count() == 300 and pages == [1]
 
 
+def test_connections_are_limited(spark, source):
+    load(spark, source, spark.range(1000).select(F.col("id").alias("k")), "limited")
+    few = scan(spark, replace(source, max_connections=3), "limited", ["k"], rows_per_partition=50)
+    assert few.rdd.getNumPartitions() == 3
+    assert spark_rows(few) == spark_rows(scan(spark, source, "limited"))
+
+
 def test_empty_table(spark, source):
     load(spark, source, spark.createDataFrame([], "k int, s string"), "empty")
     assert scan(spark, source, "empty", ["k"], unique_key=True).count() == 0
