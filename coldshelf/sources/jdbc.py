@@ -117,13 +117,16 @@ def inventory(
 def primary_keys(spark: SparkSession, connection: Connection, schemas: Sequence[str]) -> DataFrame:
     """Primary-key columns in key order: (table_schema, table_name, key_columns)."""
     names = ["constraint_schema", "constraint_name", "table_schema", "table_name"]
+    listed = F.col("table_schema").isin(list(schemas))
     constraints = (
         scan(spark, connection, "information_schema.table_constraints")
-        .filter(F.col("table_schema").isin(list(schemas)) & (F.col("constraint_type") == "PRIMARY KEY"))
+        .filter(listed & (F.col("constraint_type") == "PRIMARY KEY"))
         .select(*(F.col(n).alias(n) for n in names))
     )
-    usage = scan(spark, connection, "information_schema.key_column_usage").select(
-        *(F.col(n).alias(n) for n in [*names, "column_name", "ordinal_position"])
+    usage = (
+        scan(spark, connection, "information_schema.key_column_usage")
+        .filter(listed)
+        .select(*(F.col(n).alias(n) for n in [*names, "column_name", "ordinal_position"]))
     )
     # A key has at most a few dozen columns, so each list is small.
     column = F.struct("ordinal_position", "column_name")
@@ -149,8 +152,8 @@ def scan(
 
     With ``key_columns`` the table is read in ranges of about equal row count
     (:func:`key_ranges`); without them, or if none of them can split it, it is
-    one partition. ``options`` are
-    passed to the reader (``customSchema`` for a bare numeric, for example).
+    one partition. ``options`` are passed to the reader (``customSchema`` for a
+    bare numeric, for example).
     """
     ranges = []
     if key_columns:

@@ -159,7 +159,9 @@ def test_broken_config_is_refused_before_any_read(spark, name, tmp_path):
 
 
 def test_broken_configs_can_be_left_out(spark, name, shop, tmp_path):
-    configs = frame(spark, request(tmp_path, name, tables="[shop_items]"), request(tmp_path, name, policy="6w"), "a: [")
+    good = request(tmp_path, name, tables="[shop_items]")
+    bad = [request(tmp_path, name, policy="6w"), "a: [", request(tmp_path, name, tables='["shop_(", "x"]')]
+    configs = frame(spark, good, *bad)
     options = {"run_ts": RUN_TS, "on_invalid": "report", "run_log": f"{name}_log.runs"}
     spark.sql(f"CREATE DATABASE {name}_log")
     run_archive(spark, configs, {"shop_db": shop}, **options)
@@ -168,7 +170,9 @@ def test_broken_configs_can_be_left_out(spark, name, shop, tmp_path):
         ("0", "shop_items", "archived"),
         ("1", "", "invalid"),
         ("2", "", "invalid"),
+        ("3", "", "invalid"),
     ]
+    assert "pattern 'shop_('" in next(r.error for r in done if r.config_id == "3")
     assert len({r.run_id for r in done}) == 1
     with pytest.raises(ValueError):
         run_archive(spark, configs, {"shop_db": shop}, on_invalid="ignore")
