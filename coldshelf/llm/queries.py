@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe
+from coldshelf.llm import bpe, packing
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -20,6 +20,14 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of the corpus's own mixture."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all texts and what they decode to, as digests."""
     ids = bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -33,6 +41,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op8_bpe": op8_bpe,
 }
 
