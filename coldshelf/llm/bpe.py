@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from coldshelf.llm.cluster import extended, ship
-from coldshelf.llm.textops import mix, pieces, powers, spans
+from coldshelf.llm.textops import pieces, range_hashes, spans
 
 # Fixed values of byte-level BPE: contractions that are pre-tokens, Unicode white space,
 # and the bytes that stand for themselves in vocabulary strings.
@@ -185,7 +185,7 @@ class Bpe:
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         begin = pretoken_starts(points, bounds) if len(points) else np.zeros(0, np.int64)
         size = np.diff(np.append(begin, len(points)))
-        _, where, which = np.unique(_point_hashes(points, begin, size), return_index=True, return_inverse=True)
+        _, where, which = np.unique(range_hashes(points, begin, begin + size), return_index=True, return_inverse=True)
         known = self._known([joined[a : a + n] for a, n in zip(begin[where].tolist(), size[where].tolist())])
         width = self.id_type.itemsize
         known_size = np.fromiter(map(len, known), np.int64, len(known)) // width
@@ -237,23 +237,6 @@ def _table(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(strings), np.uint8), begin
 
 
-def _point_hashes(points: np.ndarray, begin: np.ndarray, size: np.ndarray, block: int = 1 << 18) -> np.ndarray:
-    """64 bits of each range of code points."""
-    out = np.empty(len(begin), np.uint64)
-    end = begin + size
-    low = 0
-    while low < len(begin):
-        base = begin[low]
-        high = max(low + 1, int(np.searchsorted(end, base + block, side="right")))
-        length = int(end[high - 1] - base)
-        up, down = powers(length)
-        terms = (points[base : base + length].astype(np.uint64) + np.uint64(1)) * up[:length]
-        at = begin[low:high] - base
-        out[low:high] = np.add.reduceat(terms, at) * down[at]
-        low = high
-    return mix(out + size.astype(np.uint64))
-
-
 _WORKER: dict[tuple, Bpe] = {}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, packing
+from coldshelf.llm import bpe, packing, rules
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -40,9 +40,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, compression ratios and verdict of every document."""
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op8_bpe": op8_bpe,
+    "op10_rules": op10_rules,
 }
 
 #: DuckDB's SQL for the queries that it can express.

@@ -114,34 +114,66 @@ class Words:
         return self._hash
 
     def _hashes(self) -> np.ndarray:
-        out = np.empty(len(self.start), np.uint64)
-        low = 0
-        while low < len(out):
-            base = self.start[low]
-            high = max(low + 1, int(np.searchsorted(self.end, base + _BLOCK, side="right")))
-            up, down = powers(int(self.end[high - 1] - base))
-            size = self.end[high - 1] - base
-            terms = self._value[self.data[base : base + size]] * up[:size]
-            begin = self.start[low:high] - base
-            out[low:high] = np.add.reduceat(terms, begin) * down[begin]
-            low = high
-        return mix(out + (self.end - self.start).astype(np.uint64) * np.uint64(_INVERSE))
+        return range_hashes(self.data, self.start, self.end, self._value)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all ``width`` consecutive words, none across texts, and the first one of each text."""
-    total = len(hashes)
-    size = max(0, total - width + 1)
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """64 bits of each range of ``values``, which a table may map; ranges ascend and don't overlap.
+
+    A place between two ranges must count as 0 in the table. Without a table every place
+    belongs to a range.
+    """
+    out = np.empty(len(start), np.uint64)
+    low = 0
+    while low < len(out):
+        base = start[low]
+        high = max(low + 1, int(np.searchsorted(end, base + _BLOCK, side="right")))
+        size = int(end[high - 1] - base)
+        up, down = powers(size)
+        part = values[base : base + size]
+        terms = (part.astype(np.uint64) + np.uint64(1) if table is None else table[part]) * up[:size]
+        begin = start[low:high] - base
+        out[low:high] = np.add.reduceat(terms, begin) * down[begin]
+        low = high
+    return mix(out + (end - start).astype(np.uint64) * np.uint64(_INVERSE))
+
+
+def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all ``width`` consecutive words, none across texts; the number of each one's
+    first word, and of each text's first window."""
+    size = max(0, len(hashes) - width + 1)
     out = np.zeros(size, np.uint64)
     for place in range(width):
         out *= np.uint64(_BASE)
         out += hashes[place : place + size]
     lengths = np.maximum(np.diff(first) - width + 1, 0)
-    begin = np.concatenate(([0], np.cumsum(lengths)))
-    return mix(out[spans(first[:-1], lengths)]), begin
+    word = spans(first[:-1], lengths)
+    return mix(out[word]), word, np.concatenate(([0], np.cumsum(lengths)))
+
+
+def repeated(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether each key occurs twice or more among the keys of its text."""
+    text = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
+    _, which, count = np.unique(keys ^ mix(text + np.uint64(1)), return_inverse=True, return_counts=True)
+    return count[which] > 1
+
+
+def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the values of each text."""
+    return np.diff(prefix_sums(values)[bounds])
+
+
+def repeat_words(words: "Words", width: int) -> np.ndarray:
+    """Words of each text that lie in a ``width``-word window found twice or more in it."""
+    keys, word, begin = windows(words.hash, words.first, width)
+    again = word[repeated(keys, begin)]
+    change = np.zeros(len(words.hash) + 1, np.int64)
+    change[again] += 1
+    change[again + width] -= 1
+    return per_text(np.cumsum(change)[:-1] > 0, words.first)
 
 
 def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
