@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, packing, rules
+from coldshelf.llm import bpe, packing, quality, rules
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -20,6 +20,11 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document; no given label is used."""
+    return quality.scored(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of the corpus's own mixture."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -46,6 +51,7 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op8_bpe": op8_bpe,
     "op10_rules": op10_rules,
