@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, packing, quality, rules
+from coldshelf.llm import bpe, minhash, packing, quality, rules
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -33,6 +33,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similarity 0.85 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(percent=85))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all texts and what they decode to, as digests."""
     ids = bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -53,6 +58,7 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op5_minhash": op5_minhash,
     "op8_bpe": op8_bpe,
     "op10_rules": op10_rules,
 }
