@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, minhash, packing, quality, rules
+from coldshelf.llm import bpe, licenses, minhash, packing, quality, rules
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -33,6 +33,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and template labels of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of similarity 0.85 or more."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(percent=85))
@@ -58,10 +63,56 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op3_licenses": op3_licenses,
     "op5_minhash": op5_minhash,
     "op8_bpe": op8_bpe,
     "op10_rules": op10_rules,
 }
 
+def _license_sql() -> str:
+    """Every block against every template, word by word, without an index or a filter."""
+    step = licenses.BLOCK // 2
+    capitals, gaps = licenses._CAPITALS, licenses._GAPS
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    templates = ", ".join(
+        f"({i}, '{label}', {quoted(sorted(set(licenses.template_words(text))))})"
+        for i, (label, text) in enumerate(licenses.TEMPLATES)
+    )
+    places, base = [], []
+    for phrase, label in licenses.PHRASES.items():
+        parts = phrase.split(" ")
+        same = " AND ".join(f"words[i + {k + 1}] = '{w}'" for k, w in enumerate(parts))
+        places.append(f"list_filter(range(0, len(words) - {len(parts) - 1}), lambda i: {same})")
+        base.append(f"CASE WHEN len({places[-1]}) > 0 THEN '{label}' END")
+    return f"""
+    WITH lines AS (
+      SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}'), '{gaps}', ' ', 'g')) AS line
+      FROM documents
+    ), w AS (
+      SELECT row_number() OVER () AS r, doc_id, CASE WHEN line = '' THEN [] ELSE string_split(line, ' ') END AS words FROM lines
+    ), t(template, label, tw) AS (VALUES {templates}
+    ), b AS (
+      SELECT r, unnest(list_transform(range(0, greatest(1, CAST(ceil((len(words) - {step}) / {step}.0) AS BIGINT))),
+        lambda k: list_distinct(words[k * {step} + 1 : k * {step} + {licenses.BLOCK}]))) AS bw
+      FROM w
+    ), m AS (
+      SELECT r, label, len(list_intersect(bw, tw)) / len(tw) AS containment
+      FROM b, t WHERE len(list_intersect(bw, tw)) >= {licenses.THRESHOLD} * len(tw)
+    ), f AS (SELECT r, list(DISTINCT label) AS found, max(containment) AS containment FROM m GROUP BY r
+    ), p AS (
+      SELECT r, doc_id, len(words) AS n_words, list_concat({places[0]}, list_concat({places[1]}, {places[2]})) AS places,
+        list_filter([{", ".join(base)}], lambda x: x IS NOT NULL) AS base
+      FROM w
+    )
+    SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+      array_to_string(list_sort(base), ',') AS base_labels,
+      array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels,
+      CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(containment, 0.0)::DOUBLE END AS score
+    FROM p LEFT JOIN f USING (r)
+    """
+
+
 #: DuckDB's SQL for the queries that it can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_licenses": _license_sql(),
+}
