@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldshelf.llm.cluster import extended, ship
-from coldshelf.llm.textops import SPACES, Words, flat, mix, per_text, pieces, range_hashes, repeat_words
+from coldshelf.llm.cluster import extended, ship, written
+from coldshelf.llm.textops import Words, flat, mix, per_text, pieces, range_hashes, repeat_words
 
-SAMPLE = 8192
+#: Documents that the scorer is fitted on, about.
+SAMPLE = 4096
 BITS = 15
 #: Only what is clearly bad goes.
 THRESHOLD = 0.3
@@ -141,17 +142,25 @@ def _features(words: Words, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return row, bucket, weight / length[row]
 
 
-def signals(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the measures that the labellers look at, of every whole text."""
+def signals(docs: DataFrame, features: bool = False) -> DataFrame:
+    """``doc_id`` and the measures that the labellers look at, of every whole text.
+
+    With ``features`` also its hashed features: the arrays buckets and weights.
+    """
     ship(docs.sparkSession)
     rows = docs.select("doc_id", "text")
-    schema = extended(rows.drop("text"), SIGNALS)
+    schema = extended(rows.drop("text"), SIGNALS + (", buckets array<int>, weights array<float>" if features else ""))
 
     def run(batches):
         for batch in batches:
             for low, high in pieces(batch.column("text")):
                 words = Words(*flat(batch.column("text").slice(low, high - low)))
                 columns = [pa.array(c) for c in _signals(words)]
+                if features:
+                    row, bucket, weight = _features(words, BITS)
+                    bounds = pa.array(np.searchsorted(row, np.arange(high - low + 1)), pa.int32())
+                    lists = pa.array(bucket, pa.int32()), pa.array(weight, pa.float32())
+                    columns += [pa.ListArray.from_arrays(bounds, x) for x in lists]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, high - low), *columns], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -206,11 +215,10 @@ def voted(measures: DataFrame, labellers: tuple[Labeller, ...] = LABELLERS) -> D
     return measures.withColumn("votes", F.array(*(x.vote() for x in labellers)))
 
 
-def label_model(votes: DataFrame) -> LabelModel:
-    """The label model of all documents; only the counts of vote patterns reach the driver."""
-    found = votes.groupBy("votes").agg(F.count("*").alias("n")).collect()
-    width = len(LABELLERS)
-    patterns = np.array([r.votes for r in found], np.int64).reshape(-1, width)
+def label_model(counted: DataFrame) -> LabelModel:
+    """The label model of all documents, from the number n of documents with each pattern of votes."""
+    found = counted.collect()  # 3 to the number of labellers at most
+    patterns = np.array([r.votes for r in found], np.int64).reshape(-1, len(LABELLERS))
     order = np.lexsort(patterns.T)
     return fit_label_model(patterns[order], np.array([r.n for r in found], float)[order])
 
@@ -230,19 +238,17 @@ class Scorer:
         return 1 / (1 + np.exp(-odds))
 
 
-def fit_scorer(texts: list[str], label: np.ndarray, bits: int = BITS, rounds: int = 60, decay: float = 1e-5) -> Scorer:
+def fit_scorer(row, bucket, weight, label: np.ndarray, bits: int = BITS, rounds: int = 60, decay: float = 1e-5) -> Scorer:
     """Logistic regression on soft labels by full gradients with momentum.
 
     The bias is the share of good documents, so a text without known features scores that.
     """
-    words = Words(*flat(pa.array(texts, pa.string())))
-    row, bucket, weight = _features(words, bits)
     w, speed, step = np.zeros(1 << bits), np.zeros(1 << bits), 12.0
+    n = len(label)
     share = float(np.clip(label.mean(), 0.01, 0.99))
     bias = float(np.log(share / (1 - share)))
-    n = max(1, len(texts))
     for _ in range(rounds):
-        odds = bias + np.bincount(row, weight * w[bucket], len(texts))
+        odds = bias + np.bincount(row, weight * w[bucket], n)
         error = (1 / (1 + np.exp(-odds)) - label) / n
         slope = np.bincount(bucket, weight * error[row], 1 << bits) + decay * w
         speed = 0.9 * speed - step * slope
@@ -256,20 +262,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
     The sample is every document whose hashed id and text fall below a fixed share, so it is the
     same at each run; it holds every document of a smaller table.
     """
-    votes = voted(signals(docs)).select("votes")
-    model = label_model(votes)
-    total = docs.count()
+    measures = voted(signals(docs))
+    counted = measures.groupBy("votes").agg(F.count("*").alias("n"))
+    model = label_model(counted := written(counted))
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     share = min(1.0, sample / max(1, total))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-    chosen = docs.select("doc_id", "text").filter(place < int(share * (1 << 20)))
-    found = chosen.orderBy("doc_id", "text").limit(2 * sample).collect()
-    texts = [r.text or "" for r in found]
-    if not texts:
+    chosen = docs.select("doc_id", "text").filter(place < int(np.ceil(share * (1 << 20))))
+    found = voted(signals(chosen, features=True)).select("votes", "buckets", "weights")
+    found = found.orderBy("votes", F.xxhash64("buckets", "weights")).toArrow().combine_chunks()
+    if not found.num_rows:
         return Scorer(np.zeros(1 << BITS), float(np.log(model.good / (1 - model.good))), BITS)
-    local = docs.sparkSession.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    marks = {r.doc_id: r.votes for r in voted(signals(local)).select("doc_id", "votes").collect()}
-    label = model.posterior(np.array([marks[i] for i in range(len(texts))], np.int64))
-    return fit_scorer(texts, label)
+    flat_lists = [found.column(c).combine_chunks().flatten().to_numpy() for c in ("votes", "buckets", "weights")]
+    sizes = np.asarray(found.column("buckets").combine_chunks().value_lengths())
+    label = model.posterior(flat_lists[0].reshape(found.num_rows, -1))
+    return fit_scorer(np.repeat(np.arange(len(sizes)), sizes), flat_lists[1], flat_lists[2], label)
 
 
 def scored(docs: DataFrame, scorer: Scorer | None = None, threshold: float = THRESHOLD) -> DataFrame:
