@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, licenses, minhash, packing, quality, rules
+from coldshelf.llm import bpe, licenses, minhash, packing, quality, rules, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -55,6 +55,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, compression ratios and verdict of every document."""
     return rules.judged(table(spark, sf_dir, "documents"))
@@ -66,6 +72,7 @@ QUERIES = {
     "op3_licenses": op3_licenses,
     "op5_minhash": op5_minhash,
     "op8_bpe": op8_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_rules": op10_rules,
 }
 
