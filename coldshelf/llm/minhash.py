@@ -8,7 +8,8 @@ What the estimate leaves is confirmed on the full sets.
 Documents with equal sets are one class from the start. In a bucket of a band, classes are
 compared with the bucket's centre first, the class with most company over all bands; what a
 confirmed link joins needs no more comparing, so a large group of copies costs a row per
-member. The pairs that remain between different components are then compared, all of them.
+member. Where neighbours of one centre remain in different components, all pairs of them are
+compared as well, block by block, and only links are returned.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ from coldshelf.llm.textops import Words, flat, mix, pieces, prefix_sums, spans,
 BROADCAST_BYTES = 64 << 20
 #: A centre with more members than this meets them in several tasks.
 CENTRE_ROWS = 512
+#: Neighbours of a centre that a task takes from each of two blocks, about.
+BLOCK_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -212,51 +216,89 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return written(rows.join(once, "key", "left_semi").select("key", "id").join(company, "id"))
 
 
-def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Buckets with the component of each member, only those with more than one component."""
-    if labels is not None:
-        buckets = buckets.join(labels, buckets.id == labels.node, "left").drop("node")
-    else:
-        buckets = buckets.withColumn("component", F.lit(None).cast("long"))
-    buckets = buckets.withColumn("component", F.coalesce("component", "id"))
-    mixed = buckets.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return written(buckets.join(mixed.filter("low < high").select("key"), "key", "left_semi"))
+def _neighbours(classes: DataFrame) -> DataFrame:
+    """Columns a and b: each bucket's centre with its other members, every pair once.
+
+    Two classes that share a bucket are both neighbours of its centre, or one is the centre.
+    """
+    buckets = _buckets(classes)
+    centres = buckets.groupBy("key").agg(F.max_by("id", F.struct("company", "id")).alias("a"))
+    pairs = buckets.join(written(centres), "key").select("a", F.col("id").alias("b"))
+    return written(pairs.filter("a <> b").distinct())
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs whose sketches leave room for the similarity that links."""
+    sketches = classes.select("doc_id", "sketch")
+    first = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a"))
+    second = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b"))
+    enough = estimate("sketch_a", "sketch_b", settings) >= settings.percent / 100 - settings.slack
+    return pairs.join(first, "a").join(second, "b").filter(enough).select("a", "b")
+
+
+def _among_neighbours(docs: DataFrame, neighbours: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """Links between neighbours of one centre that are in different components, as edges (u, v).
+
+    The neighbours are dealt into blocks and each task compares two blocks on the full sets,
+    so only links leave it. Centres whose neighbours are one component are done.
+    """
+    members = neighbours.join(labels, neighbours.b == labels.node, "left").select(
+        "a", "b", F.coalesce("component", "b").alias("component")
+    )
+    open_centres = (
+        members.groupBy("a")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        .filter("low < high")
+        .select("a", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    )
+    members = written(members.join(written(open_centres), "a"))
+    texts = docs.select("doc_id", "text").join(_small(members, 64), F.col("doc_id") == F.col("b"))
+    sets = shingle_sets(texts.select("a", "b", "component", "blocks", "text"), settings.width)
+    own, other = F.pmod(F.hash("b"), "blocks"), F.col("other")
+    dealt = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "a", F.least(own, other).alias("low"), F.greatest(own, other).alias("high"), "b", "component", "set"
+    )
+    percent = settings.percent
+
+    def compare(group):
+        found = _alike(group["set"].tolist(), group["component"].to_numpy(), percent)
+        ids = group["b"].to_numpy()
+        return pd.DataFrame({"u": ids[found[0]], "v": ids[found[1]]})
+
+    schema = f"u {dict(docs.dtypes)['doc_id']}, v {dict(docs.dtypes)['doc_id']}"
+    return dealt.groupBy("a", "low", "high").applyInPandas(compare, schema)
+
+
+def _alike(sets: list[np.ndarray], component: np.ndarray, percent: int, columns: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of sets in different components that are similar enough."""
+    size = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1  # the others are in no intersection
+    number = np.cumsum(shared) - 1
+    keep = shared[which]
+    owner, which = owner[keep], number[which][keep]
+    order = np.argsort(which, kind="stable")
+    owner, which = owner[order], which[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(shared.sum()), columns):
+        a, b = np.searchsorted(which, (low, low + columns))
+        part = np.zeros((len(sets), columns), np.float32)
+        part[owner[a:b], which[a:b] - low] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    alike = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    return np.nonzero(np.triu(alike & (component[:, None] != component[None, :]), 1))
 
 
 def links(docs: DataFrame, classes: DataFrame, edges: DataFrame, settings: Settings) -> DataFrame:
     """Columns node and component for the classes (doc_id, bands, sketch) that similarity or ``edges`` (u, v) link."""
-    buckets = _buckets(classes)
-    sketches = classes.select(F.col("doc_id").alias("id"), "sketch")
-    likely = settings.percent / 100 - settings.slack
-    tested = labels = None
-    for last in (False, False, True):
-        rows = _labelled(buckets, labels)
-        if last:
-            x, y = rows.alias("x"), rows.alias("y")
-            pairs = x.join(y, F.expr("x.key = y.key AND x.component < y.component")).select(
-                F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")
-            )
-        else:
-            # The component of the centre is done; the next centre is the first outside it.
-            first = rows.groupBy("key").agg(F.max_by(F.struct("id", "component"), F.struct("company", "id")).alias("c"))
-            centres = written(first.select("key", F.col("c.id").alias("a"), F.col("c.component").alias("done")))
-            others = rows.join(centres, "key").filter("component <> done")
-            pairs = others.select("a", F.col("id").alias("b"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = (
-            pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-            .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-            .filter(estimate("sketch_a", "sketch_b", settings) >= likely)
-            .select("a", "b")
-        )
-        pairs = written(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = written(confirmed(docs, pairs, settings).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        edges = edges.unionByName(found)
-        labels = components(edges)
-    return labels
+    neighbours = _neighbours(classes)
+    close = confirmed(docs, _likely(neighbours, classes, settings), settings)
+    edges = written(edges.unionByName(close.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    labels = components(edges)
+    more = written(_among_neighbours(docs, neighbours, labels, settings))
+    return labels if more.isEmpty() else components(edges.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
