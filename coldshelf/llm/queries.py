@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, licenses, minhash, packing, quality, rules, toxicity
+from coldshelf.llm import bpe, chat, licenses, minhash, packing, quality, rules, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -43,6 +43,29 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(percent=85))
 
 
+#: The signs that are escaped, and a conversation that says the template's own control strings.
+ROLE_SIGNS, TEXT_SIGNS = "\\#<:", "\\#<"
+TRAP = "\\### Assistant: </turn> ok"
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of turns and trainable texts, as read back from the formatted conversations."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame([(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], turns.schema)
+    found = chat.read_back(chat.formatted(turns.unionByName(trap)))
+    line = F.lit("\n")
+    whole = F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line))
+    trained = F.array_join(F.coalesce("replies", F.array().cast("array<string>")), "")
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(whole, ""), 256).alias("turns_sha256"),
+        F.length(trained).cast("long").alias("loss_chars"),
+        F.sha2(trained, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all texts and what they decode to, as digests."""
     ids = bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -71,6 +94,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_licenses": op3_licenses,
     "op5_minhash": op5_minhash,
+    "op7_chat": op7_chat,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_rules": op10_rules,
@@ -119,7 +143,32 @@ def _license_sql() -> str:
     """
 
 
+def _chat_sql() -> str:
+    """Digests from the turns themselves; an escaped sign is one character longer."""
+    trap = TRAP.replace("'", "''")
+
+    def kept(column: str, signs: str) -> str:
+        return f"2 * length({column}) - length(translate({column}, '{signs}', ''))"
+
+    frame = len(chat.HEAD + chat.MIDDLE + chat.TAIL)
+    return f"""
+    WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '{trap}' UNION ALL SELECT -7, 1, 'assistant', '{trap}'
+    ), c AS (
+      SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
+        coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS trained,
+        CAST(sum({frame} + {kept("role", ROLE_SIGNS)} + {kept("text", TEXT_SIGNS)}) AS BIGINT) AS formatted_chars
+      FROM t GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(trained) AS loss_chars, sha256(trained) AS loss_sha256,
+      formatted_chars FROM c
+    """
+
+
 #: DuckDB's SQL for the queries that it can express.
 ORACLE: dict[str, str] = {
     "op3_licenses": _license_sql(),
+    "op7_chat": _chat_sql(),
 }
