@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, chat, licenses, minhash, packing, quality, rules, toxicity
+from coldshelf.llm import bpe, chat, licenses, minhash, ngram_lm, packing, quality, rules, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -38,6 +38,11 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and plain score of every document, learned from those that are not held out."""
+    return ngram_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of similarity 0.85 or more."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(percent=85))
@@ -93,6 +98,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_licenses": op3_licenses,
+    "op4_ngram_lm": op4_ngram_lm,
     "op5_minhash": op5_minhash,
     "op7_chat": op7_chat,
     "op8_bpe": op8_bpe,
