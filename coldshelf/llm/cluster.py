@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -53,3 +54,14 @@ def written(df: DataFrame) -> DataFrame:
 def extended(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` with more columns."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
+def carried(docs: DataFrame) -> DataFrame:
+    """``docs`` as two columns, text and all others in doc, so that new columns cannot clash with them."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("doc"), "text")
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from rows that ``carried`` them."""
+    return rows.select(*(F.col("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns))

@@ -338,3 +338,19 @@ def _rows(found: DataFrame, names: DataFrame, labels: DataFrame) -> DataFrame:
         .select("doc_id", "n_shingles", F.when(own, F.coalesce("component", "rep", "doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay when each group of near duplicates keeps one document.
+
+    Of rows with the same doc_id one stays as well; rows without doc_id all stay.
+    """
+    found = written(near_duplicates(docs, settings).select("doc_id", "kept").filter("doc_id IS NOT NULL"))
+    gone = found.filter("NOT kept").select("doc_id").distinct()
+    several = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    gone, several = _small(written(gone), 16), written(several)
+    rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if several.isEmpty():
+        return rest
+    twins = rest.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return rest.join(several, "doc_id", "left_anti").unionByName(twins).select(*docs.columns)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldshelf.llm.cluster import extended, ship, written
+from coldshelf.llm.cluster import carried, extended, restored, ship, written
 from coldshelf.llm.textops import Words, flat, mix, per_text, pieces, range_hashes, repeat_words
 
 #: Documents that the scorer is fitted on, about.
@@ -279,24 +279,34 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
     return fit_scorer(np.repeat(np.arange(len(sizes)), sizes), flat_lists[1], flat_lists[2], label)
 
 
-def scored(docs: DataFrame, scorer: Scorer | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def scored(
+    docs: DataFrame, scorer: Scorer | None = None, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
     """Columns doc_id, n_words, score (0 to 1, higher is better) and kept, for every row of ``docs`` (doc_id, text).
 
     A null or empty text has no features, so its score is that of the bias alone. Rows are
-    scored one by one, repeated ones too; an empty table gives no rows; other columns are left out.
+    scored one by one, repeated ones too; an empty table gives no rows; of the other columns
+    those of ``keep`` are kept.
     """
     spark = docs.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(scorer or fit(docs))
-    rows = docs.select("doc_id", "text")
-    schema = extended(rows.drop("text"), "n_words long, score double, kept boolean")
+    rows = docs.select(*dict.fromkeys((*keep, "text")))
+    schema = extended(rows.select(*keep), "n_words long, score double, kept boolean")
 
     def run(batches):
         for batch in batches:
             for low, high in pieces(batch.column("text")):
-                words = Words(*flat(batch.column("text").slice(low, high - low)))
+                part = batch.slice(low, high - low)
+                words = Words(*flat(part.column("text")))
                 score = model.value.score(words)
                 columns = [pa.array(words.counts()), pa.array(score), pa.array(score >= threshold)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, high - low), *columns], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *columns], names=schema.names)
 
     return rows.mapInArrow(run, schema)
+
+
+def passed(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that a scorer fitted on ``docs`` does not reject."""
+    found = scored(carried(docs), fit(docs), threshold, ("doc", "text"))
+    return restored(found.filter("kept"), docs)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldshelf.llm.cluster import extended, ship
+from coldshelf.llm.cluster import carried, extended, restored, ship
 from coldshelf.llm.textops import Words, flat, per_text, pieces, repeat_words
 
 SYMBOLS = b"#*$%&|<>"
@@ -50,17 +50,18 @@ BANDS = (
 CHUNK_BAND = Band(CHUNK // 2, 0.30, 0.82)
 
 
-def measured(docs: DataFrame, *, chunk: int = CHUNK, level: int = LEVEL) -> DataFrame:
+def measured(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), *, chunk: int = CHUNK, level: int = LEVEL) -> DataFrame:
     """Counts and ratios of every whole text of ``docs`` (doc_id, text).
 
     Columns doc_id, n_bytes, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     ratio, least_chunk and most_chunk. A null or empty text has counts and sizes of 0 and
-    null ratios. Rows are measured one by one, repeated ones too; other columns are left out.
+    null ratios. Rows are measured one by one, repeated ones too; an empty table gives no
+    rows; of the other columns those of ``keep`` are kept.
     """
     ship(docs.sparkSession)
-    rows = docs.select("doc_id", "text")
+    rows = docs.select(*dict.fromkeys((*keep, "text")))
     schema = extended(
-        rows.drop("text"),
+        rows.select(*keep),
         "n_bytes long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "ratio double, least_chunk double, most_chunk double",
     )
@@ -89,7 +90,7 @@ def measured(docs: DataFrame, *, chunk: int = CHUNK, level: int = LEVEL) -> Data
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(low, high - low),
+                        *(batch.column(c).slice(low, high - low) for c in keep),
                         *(pa.array(c.astype(np.int64)) for c in counts),
                         *(pa.array(c, pa.float64()) for c in zip(*ratios)),
                     ],
@@ -129,7 +130,12 @@ def in_bands(bands: tuple[Band, ...] = BANDS, chunks: Band = CHUNK_BAND) -> Colu
     return F.coalesce(verdict & (~several | whole_chunks), F.lit(True))
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``measured`` with base_failed (the plain rules), in_bands and kept (neither objects)."""
-    found = measured(docs).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    found = measured(docs, keep).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     return found.withColumn("in_bands", in_bands()).withColumn("kept", ~F.col("base_failed") & F.col("in_bands"))
+
+
+def passed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the rules keep."""
+    return restored(judged(carried(docs), ("doc", "text")).filter("kept"), docs)
