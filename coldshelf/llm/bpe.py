@@ -13,6 +13,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -103,14 +104,13 @@ def _contract(points, kind, edge, blank, quote, starts) -> None:
 class Bpe:
     """One vocabulary, with a bounded memory of merged pre-tokens."""
 
-    def __init__(self, vocabulary, merges, special, remembered: int = 600_000):
+    def __init__(self, vocabulary, merges, special, remembered: int = 300_000):
         self.special = special
         single = byte_strings()
         self.byte_ids = [0] * 256
         for sign, byte in single.items():
             self.byte_ids[byte] = vocabulary[sign]
-        # (left id, right id) -> (rank, id of both)
-        self.ranks = {(vocabulary[a], vocabulary[b]): (r, vocabulary[a + b]) for r, (a, b) in enumerate(merges)}
+        self._merges = vocabulary, merges
         strings = {i: bytes(single[c] for c in s) for s, i in vocabulary.items()}
         strings |= {i: s.encode() for s, i in special.items()}
         size = max(strings) + 1
@@ -122,6 +122,12 @@ class Bpe:
         self.remembered = remembered
         self.new, self.old = {}, {}
 
+    @cached_property
+    def ranks(self) -> dict[tuple[int, int], tuple[int, int]]:
+        """Rank and id of both for each pair of ids that merges; not needed to decode."""
+        vocabulary, merges = self._merges
+        return {(vocabulary[a], vocabulary[b]): (r, vocabulary[a + b]) for r, (a, b) in enumerate(merges)}
+
     def merge(self, pretoken: str) -> list[int]:
         """The ids of one pre-token."""
         symbol = [self.byte_ids[b] for b in pretoken.encode()]
