@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, chat, licenses, minhash, ngram_lm, packing, quality, rules, toxicity
+from coldshelf.llm import bpe, caps, chat, licenses, minhash, ngram_lm, packing, quality, rules, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -48,6 +48,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(percent=85))
 
 
+def op6_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding at a cosine of 0.93 or more."""
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 #: The signs that are escaped, and a conversation that says the template's own control strings.
 ROLE_SIGNS, TEXT_SIGNS = "\\#<:", "\\#<"
 TRAP = "\\### Assistant: </turn> ok"
@@ -100,6 +105,7 @@ QUERIES = {
     "op3_licenses": op3_licenses,
     "op4_ngram_lm": op4_ngram_lm,
     "op5_minhash": op5_minhash,
+    "op6_caps": op6_caps,
     "op7_chat": op7_chat,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
