@@ -23,10 +23,10 @@ from coldshelf.llm.cluster import extended, ship, written
 from coldshelf.llm.components import components
 
 COSINE = 0.93
-ROTATIONS = 2
+ROTATIONS = 4
 BLOCKS = 2
 #: Chance, by the normal approximation, that a pair just over the threshold shares no filter.
-MISS = 1e-6
+MISS = 1e-5
 #: Standard errors that the number of equal signs may fall short.
 SIGN_SLACK = 4.5
 SIGNS = 64
