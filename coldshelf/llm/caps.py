@@ -23,10 +23,10 @@ from coldshelf.llm.cluster import extended, ship, written
 from coldshelf.llm.components import components
 
 COSINE = 0.93
-ROTATIONS = 4
+ROTATIONS = 8
 BLOCKS = 2
 #: Chance, by the normal approximation, that a pair just over the threshold shares no filter.
-MISS = 1e-5
+MISS = 1e-6
 #: Standard errors that the number of equal signs may fall short.
 SIGN_SLACK = 4.5
 SIGNS = 64
@@ -46,7 +46,7 @@ class Caps:
     def sized(vectors: int, cosine: float) -> Caps:
         """Filters for so many vectors with one label: their number grows with the vectors, so that
         a filter's share of them does not, and each vector has as many as the allowed miss asks for."""
-        words = max(16, math.ceil(math.sqrt(max(1, vectors) / 4)))
+        words = max(24, math.ceil(math.sqrt(max(1, vectors) / 4)))
         filters = words**BLOCKS
         normal, each = NormalDist(), 8.0
         for _ in range(20):
