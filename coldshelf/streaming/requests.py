@@ -1,30 +1,44 @@
-"""Archive requests as a stream: each new config file is handled once."""
+"""Archive requests as a stream: each version of a config file is handled once.
+
+A request is a file's arrival, not its path: a file that is written again is a new
+request, however old its time stamp. What has arrived is found by listing the folder
+against a ledger of the versions handled before, which lies beside the checkpoint; the
+query's own source only says when to look.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from coldshelf.sources.config import parse_configs
+from coldshelf.sources.lake import qualify
+
+_VERSION = ["path", "modificationTime", "length"]
+_PLAN = "path string, modificationTime timestamp, length bigint, value string"
+
 
+def request_files(spark: SparkSession, folder: str, pattern: str = "*.yaml") -> DataFrame:
+    """The versions of the files below a folder, with their content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return files.load(folder)
 
-def request_configs(
-    spark: SparkSession, folder: str, pattern: str = "*.yaml", max_files: int | None = None
+
+def waiting_requests(
+    spark: SparkSession, folder: str, ledger: str, pattern: str = "*.yaml", max_files: int | None = None
 ) -> DataFrame:
-    """Streaming config frame of the files that appear below a folder."""
-    reader = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-    )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.load(folder)
-    return parse_configs(files, F.col("_metadata.file_path"), F.col("value"))
+    """Versions that the ledger does not hold, oldest first; ``max_files`` of them at a time."""
+    files = request_files(spark, folder, pattern).select(*_VERSION)
+    handled = _read_plan(spark, f"{ledger}/*")
+    if handled is not None:
+        files = files.join(handled.select(*_VERSION), _VERSION, "left_anti")
+    return files.orderBy("modificationTime", "path").limit(max_files) if max_files else files
 
 
 def serve_requests(
@@ -39,15 +53,62 @@ def serve_requests(
 ) -> StreamingQuery:
     """Start handling requests; ``handle`` gets the new configs and a run id.
 
-    The checkpoint remembers which files were handled. A batch interrupted by a
-    failure is given to ``handle`` again under the same run id, which is safe
-    for archiving because a rerun replaces what the first run wrote. Without a
-    trigger, all waiting files are handled and the query ends.
+    A run's requests, with their texts, are written down before they are handled: a
+    batch interrupted by a failure is given to ``handle`` again, with the same texts
+    and the same run id, which no other run of this or another stream has. Without a
+    trigger, all waiting requests are handled and the query ends.
     """
+    home = qualify(spark, checkpoint)
+    ledger = f"{home}/requests"
+    stream = hashlib.sha256(home.encode()).hexdigest()[:12]
+
+    def look(_: DataFrame, batch: int) -> None:
+        turn = 0
+        while True:
+            plan = f"{ledger}/run={batch}-{turn}"
+            rows = _read_plan(spark, plan)
+            if rows is None:
+                rows = _plan(spark, folder, ledger, plan, pattern, max_files)
+            if rows is None:
+                return
+            handle(parse_configs(rows, F.col("path"), F.col("value")), f"run_{stream}_{batch}_{turn}")
+            turn += 1
+
+    if trigger:
+        ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    else:
+        # A file of this call's own makes the query look once.
+        tick = f"{home}/ticks"
+        spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("append").text(tick)
+        ticks = spark.readStream.format("text").option("maxFileAge", "36500d").load(tick)
     return (
-        request_configs(spark, folder, pattern, max_files)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, number: handle(batch, f"run_{number}"))
+        ticks.writeStream.option("checkpointLocation", f"{home}/query")
+        .foreachBatch(look)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def _plan(spark, folder: str, ledger: str, plan: str, pattern: str, max_files: int | None) -> DataFrame | None:
+    new = waiting_requests(spark, folder, ledger, pattern, max_files).cache()
+    try:
+        if new.isEmpty():
+            return None
+        oldest = new.agg(F.min("modificationTime")).first()[0]
+        # Only files as young as the oldest new one are opened.
+        files = request_files(spark, folder, pattern).filter(F.col("modificationTime") >= F.lit(oldest))
+        rows = files.join(new, _VERSION, "left_semi").select(*_VERSION, F.col("content").cast("string").alias("value"))
+        rows.coalesce(1).write.parquet(plan)
+    finally:
+        new.unpersist()
+    return _read_plan(spark, plan)
+
+
+def _read_plan(spark: SparkSession, path: str) -> DataFrame | None:
+    """Requests written down at a path; None if none were."""
+    try:
+        return spark.read.schema(_PLAN).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

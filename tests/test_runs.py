@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,7 +156,7 @@ def test_broken_config_is_refused_before_any_read(spark, name, tmp_path):
     unreachable = Connection(url="jdbc:nothing:here", driver="no.such.Driver")
     with pytest.raises(InvalidConfig) as refused:
         run_archive(spark, frame(spark, request(tmp_path, name, policy="6w")), {"shop_db": unreachable})
-    assert [b.rule for b in refused.value.breaches] == ["malformed_retention"]
+    assert [b.rule for b in refused.value.breaches.collect()] == ["malformed_retention"]
 
 
 def test_broken_configs_can_be_left_out(spark, name, shop, tmp_path):
@@ -227,10 +228,74 @@ def test_each_request_is_handled_once(spark, name, tmp_path):
     (folder / "a.yaml").write_text(text.replace("name: shop", "name: a"))
     (folder / "nested" / "b.yaml").write_text(text.replace("name: shop", "name: b"))
     (folder / "c.txt").write_text(text.replace("name: shop", "name: c"))
-    assert serve(spark, tmp_path) == [("run_0", "a"), ("run_0", "b")]
+    first = serve(spark, tmp_path)
+    assert [n for _, n in first] == ["a", "b"] and len({run for run, _ in first}) == 1
     assert serve(spark, tmp_path) == []
     (folder / "d.yaml").write_text(text.replace("name: shop", "name: d"))
-    assert serve(spark, tmp_path) == [("run_1", "d")]
+    second = serve(spark, tmp_path)
+    assert [n for _, n in second] == ["d"] and second[0][0] != first[0][0]
+
+
+def test_edits_and_old_files_are_requests(spark, name, tmp_path):
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    text = request(tmp_path, name)
+    (folder / "a.yaml").write_text(text.replace("name: shop", "name: a"))
+    assert [n for _, n in serve(spark, tmp_path)] == ["a"]
+    (folder / "a.yaml").write_text(text.replace("name: shop", "name: edited"))
+    (folder / "old.yaml").write_text(text.replace("name: shop", "name: old"))
+    os.utime(folder / "old.yaml", (1_000_000_000, 1_000_000_000))
+    assert [n for _, n in serve(spark, tmp_path)] == ["edited", "old"]
+    assert serve(spark, tmp_path) == []
+
+
+def test_all_violations_are_told(spark, name, tmp_path):
+    unreachable = Connection(url="jdbc:nothing:here", driver="no.such.Driver")
+    configs = frame(spark, *(request(tmp_path, name, policy="6w") for _ in range(60)))
+    with pytest.raises(InvalidConfig) as refused:
+        run_archive(spark, configs, {"shop_db": unreachable})
+    assert refused.value.count == refused.value.breaches.count() == 60
+
+
+def test_as_many_tables_at_once_as_asked(spark, jobs):
+    import threading
+
+    busy, peak, lock = 0, 0, threading.Lock()
+    gate = threading.Barrier(60, timeout=60)
+
+    def read(row):
+        nonlocal busy, peak
+        with lock:
+            busy += 1
+            peak = max(peak, busy)
+        gate.wait()
+        raise RuntimeError("at row 17 of orders\n\tat org.apache.x.Y.z(Y.scala:1)")
+
+    done = archive_many(spark, jobs(*(f"t{i}" for i in range(60))), read, max_concurrent=60).collect()
+    assert peak == 60
+    assert {r.error for r in done} == {"RuntimeError: at row 17 of orders"}
+
+
+def test_a_failing_log_ends_nothing(spark, jobs):
+    def fail(df):
+        raise OSError("disk full")
+
+    with pytest.warns(UserWarning, match="disk full"):
+        done = archive_many(spark, jobs("a", "b"), lambda row: spark.range(2), on_statuses=fail)
+    assert {r.status for r in done.collect()} == {"archived"}
+
+
+def test_a_repeated_run_is_logged_once(spark, name, jobs, tmp_path):
+    for _ in range(2):
+        statuses = archive_many(spark, jobs("a", "b"), lambda row: spark.range(3), run_id="run_x")
+        append_run_log(statuses, f"{name}.runs", f"{tmp_path}/runs")
+    assert spark.table(f"{name}.runs").count() == 2
+
+
+def test_renamed_tables_are_told(spark, jobs):
+    rows = jobs("a", "b").withColumn("target_glue_table", F.when(F.col("source_table") == "a", "x y").otherwise("plain"))
+    notes = {r.source_table: r.note for r in archive_many(spark, rows, lambda row: spark.range(1)).collect()}
+    assert notes["b"] is None and notes["a"].endswith(".x y")
 
 
 def test_failed_batch_is_given_again(spark, name, tmp_path):
@@ -245,8 +310,10 @@ def test_failed_batch_is_given_again(spark, name, tmp_path):
 
     with pytest.raises(Exception, match="lost"):
         serve_requests(spark, str(folder), str(tmp_path / "checkpoint"), fail).awaitTermination()
-    assert attempts == [("run_0", 1)]
-    assert serve(spark, tmp_path) == [("run_0", "shop")]
+    (run, count), = attempts
+    # What was planned is what is handled, whatever became of the file.
+    (folder / "a.yaml").write_text("env: dev")
+    assert count == 1 and serve(spark, tmp_path)[0] == (run, "shop")
 
 
 def test_few_files_at_a_time(spark, name, tmp_path):
@@ -254,7 +321,7 @@ def test_few_files_at_a_time(spark, name, tmp_path):
     folder.mkdir()
     for i in range(3):
         (folder / f"{i}.yaml").write_text(request(tmp_path, name))
-    assert [run for run, _ in serve(spark, tmp_path, max_files=1)] == ["run_0", "run_1", "run_2"]
+    assert len({run for run, _ in serve(spark, tmp_path, max_files=1)}) == 3
 
 
 def test_a_request_archives_its_tables(spark, name, shop, tmp_path):
@@ -268,7 +335,5 @@ def test_a_request_archives_its_tables(spark, name, shop, tmp_path):
         statuses.extend(done.filter("status != 'invalid'").collect())
 
     serve_requests(spark, str(tmp_path / "requests"), str(tmp_path / "checkpoint"), handle).awaitTermination()
-    assert sorted((r.run_id, r.source_table, r.row_count) for r in statuses) == [
-        ("run_0", "shop_items", 30),
-        ("run_0", "shop_orders", 1000),
-    ]
+    assert len({r.run_id for r in statuses}) == 1
+    assert sorted((r.source_table, r.row_count) for r in statuses) == [("shop_items", 30), ("shop_orders", 1000)]

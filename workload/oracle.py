@@ -123,36 +123,37 @@ ORACLE = {
         GROUP BY ALL""",
     "discovery_document": f"""
         WITH {_NATIONS}, {_KEPT},
-        sized AS (
-          SELECT *, ceil(count(*) OVER (PARTITION BY n_name, source_pos) / 8.0)::BIGINT AS documents,
-                 ('0x' || substr(md5(table_schema || '.' || table_name), 1, 7))::BIGINT AS spread
+        dealt AS (
+          SELECT *, ('0x' || substr(md5(table_schema || '.' || table_name), 1, 7))::BIGINT % 4 AS document
           FROM discovered)
-        SELECT n_name AS config_id, source_pos, spread % documents AS document,
+        SELECT n_name AS config_id, source_pos, document,
                '{{"source_name":"' || source_name || '","discovered_tables":[' ||
                string_agg('{{"schema":"' || table_schema || '","table":"' || table_name || '"}}', ','
                           ORDER BY table_schema, table_name) || ']}}' AS result
-        FROM sized GROUP BY n_name, source_pos, source_name, spread % documents""",
+        FROM dealt GROUP BY n_name, source_pos, source_name, document""",
     "manifest": f"WITH {_NATIONS}, {_KEPT}, {_MANIFEST} SELECT * EXCLUDE (source_pos) FROM jobs",
-    "manifest_first_source": f"""
+    "manifest_arguments": f"""
         WITH {_NATIONS}, {_KEPT}, {_MANIFEST}
         SELECT '{{"script_args":{{"--source_schema":"' || source_schema || '","--source_table":"' || source_table ||
                '","--glue_connection_name":"' || glue_connection_name || '","--target_s3_path":"' || target_s3_path ||
                '","--target_glue_db":"' || target_glue_db || '","--target_glue_table":"' || target_glue_table ||
                '","--retention_policy_value":"' || retention_policy_value || '"}}}}' AS job
-        FROM jobs WHERE source_pos = 0""",
+        FROM jobs""",
     "manifest_conflicts": """
         WITH names AS (
           SELECT 'archive_' || p_type AS db, p_brand || '_' || p_name || '_' || p_size AS name FROM part),
         stored AS (
           SELECT lower(regexp_replace(db, '[^A-Za-z0-9_]', '_', 'g') || '.' || regexp_replace(name, '[^A-Za-z0-9_]', '_', 'g'))
                    AS subject,
-                 count(*) AS tables,
-                 min(CASE WHEN regexp_matches(db || name, '[^A-Za-z0-9_]') THEN db || '.' || name END) AS renamed
+                 count(*) AS tables
           FROM names GROUP BY 1)
         SELECT 'target_collision' AS rule, subject, tables || ' tables share this target' AS detail
         FROM stored WHERE tables > 1
         UNION ALL
-        SELECT 'unsafe_name', subject, 'stored in place of ' || renamed FROM stored WHERE renamed IS NOT NULL""",
+        SELECT 'unsafe_name',
+               lower(regexp_replace(db, '[^A-Za-z0-9_]', '_', 'g') || '.' || regexp_replace(name, '[^A-Za-z0-9_]', '_', 'g')),
+               'stored in place of ' || db || '.' || name
+        FROM names WHERE regexp_matches(db || name, '[^A-Za-z0-9_]')""",
     "config_violations": """
         WITH given AS (
           SELECT *, c_name || CASE WHEN c_mktsegment = 'BUILDING' THEN '_prod' ELSE '_dev' END AS key,
@@ -189,6 +190,9 @@ ORACLE = {
         SELECT c_custkey, 'incomplete_source', 'sources[0]', 'no connection' FROM given WHERE c_nationkey = 4
         UNION ALL
         SELECT c_custkey, 'incomplete_source', 'sources[0]', 'no schema to include' FROM given WHERE c_nationkey IN (7, 8)""",
+    "config_scan": """
+        SELECT DISTINCT lower(c_mktsegment) || '_' || c_nationkey AS request, 'wrong_type' AS rule, 'config' AS subject
+        FROM customer WHERE c_nationkey < 5""",
     "request_stream": """
         SELECT lower(c_mktsegment) || '_' || c_nationkey AS source_name,
                lower(c_mktsegment) || '_' || c_nationkey || '_dev' AS connection, 's3://cold-lake/' AS warehouse_path,

@@ -19,8 +19,8 @@ from coldshelf.operators.purge import purge
 from coldshelf.operators.stamp import ADDED_AT, EXPIRES_AT, expiry, stamp
 from coldshelf.operators.validate import violations
 from coldshelf.plans.fanout import append_run_log, archive_many
-from coldshelf.plans.pipeline import run_archive
-from coldshelf.sources.config import CONFIG_TYPE, source_rows
+from coldshelf.plans.pipeline import all_violations, run_archive
+from coldshelf.sources.config import CONFIG_TYPE, read_configs, source_rows
 from coldshelf.sources.jdbc import inventory, scan_table
 from coldshelf.sources.lake import list_tables, read_archive
 from coldshelf.streaming.requests import serve_requests
@@ -252,18 +252,17 @@ def discovery_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def discovery_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small document size, so that sources need several."""
-    return discovery.discovery_documents(_discovered(spark, sf_dir), max_tables=8)
+    """Four documents for each source, however many tables it has."""
+    return discovery.discovery_documents(_discovered(spark, sf_dir), documents=4)
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.manifest(_discovered(spark, sf_dir)).select("source_name", *ARGUMENTS)
 
 
-def manifest_first_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the first source of each config, as JSON job arguments."""
-    sources = source_rows(_configs(spark, sf_dir), only_first_source=True)
-    rows = jobs.manifest(discovery.discover(_inventory(spark, sf_dir), sources))
+def manifest_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job arguments of all sources as JSON."""
+    rows = jobs.manifest(_discovered(spark, sf_dir))
     return jobs.script_args(rows).select(F.to_json(F.struct("script_args")).alias("job"))
 
 
@@ -307,6 +306,16 @@ def config_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations(configs)
 
 
+def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """YAML files, some with a text where a list belongs, read and checked as a batch."""
+    folder = scratch(spark, "config_scan")
+    _request_texts(spark, sf_dir).write.partitionBy("request").text(f"{folder}/configs")
+    configs = read_configs(spark, f"{folder}/configs/*/*.txt")
+    return all_violations(configs).select(
+        F.regexp_extract("config_id", "request=([^/]+)", 1).alias("request"), "rule", "subject"
+    )
+
+
 # --- request stream --------------------------------------------------------
 
 
@@ -314,22 +323,7 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One YAML request per market segment and nation, computed from the
     customers; a second pass over the same folder finds nothing new."""
     folder = scratch(spark, "request_stream")
-    customer = table(spark, sf_dir, "customer")
-    groups = customer.groupBy("c_mktsegment", "c_nationkey").agg(
-        F.count(F.lit(1)).alias("customers"), F.max("c_custkey").alias("newest")
-    )
-    name = F.concat_ws("_", F.lower("c_mktsegment"), "c_nationkey")
-    lines = [
-        F.lit("env: dev"),
-        F.concat(F.lit("connections: {"), name, F.lit("_dev: customer_db}")),
-        F.lit("warehouses:\n  lake: s3://cold-lake/"),
-        F.concat(F.lit("retention_policies:\n  keep: "), F.col("customers").cast("string"), F.lit("d")),
-        F.concat(F.lit("sources:\n  - name: "), name),
-        F.concat(F.lit("    connection: "), name, F.lit("_dev")),
-        F.lit("    warehouse: lake\n    retention_policy: keep\n    exclude: null"),
-        F.concat(F.lit('    include: {schemas: ["'), "c_mktsegment", F.lit('"], tables: [".*'), "newest", F.lit('$"]}')),
-    ]
-    requests = groups.select(name.alias("request"), F.concat_ws("\n", *lines).alias("value"))
+    requests = _request_texts(spark, sf_dir, lists_only=True)
     requests.write.partitionBy("request").text(f"{folder}/requests")
 
     def handle(batch: DataFrame, run_id: str) -> None:
@@ -377,6 +371,29 @@ def table_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- shared parts ----------------------------------------------------------
 
 
+def _request_texts(spark: SparkSession, sf_dir: str, lists_only: bool = False) -> DataFrame:
+    """A config for each market segment and nation; the first nations' has a pattern where a list belongs."""
+    customer = table(spark, sf_dir, "customer")
+    groups = customer.groupBy("c_mktsegment", "c_nationkey").agg(
+        F.count(F.lit(1)).alias("customers"), F.max("c_custkey").alias("newest")
+    )
+    name = F.concat_ws("_", F.lower("c_mktsegment"), "c_nationkey")
+    pattern = F.concat(F.lit('".*'), "newest", F.lit('$"'))
+    listed = F.concat(F.lit("["), pattern, F.lit("]"))
+    tables = listed if lists_only else F.when(F.col("c_nationkey") < 5, pattern).otherwise(listed)
+    lines = [
+        F.lit("env: dev"),
+        F.concat(F.lit("connections: {"), name, F.lit("_dev: customer_db}")),
+        F.lit("warehouses:\n  lake: s3://cold-lake/"),
+        F.concat(F.lit("retention_policies:\n  keep: "), F.col("customers").cast("string"), F.lit("d")),
+        F.concat(F.lit("sources:\n  - name: "), name),
+        F.concat(F.lit("    connection: "), name, F.lit("_dev")),
+        F.lit("    warehouse: lake\n    retention_policy: keep\n    exclude: null"),
+        F.concat(F.lit('    include: {schemas: ["'), "c_mktsegment", F.lit('"], tables: '), tables, F.lit("}")),
+    ]
+    return groups.select(name.alias("request"), F.concat_ws("\n", *lines).alias("value"))
+
+
 def _archived(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     folder, database = scratch(spark, name), unique(f"archive_{name}")
     archive_table(
@@ -488,9 +505,10 @@ QUERIES = {
         discovery_counts,
         discovery_document,
         manifest,
-        manifest_first_source,
+        manifest_arguments,
         manifest_conflicts,
         config_violations,
+        config_scan,
         request_stream,
         expired_rows,
         expiry_overview,
