@@ -36,10 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        context = spark.sparkContext
+        if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="coldshelf-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = getattr(context, "_coldshelf_folder", None)
+        if base is None:
+            base = context._coldshelf_folder = tempfile.mkdtemp(prefix="coldshelf-shared-")
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
