@@ -61,7 +61,8 @@ ORACLE = {
         SELECT c_mktsegment AS table_schema, c_name AS table_name FROM customer
         WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
     "config_lookup": """
-        SELECT event_id, json_extract_string(props, '$.k') AS k, 'none' AS missing,
+        SELECT event_id, json_extract_string(props, '$.k') AS k,
+               CASE WHEN event_type = 'error' THEN json_extract_string(props, '$.k') ELSE 'none' END AS by_column,
                '{"name":"' || event_type || '","value":"' || json_extract_string(props, '$.k') || '"}' AS document
         FROM events""",
     "retention_stamp_orders": f"SELECT *, {_STAMPS} FROM orders",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -62,27 +63,29 @@ def jdbc_archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_catalog(spark, connection, names)
     folder = scratch(spark, "jdbc_archive_run")
     key = unique("tpch") + "_dev"
+    inline = {"jdbc_url": connection.url, "driver": connection.driver, "username": connection.user, "password": connection.password}
     config = Row(
         env="dev",
-        connections={key: "warehouse_db"},
+        connections={key: json.dumps({k: v for k, v in inline.items() if v is not None})},
         warehouses={"cold": folder},
         retention_policies={"half_year": "6m"},
         sources=[
             Row(
-                name="tpch",
+                name=source,
                 connection=key,
                 warehouse="cold",
                 retention_policy="half_year",
-                include=Row(schemas=[SOURCE_SCHEMA], tables=["customer$", "orders$", "supplier$"]),
+                include=Row(schemas=[SOURCE_SCHEMA], tables=[pattern]),
                 exclude=None,
             )
+            for source, pattern in (("tpch", "(customer|orders|supplier)$"), ("nothing", "no_such_table"))
         ],
     )
     configs = spark.createDataFrame([("request", config, None)], f"config_id string, config {CONFIG_TYPE}, error string")
     statuses = run_archive(
         spark,
         configs,
-        {"warehouse_db": connection},
+        {},  # the config itself says how to connect
         run_ts=RUN_TS,
         ts_type=NTZ,
         database_root=folder,
@@ -101,14 +104,15 @@ def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON objects as maps: found keys, missing keys with a default, JSON again."""
+    """JSON objects as maps: keys by name and by column, missing ones with a default, JSON again."""
     props = string_map(F.col("props"))
     events = table(spark, sf_dir, "events").select("event_id", "event_type", props.alias("props"))
     found = lookup(F.col("props"), "k")
+    key = F.when(F.col("event_type") == "error", "k").otherwise(F.col("event_type"))
     return events.select(
         "event_id",
         found.alias("k"),
-        lookup(F.col("props"), F.col("event_type"), F.lit("none")).alias("missing"),
+        lookup(F.col("props"), key, F.lit("none")).alias("by_column"),
         F.to_json(F.struct(F.col("event_type").alias("name"), found.alias("value"))).alias("document"),
     )
 
