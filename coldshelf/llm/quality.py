@@ -267,8 +267,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
     model = label_model(counted := written(counted))
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     share = min(1.0, sample / max(1, total))
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-    chosen = docs.select("doc_id", "text").filter(place < int(np.ceil(share * (1 << 20))))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
+    chosen = docs.select("doc_id", "text").filter(place < int(np.ceil(share * (1 << 40))))
     found = voted(signals(chosen, features=True)).select("votes", "buckets", "weights")
     found = found.orderBy("votes", F.xxhash64("buckets", "weights")).toArrow().combine_chunks()
     if not found.num_rows:
