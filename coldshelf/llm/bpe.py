@@ -30,6 +30,8 @@ WHITE_SPACE = "\t\n\v\f\r \x85\xa0               
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 LETTER, NUMBER, SPACE, OTHER = range(4)
+#: Texts that are decoded at a time.
+DECODED = 256
 
 
 def load_vocabulary(path: str) -> tuple[dict[str, int], list[tuple[str, str]], dict[str, int]]:
@@ -302,12 +304,14 @@ def decode(ids: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         bpe = worker_bpe(vocabulary)
-        for batch in batches:
-            lists = batch.column("ids")
-            known = lists.is_valid()
-            bounds = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False)
-            texts = [bpe.decode(flat[a:b]) if ok else None for a, b, ok in zip(bounds, bounds[1:], known.to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, DECODED):
+                batch = whole.slice(low, DECODED)
+                lists = batch.column("ids")
+                bounds = lists.offsets.to_numpy()
+                flat = lists.values.to_numpy(zero_copy_only=False)
+                known = lists.is_valid().to_pylist()
+                texts = [bpe.decode(flat[a:b]) if ok else None for a, b, ok in zip(bounds, bounds[1:], known)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
     return rows.mapInArrow(run, schema)
