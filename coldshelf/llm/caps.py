@@ -82,7 +82,7 @@ def _codes(size: int, number: int, words: int) -> list[np.ndarray]:
 
 
 def decode(unit: np.ndarray, caps: Caps) -> tuple[np.ndarray, np.ndarray]:
-    """Row and filter number of every cap that the unit vectors (rows) are in."""
+    """Row and filter number of every cap that the unit vectors (rows) are in, one in each rotation at least."""
     size = unit.shape[1]
     rows, numbers = [], []
     for rotation in range(ROTATIONS):
@@ -91,12 +91,13 @@ def decode(unit: np.ndarray, caps: Caps) -> tuple[np.ndarray, np.ndarray]:
         codes = _codes(size, rotation, caps.words)
         scores = [turned[:, a:b] @ code.T for a, b, code in zip(edges, edges[1:], codes)]
         best = np.cumsum([s.max(axis=1) for s in scores[::-1]], axis=0)[::-1]
-        need = caps.height / math.sqrt(size)
+        # A vector that no filter reaches that far goes into the nearest one.
+        need = np.minimum(caps.height / math.sqrt(size), best[0] - 1e-9)
         row, number, sum_ = np.arange(len(unit)), np.full(len(unit), rotation), np.zeros(len(unit))
         for block, score in enumerate(scores):
             rest = best[block + 1] if block + 1 < BLOCKS else np.zeros(len(unit))
             grown = sum_[:, None] + score[row]
-            which, word = np.nonzero(grown + rest[row][:, None] >= need)
+            which, word = np.nonzero(grown + rest[row][:, None] >= need[row][:, None])
             row, number, sum_ = row[which], number[which] * caps.words + word, grown[which, word]
         rows.append(row)
         numbers.append(number)
