@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +22,15 @@ from coldshelf.llm.cluster import extended, ship, written
 from coldshelf.llm.components import components
 
 COSINE = 0.93
+#: Least number of rotations.
 ROTATIONS = 8
 BLOCKS = 2
-#: Chance, by the normal approximation, that a pair just over the threshold shares no filter.
+#: Chance that a pair at just the threshold shares no filter in any rotation.
 MISS = 1e-6
+#: Filters that a vector is in, on average, in each rotation.
+EACH = 4
+#: Random pairs at the threshold, and rotations of them, that the chance is measured on.
+TRIAL_PAIRS, TRIAL_ROTATIONS = 500, 4
 #: Standard errors that the number of equal signs may fall short.
 SIGN_SLACK = 4.5
 SIGNS = 64
@@ -36,33 +40,54 @@ LEAST_DIMENSIONS = 8
 
 @dataclass(frozen=True)
 class Caps:
-    """The filters of one table: codewords of a block, and the score that a filter asks for, in
-    units of a random unit vector's standard deviation."""
+    """The filters of vectors of one size: codewords of a block, the score that a filter asks for, in
+    units of a random unit vector's standard deviation, and the rotations."""
 
     words: int
     height: float
+    rotations: int = ROTATIONS
 
     @staticmethod
-    def sized(vectors: int, cosine: float) -> Caps:
-        """Filters for so many vectors with one label: their number grows with the vectors, so that
-        a filter's share of them does not, and each vector has as many as the allowed miss asks for."""
-        words = max(24, math.ceil(math.sqrt(max(1, vectors) / 4)))
-        filters = words**BLOCKS
-        normal, each = NormalDist(), 8.0
-        for _ in range(20):
-            each = min(each, filters / 8)
-            height = normal.inv_cdf(1 - each / filters)
-            each = -math.log(MISS) / _shared(height, cosine) / ROTATIONS
-        return Caps(words, height)
-
-
-def _shared(height: float, cosine: float) -> float:
-    """Chance that a vector's neighbour at this cosine is in a filter that the vector is in."""
-    normal = NormalDist()
-    at = height + (np.arange(400) + 0.5) / 100
-    weight = np.exp(-at * at / 2)
-    side = math.sqrt(1 - cosine * cosine)
-    return float(sum(w * (1 - normal.cdf((height - cosine * u) / side)) for u, w in zip(at, weight)) / weight.sum())
+    def sized(vectors: int, cosine: float, size: int) -> Caps:
+        """Filters for so many vectors of this size with one label.
+
+        Their number grows with the vectors, so that a filter's share of them does not, until a
+        cap is as narrow as the neighbourhood that is searched. The height follows from the
+        exact distribution of a unit vector's coordinate. How often a pair at the threshold
+        shares no filter of a rotation is measured, and as many rotations are taken as bring
+        the chance of a miss in all of them below the allowed one.
+        """
+        at, above = _coordinate(size)
+        near = float(np.interp(cosine, at, above))
+        words = max(24, math.ceil(math.sqrt(min(max(1, vectors) / 4, EACH / max(near, 1e-300)))))
+        height = float(np.interp(-EACH / words**BLOCKS, -above, at)) * math.sqrt(size)
+        missed = _missed(Caps(words, height, TRIAL_ROTATIONS), cosine, size)
+        return Caps(words, height, max(ROTATIONS, math.ceil(math.log(MISS) / math.log(missed))))
+
+
+def _coordinate(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a coordinate of a random unit vector, and the chance that it is larger."""
+    at = np.linspace(-1, 1, 200_001)
+    weight = (1 - at * at) ** ((size - 3) / 2)
+    above = np.cumsum(weight[::-1])[::-1]
+    return at, above / above[0]
+
+
+def _missed(caps: Caps, cosine: float, size: int) -> float:
+    """Chance that a pair at this cosine shares no filter of one rotation: what random pairs show,
+    and two standard errors more."""
+    rng = np.random.default_rng([9, size])
+    x, y = rng.normal(size=(2, TRIAL_PAIRS, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    filters = caps.words**BLOCKS
+    first, second = (
+        row * (caps.rotations * filters) + number for row, number in (decode(u, caps) for u in (x, cosine * x + math.sqrt(1 - cosine * cosine) * y))
+    )
+    trials = TRIAL_PAIRS * caps.rotations
+    missed = 1 - len(np.unique(np.intersect1d(first, second) // filters)) / trials
+    return min(missed + 2 * math.sqrt(max(missed, 1 / trials) / trials), 1 - 1 / trials)
 
 
 def _rotation(size: int, number: int) -> np.ndarray:
@@ -85,22 +110,25 @@ def decode(unit: np.ndarray, caps: Caps) -> tuple[np.ndarray, np.ndarray]:
     """Row and filter number of every cap that the unit vectors (rows) are in, one in each rotation at least."""
     size = unit.shape[1]
     rows, numbers = [], []
-    for rotation in range(ROTATIONS):
+    step = max(8, min(512, (1 << 18) // caps.words))  # rows whose scores are held at a time
+    edges = np.linspace(0, size, BLOCKS + 1).astype(int)
+    for rotation in range(caps.rotations):
         turned = unit @ _rotation(size, rotation).T
-        edges = np.linspace(0, size, BLOCKS + 1).astype(int)
         codes = _codes(size, rotation, caps.words)
-        scores = [turned[:, a:b] @ code.T for a, b, code in zip(edges, edges[1:], codes)]
-        best = np.cumsum([s.max(axis=1) for s in scores[::-1]], axis=0)[::-1]
-        # A vector that no filter reaches that far goes into the nearest one.
-        need = np.minimum(caps.height / math.sqrt(size), best[0] - 1e-9)
-        row, number, sum_ = np.arange(len(unit)), np.full(len(unit), rotation), np.zeros(len(unit))
-        for block, score in enumerate(scores):
-            rest = best[block + 1] if block + 1 < BLOCKS else np.zeros(len(unit))
-            grown = sum_[:, None] + score[row]
-            which, word = np.nonzero(grown + rest[row][:, None] >= need[row][:, None])
-            row, number, sum_ = row[which], number[which] * caps.words + word, grown[which, word]
-        rows.append(row)
-        numbers.append(number)
+        for low in range(0, len(unit), step):
+            part = turned[low : low + step]
+            scores = [part[:, a:b] @ code.T for a, b, code in zip(edges, edges[1:], codes)]
+            best = np.cumsum([s.max(axis=1) for s in scores[::-1]], axis=0)[::-1]
+            # A vector that no filter reaches that far goes into the nearest one.
+            need = np.minimum(caps.height / math.sqrt(size), best[0] - 1e-9)
+            row, number, sum_ = np.arange(len(part)), np.full(len(part), rotation), np.zeros(len(part))
+            for block, score in enumerate(scores):
+                rest = best[block + 1] if block + 1 < BLOCKS else np.zeros(len(part))
+                grown = sum_[:, None] + score[row]
+                which, word = np.nonzero(grown + rest[row][:, None] >= need[row][:, None])
+                row, number, sum_ = row[which], number[which] * caps.words + word, grown[which, word]
+            rows.append(low + row)
+            numbers.append(number)
     return np.concatenate(rows), np.concatenate(numbers)
 
 
@@ -109,8 +137,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), float).reshape(len(column), -1)
 
 
-def filters(vectors: DataFrame, caps: Caps) -> DataFrame:
-    """Columns id, label, size, filter and signs: a row for each cap that a vector is in."""
+def filters(vectors: DataFrame, caps: dict[int, Caps]) -> DataFrame:
+    """Columns id, label, size, filter and signs: a row for each cap that a vector is in, by its size's caps."""
     ship(vectors.sparkSession)
     rows = vectors.select("id", "label", "size", "embedding")
     schema = extended(rows.select("id", "label", "size"), "filter long, signs long")
@@ -120,15 +148,15 @@ def filters(vectors: DataFrame, caps: Caps) -> DataFrame:
             sizes = batch.column("size").to_numpy()
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                for low in range(0, part.num_rows, 512):
-                    yield decoded(part.slice(low, 512), int(size))
+                for low in range(0, part.num_rows, 2048):
+                    yield decoded(part.slice(low, 2048), int(size))
 
     def decoded(part, size):
         unit = _matrix(part.column("embedding"))
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
         planes = np.random.default_rng([8, size]).normal(size=(size, SIGNS))
         signs = np.packbits(unit @ planes > 0, axis=1).view(np.int64).ravel()
-        row, number = decode(unit, caps) if size >= LEAST_DIMENSIONS else (np.arange(len(unit)), np.zeros(len(unit), int))
+        row, number = decode(unit, caps[size]) if size in caps else (np.arange(len(unit)), np.zeros(len(unit), int))
         known = [part.column(c).take(pa.array(row)) for c in ("id", "label", "size")]
         return pa.RecordBatch.from_arrays([*known, pa.array(number), pa.array(signs[row])], names=schema.names)
 
@@ -161,7 +189,7 @@ def similar(pairs: DataFrame, cosine: float) -> DataFrame:
     return pairs.select("a", "b", "vector_a", "vector_b").mapInArrow(run, schema)
 
 
-def candidates(vectors: DataFrame, caps: Caps, cosine: float) -> DataFrame:
+def candidates(vectors: DataFrame, caps: dict[int, Caps], cosine: float) -> DataFrame:
     """Pairs a < b of ids that share a label and a filter, and whose signs leave room for the cosine."""
     rows = written(filters(vectors, caps))
     chance = math.acos(cosine) / math.pi
@@ -194,8 +222,10 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         .dropDuplicates([*key, "vec_id"])
         .select(F.col("vec_id").alias("id"), "label", F.size("embedding").alias("size"), "embedding")
     )
-    most = vectors.groupBy("label").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    pairs = written(candidates(vectors, Caps.sized(most, cosine), cosine))
+    most = vectors.groupBy("label", "size").agg(F.count("*").alias("n")).groupBy("size").agg(F.max("n").alias("n"))
+    # A row for each number of components; where no two vectors can meet, filters are of no use.
+    layouts = {r.size: Caps.sized(r.n, cosine, r.size) for r in most.filter((F.col("size") >= LEAST_DIMENSIONS) & (F.col("n") > 1)).collect()}
+    pairs = written(candidates(vectors, layouts, cosine))
     first = vectors.select(F.col("id").alias("a"), F.col("embedding").alias("vector_a"))
     second = vectors.select(F.col("id").alias("b"), F.col("embedding").alias("vector_b"))
     links = written(similar(pairs.join(first, "a").join(second, "b"), cosine))
