@@ -20,7 +20,7 @@ from coldshelf.llm.cluster import carried, extended, restored, ship, written
 from coldshelf.llm.textops import Words, flat, mix, per_text, pieces, range_hashes, repeat_words
 
 #: Documents that the scorer is fitted on, about.
-SAMPLE = 4096
+SAMPLE = 8192
 BITS = 15
 #: Only what is clearly bad goes.
 THRESHOLD = 0.3

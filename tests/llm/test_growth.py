@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from coldshelf.llm import caps, ngram_lm
+from coldshelf.llm import caps, ngram_lm, quality
 
 
 @pytest.mark.parametrize("vectors, size, pairs", [(10**5, 64, 3000), (10**6, 64, 1000), (10**7, 64, 300), (10**6, 384, 300), (10**6, 16, 300)])
@@ -32,3 +32,7 @@ def test_words_seen_twice_stay_in_the_model_of_many_tokens(spark):
     found = {r.doc_id: r for r in ngram_lm.scored(docs).collect()}
     assert found[held[0]].score > found[held[1]].score + 3
     assert found[held[0]].n_known == 3 and found[learned[0]].n_tokens == 6_400_001
+
+
+def test_quality_is_learned_from_the_whole_sample():
+    assert quality.fit.__defaults__ == (8192,)
