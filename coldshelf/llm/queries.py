@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, caps, chat, licenses, minhash, ngram_lm, packing, quality, rules, toxicity
+from coldshelf.llm import bpe, caps, chat, licenses, minhash, ngram_lm, packing, quality, rules, tokenfile, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,12 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as read back from token files: places and digests of their ids."""
+    files = tokenfile.write(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY), WORD_END)
+    return tokenfile.read(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -110,6 +117,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_rules": op10_rules,
+    "op11_tokenfile": op11_tokenfile,
 }
 
 def _license_sql() -> str:
