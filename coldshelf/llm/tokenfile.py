@@ -15,7 +15,9 @@ has left behind is in no manifest. Tasks write and read the files by pyarrow's f
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -23,13 +25,15 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from coldshelf.llm.bpe import byte_strings
 from coldshelf.llm.cluster import shared_folder, ship, written
-from coldshelf.llm.textops import pieces
+from coldshelf.llm.textops import pieces, spans
 
 MAGIC = b"EFTOKEN1"
 #: Ones between two whose place is kept.
@@ -38,6 +42,8 @@ SAMPLE = 256
 FILE_TOKENS = 1 << 23
 #: Ids, and documents, that are read at a time.
 READ_TOKENS, READ_DOCUMENTS = 1 << 20, 1 << 13
+#: Bytes of texts that are encoded at a time.
+ENCODED = 1 << 23
 #: Words whose ids a worker remembers, and their longest.
 REMEMBERED, LONGEST = 300_000, 64
 
@@ -186,79 +192,101 @@ def opened(path: str) -> TokenFile:
 
 # --- encoding -------------------------------------------------------------------
 
+#: Signs whose lower case and composed form are beyond doubt: printable ASCII and common Latin letters.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-įıĲ-ſ]+")
+#: The vocabulary's own pattern, for those signs in lower case, and line ends.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|\n|[^a-zß-öø-ſ0-9\n]+")
+
 
 class WordIds:
-    """Ids by the tokenizers library, which sees each distinct word of a batch once.
+    """Ids by the tokenizers library, for a vocabulary that drops white space and marks the ends of words.
 
-    The vocabulary drops white space, and nothing of it reaches across a blank of ASCII, so
-    the ids of a text are those of its words. Words are remembered in bounded number.
+    Nothing reaches across a blank of ASCII, so the ids of a text are those of its words, and
+    each distinct word of a batch is looked at once; a worker remembers words, in bounded
+    number. New words of plain signs are cut into their parts here and go to the library's
+    merges in one call, with line ends between them; all others go through the whole library.
     """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self._library = Tokenizer.from_str(spec)
         self._library.no_truncation()
         self._library.no_padding()
+        model = json.loads(spec)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        suffix = model["end_of_word_suffix"]
+        self._merges = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=suffix))
+        if not all("<|" in t["content"] for t in json.loads(spec)["added_tokens"]):
+            raise ValueError("special strings are expected to hold <|")
+        signs = {byte: sign for sign, byte in byte_strings().items()}
+        self._line_end = model["vocab"][signs[10] + suffix]
+        self._signs = {byte: sign for byte, sign in signs.items() if byte}  # a zero byte stands between parts
         most = max(self._library.get_vocab(with_added_tokens=True).values(), default=0)
         self.type = np.dtype("<u2" if most < 1 << 16 else "<u4")
-        self._known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and the number of each text's."""
-        words = [text.split() for text in texts]
-        if len(self._known) > REMEMBERED:
-            self._known = {}
-        known = self._known
-        some = {word: known.get(word) for word in set().union(*words)}
-        new = [word for word, ids in some.items() if ids is None]
-        for word, found in zip(new, self._library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            ids = some[word] = np.array(found.ids, self.type).tobytes()
-            if len(word) <= LONGEST:
-                known[word] = ids
-        each = [b"".join([some[word] for word in text]) for text in words]
-        sizes = np.fromiter(map(len, each), np.int64, len(each)) // self.type.itemsize
-        return np.frombuffer(b"".join(each), self.type), sizes
+        self._new: dict[str, bytes] = {"": b""}
+        self._old: dict[str, bytes] = {}
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the number of each text's; none of a null."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        found = self._ids(words.dictionary.to_pylist())
+        each = np.fromiter(map(len, found), np.int64, len(found)) // self.type.itemsize
+        start = np.cumsum(each) - each
+        which = words.indices.to_numpy(zero_copy_only=False)
+        size = each[which]
+        ids = np.frombuffer(b"".join(found), self.type)[spans(start[which], size)]
+        first = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
+        return ids, np.diff(np.concatenate(([0], np.cumsum(size)))[first])
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. Two generations keep the memory of them bounded."""
+        new, old = self._new, self._old
+        found = [new.get(w) or old.get(w) for w in words]
+        missing = [i for i, ids in enumerate(found) if not ids]
+        plain = []
+        for i in missing:
+            word = words[i]
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                plain.append(i)
+            else:
+                found[i] = np.array(self._library.encode(word, add_special_tokens=False).ids, self.type).tobytes()
+        for i, ids in zip(plain, self._merged([words[i] for i in plain])):
+            found[i] = ids
+        if len(new) > REMEMBERED // 2:
+            new, self._old = {"": b""}, new
+            self._new = new
+        new.update((words[i], found[i]) for i in missing if len(words[i]) <= LONGEST)
+        return found
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words of plain signs, all in one call."""
+        if not words:
+            return []
+        parts = _PARTS.findall("\n".join(words).lower())
+        # The vocabulary is written in signs that stand for bytes.
+        parts = "\0".join(parts).encode().decode("latin-1").translate(self._signs).split("\0")
+        encoding = self._merges.encode_batch_fast([parts], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = np.array(encoding.ids, self.type)
+        ends = np.flatnonzero(ids == self._line_end)
+        edges = np.concatenate(([0], ends + 1)) * self.type.itemsize
+        stops = np.append(ends, len(ids)) * self.type.itemsize
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(edges.tolist(), stops.tolist())]
 
 
 _WORKER: dict[str, WordIds] = {}
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """Columns doc_id, place (no two rows have the same), n_tokens and ids with the closing one."""
-    spark = docs.sparkSession
-    ship(spark)
-    with open(path, encoding="utf-8") as file:
-        spec = spark.sparkContext.broadcast((path, file.read()))  # of the vocabulary's fixed size
-
-    def run(batches):
-        name, text = spec.value
-        if name not in _WORKER:
-            _WORKER.clear()
-            _WORKER[name] = WordIds(text)
-        words = _WORKER[name]
-        if end_id > np.iinfo(words.type).max:
-            raise ValueError(f"the closing id {end_id} is too large for the vocabulary's ids")
-        place = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            column = batch.column("text").cast(pa.large_binary()).fill_null(b"")
-            for low, high in pieces(batch.column("text")):
-                ids, sizes = words.encode(column.slice(low, high - low).to_pylist())
-                ids = np.insert(ids, np.cumsum(sizes), end_id).astype(words.type)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(low, high - low),
-                        pa.array(np.arange(place, place + high - low)),
-                        pa.array(sizes + 1),
-                        _blobs(ids, sizes + 1),
-                    ],
-                    names=["doc_id", "place", "n_tokens", "ids"],
-                )
-                place += high - low
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, place long, n_tokens long, ids binary")
+def worker_words(spec: Broadcast) -> WordIds:
+    """The broadcast vocabulary, built once in each worker process."""
+    name, text = spec.value
+    if name not in _WORKER:
+        _WORKER.clear()
+        _WORKER[name] = WordIds(text)
+    return _WORKER[name]
 
 
 def _blobs(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -276,54 +304,57 @@ _MANIFEST = "part long, file long, path string, documents long, tokens long"
 def write(docs: DataFrame, path: str, end_id: int, folder: str | None = None, file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Writes the ids of all whole texts of ``docs`` (doc_id, text) as token files; returns their manifest.
 
-    ``path`` is a file of the tokenizers library whose vocabulary drops white space. Each
-    document's ids end with ``end_id``. The files lie in ``folder``, by default a new one
-    in the shared folder. A manifest row: part and file (the files' order), path, documents
-    and tokens. Documents ascend by doc_id, an integer, through all files; those without
-    one come first. Documents of the same doc_id keep the order of the table. A null or
-    empty text is the closing id alone; repeated rows are documents of their own; a very long
-    text is whole, in one file. An empty table gives no files; other columns are left out.
+    ``path`` is a file of the tokenizers library whose vocabulary drops white space and marks
+    the ends of words. Each document's ids end with ``end_id``. The files lie in ``folder``, by
+    default a new one in the shared folder. A manifest row: part and file (the files' order),
+    path, documents and tokens. Documents ascend by doc_id, an integer, through all files; those
+    without one come first. Documents of the same doc_id keep the order of the table, in
+    as many parts as they need. A null or empty text is the closing id alone; repeated rows are
+    documents of their own; a very long text is whole, in one file. An empty table gives no
+    files; other columns are left out.
     """
     spark = docs.sparkSession
-    tokens = written(tokenised(docs, path, end_id))
-    total = tokens.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    parts = max(spark.sparkContext.defaultParallelism, -(-total // file_tokens))
+    ship(spark)
+    with open(path, encoding="utf-8") as file:
+        spec = spark.sparkContext.broadcast((path, file.read()))  # of the vocabulary's fixed size
     folder = (folder or shared_folder(spark)).rstrip("/")
 
     def save(batches):
+        words = worker_words(spec)
+        if end_id > np.iinfo(words.type).max:
+            raise ValueError(f"the closing id {end_id} is too large for the vocabulary's ids")
         part, number = TaskContext.get().partitionId(), 0
-        names, sizes, ids = [], [], []
-        size = 0
-
-        def row():
-            nonlocal number, size
-            system, root = place_of(folder)
-            system.create_dir(root, recursive=True)
-            name = f"part-{part:06d}-{number:04d}-{uuid.uuid4().hex}.tokens"
-            each = np.array(sizes, np.int64)
-            with system.open_output_stream(f"{root}/{name}") as target:
-                for some in file_bytes(names, each, ids, sum(map(len, ids)) // int(each.sum())):
-                    target.write(some)
-            found = pa.RecordBatch.from_pydict(
-                {"part": [part], "file": [number], "path": [f"{folder}/{name}"], "documents": [len(names)], "tokens": [int(each.sum())]}
-            )
-            number, size = number + 1, 0
-            for kept in (names, sizes, ids):
-                kept.clear()
-            return found
-
+        names, sizes, ids, size = [], [], [], 0
         for batch in batches:
-            for one in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))):
-                for kept, value in zip((names, sizes, ids), one):
-                    kept.append(value)
-                size += one[1]
+            for low, high in pieces(batch.column("text"), min(ENCODED, file_tokens)):
+                found, each = words.encode(batch.column("text").slice(low, high - low))
+                names += batch.column("doc_id").slice(low, high - low).to_pylist()
+                sizes.append(each + 1)
+                ids.append(np.insert(found, np.cumsum(each), end_id).astype(words.type).tobytes())
+                size += len(ids[-1]) // words.type.itemsize
                 if size >= file_tokens:
-                    yield row()
+                    yield _saved(folder, part, number, names, np.concatenate(sizes), ids, words.type.itemsize)
+                    number += 1
+                    names, sizes, ids, size = [], [], [], 0
         if names:
-            yield row()
-
-    ordered = tokens.repartitionByRange(parts, "doc_id", "place").sortWithinPartitions("doc_id", "place")
-    return written(ordered.select("doc_id", "n_tokens", "ids").mapInArrow(save, _MANIFEST))
+            yield _saved(folder, part, number, names, np.concatenate(sizes), ids, words.type.itemsize)
+
+    # The place in the table tells equal doc_ids apart, so that any number of them is dealt to several tasks.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("place"))
+    rows = rows.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place")
+    return written(rows.select("doc_id", "text").mapInArrow(save, _MANIFEST))
+
+
+def _saved(folder: str, part: int, number: int, names: list, sizes: np.ndarray, ids: list[bytes], width: int) -> pa.RecordBatch:
+    """Writes a file of its own name; the row that names it in the manifest."""
+    system, root = place_of(folder)
+    system.create_dir(root, recursive=True)
+    name = f"part-{part:06d}-{number:04d}-{uuid.uuid4().hex}.tokens"
+    with system.open_output_stream(f"{root}/{name}") as target:
+        for some in file_bytes(names, sizes, ids, width):
+            target.write(some)
+    row = {"part": part, "file": number, "path": f"{folder}/{name}", "documents": len(names), "tokens": int(sizes.sum())}
+    return pa.RecordBatch.from_pylist([row])
 
 
 #: Parts whose files are numbered together.

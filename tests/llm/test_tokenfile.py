@@ -54,11 +54,11 @@ def test_boundaries_take_near_minimal_space():
     assert size < 2 + np.log2(bounds[-1] / len(bounds)) + 0.3
 
 
-@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("ab'sSİ \t\n\x0b\x1c\x85\xa0́ ​1,.<|>"))), max_size=60))
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("ab'sSİÉèßſıŉ×÷ªµĀ \t\n\x0b\x1c\x85\xa0́ ​1,.<|>"))), max_size=60))
 @settings(max_examples=400, deadline=None)
 def test_words_have_the_ids_of_the_whole_text(library, words, text):
     for whole in (text, f"x<|endoftext|>{text} <|startoftext|> 's"):
-        ids, sizes = words.encode([whole.encode(), b""])
+        ids, sizes = words.encode(pa.array([whole, None]))
         assert ids.tolist() == library.encode(whole, add_special_tokens=False).ids and sizes.tolist() == [len(ids), 0]
 
 
@@ -98,9 +98,9 @@ def test_edges(spark, library):
 
 
 def test_a_hot_doc_id_fills_several_files(spark):
-    docs = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text"))
+    docs = spark.range(4000).repartition(4).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text"))
     files = tokenfile.write(docs, vocabulary_path(WORD_VOCABULARY), WORD_END, file_tokens=1000)
-    assert files.agg(F.max("tokens")).first()[0] < 1100
+    assert files.count() > 4
     found = tokenfile.read(files)
     assert found.count() == 4000
     assert found.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0] == files.agg(F.sum("tokens")).first()[0]
