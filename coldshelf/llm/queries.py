@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldshelf.llm import bpe, caps, chat, licenses, minhash, ngram_lm, packing, quality, rules, tokenfile, toxicity
+from coldshelf.llm import bpe, caps, chat, licenses, minhash, ngram_lm, packing, quality, repair, rules, tokenfile, toxicity, whitening
 
 VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
@@ -106,6 +106,16 @@ def op11_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding along the four leading components."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return repair.repaired(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -118,6 +128,8 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_rules": op10_rules,
     "op11_tokenfile": op11_tokenfile,
+    "op12_whitening": op12_whitening,
+    "op13_repair": op13_repair,
 }
 
 def _license_sql() -> str:
@@ -187,8 +199,84 @@ def _chat_sql() -> str:
     """
 
 
+def _repair_sql() -> str:
+    """Row by row, the cheapest repair that ends in each of the four states, as cost, audit and lines."""
+    far = "{'c': 1000000000, 'a': '', 't': ''}"
+    white = r"\x20\x09-\x0D"
+
+    def edit(state: str, cost: str, initial: str, line: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{initial}', 't': {state}.t || {line}}}"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def kept(state: str, letter: str) -> str:
+        name = repair.NAMES.get(letter)
+        found = [f"CASE WHEN able AND initial = '{letter}' THEN {edit(state, 'more', 'K', 'line')} ELSE {far} END"]
+        if name:
+            rerole = edit(state, f"more + {repair.COSTS[repair.REROLE]}", "R", f"chr(10) || '{name}:' || text")
+            found.append(f"CASE WHEN able THEN {rerole} ELSE {far} END")
+        return ", ".join(found)
+
+    def inserted(state: str, letter: str) -> str:
+        return edit(state, str(repair.COSTS[repair.INSERT]), "I", f"chr(10) || '{repair.NAMES[letter]}:'")
+
+    def deleted(state: str) -> str:
+        return edit(state, str(repair.COSTS[repair.DELETE]), "D")
+
+    user = ", ".join(inserted(f"n{q}", "u") for q in (0, 1, 3))
+    closed = f"""
+      SELECT conv_id, i, n0 AS s0, n1 AS s1, m2 AS s2, {least("n3", inserted("m2", "a"))} AS s3
+      FROM (SELECT *, {least("n2", user)} AS m2 FROM
+    """
+    return f"""
+    WITH RECURSIVE crc AS (
+      SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab
+    ), g AS (
+      SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+          lambda c: CAST(ascii(c) AS BIGINT)), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS k
+      FROM conversations, crc
+    ), d AS (
+      SELECT r, conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+        CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '{repair.ENDS}', '') ELSE text END AS text,
+        unnest(CASE k WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM g
+    ), o AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, r, copy) AS i,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, r, copy) AS again
+      FROM d
+    ), f AS (
+      SELECT conv_id, i, turn, text, left(role, 1) AS initial, chr(10) || role || ':' || text AS line, fault,
+        fault NOT IN ('b', 'd') AS able, CASE WHEN fault = 't' THEN {repair.TRUNCATED_COST} ELSE 0 END AS more,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+      FROM (SELECT *, CASE WHEN NOT regexp_matches(text, '[^{white}]') THEN 'b' WHEN again > 1 THEN 'd'
+        WHEN NOT regexp_matches(text, '[{repair.ENDS}][{white}]*$') THEN 't' ELSE '.' END AS fault FROM o)
+    ), c AS (
+      SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM f GROUP BY conv_id
+    ), p AS (
+      {closed} (SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': '', 't': ''}} AS n0, {far} AS n1, {far} AS n2, {far} AS n3
+        FROM (SELECT DISTINCT conv_id FROM conversations)))
+      UNION ALL
+      {closed} (SELECT f.conv_id, f.i, {deleted("s0")} AS n0, {least(deleted("s1"), kept("s0", "s"))} AS n1,
+          {least(deleted("s2"), *(kept(f"s{q}", "u") for q in (0, 1, 3)))} AS n2, {least(deleted("s3"), kept("s2", "a"))} AS n3
+        FROM p JOIN f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.i + 1))
+    )
+    SELECT p.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(least(s0, s3).c AS BIGINT) AS cost,
+      least(s0, s3).a AS audit, sha256(substr(least(s0, s3).t, 2)) AS repaired_sha256
+    FROM p LEFT JOIN c ON p.conv_id IS NOT DISTINCT FROM c.conv_id
+    WHERE p.i = coalesce(c.n, 0)
+    """
+
+
 #: DuckDB's SQL for the queries that it can express.
 ORACLE: dict[str, str] = {
     "op3_licenses": _license_sql(),
     "op7_chat": _chat_sql(),
+    "op13_repair": _repair_sql(),
 }

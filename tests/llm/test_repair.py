@@ -1,0 +1,155 @@
+"""Conversation repair against a plain dynamic program, its SQL, and with conversations that many tasks hold."""
+
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from coldshelf.llm import repair
+from coldshelf.llm.queries import ORACLE
+from compare import oracle_rows, spark_rows
+
+SCHEMA = "conv_id long, turn long, role string, text string, gone boolean"
+FINAL = "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256".split()
+
+
+def plain(rows: str) -> tuple[int, str]:
+    """Cheapest edits by trying every edit of every row in every state, with up to two turns inserted at a place."""
+    best = {0: (0, "")}
+
+    def insert(states):
+        for _ in range(2):
+            for (state, (cost, audit)), letter in itertools.product(list(states.items()), "ua"):
+                after = repair.STEP.get((state, letter))
+                if after is not None:
+                    states[after] = min(states.get(after, (10**9, "")), (cost + 3, audit + "I"))
+        return states
+
+    insert(best)
+    for initial, fault in zip(rows[::2], rows[1::2]):
+        after = {}
+        more = 3 if fault == "t" else 0
+        for state, (cost, audit) in best.items():
+            options = [(state, cost + 4, "D")]
+            if fault not in "bd":
+                options.append((repair.STEP.get((state, initial)), cost + more, "K"))
+                options += [(repair.STEP.get((state, x)), cost + 3 + more, "R") for x in "ua"]
+            for to, price, edit in options:
+                if to is not None:
+                    after[to] = min(after.get(to, (10**9, "")), (price, audit + edit))
+        best = insert(after)
+    return min(best[s] for s in (0, 3) if s in best)
+
+
+def test_every_short_conversation():
+    for size in range(4):
+        for rows in itertools.product([a + b for a in "suax" for b in "bdt."], repeat=size):
+            assert repair.cheapest("".join(rows)) == plain("".join(rows))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_long_conversations_whole_and_in_blocks(seed):
+    rng = random.Random(seed)
+    rows = "".join(rng.choice("suuaaax") + rng.choice("....tbd") for _ in range(rng.randint(30, 150)))
+    expected = plain(rows)
+    assert repair.cheapest(rows) == expected
+    size = 2 * rng.randint(1, 20)
+    blocks = []
+    for begin in range(0, len(rows), size):
+        cells = []
+        for state in range(4):
+            paths = repair.lightest(rows[begin : begin + size], state, False)
+            cells += [paths.get(after) for after in range(4)]
+        blocks.append(cells)
+    cost, audit, states = repair.through_blocks(blocks)
+    assert (cost, audit) == expected and len(states) == len(blocks) and states[0] == 0
+
+
+def test_an_agenda_pops_items_lightest_first():
+    agenda = repair.Agenda()
+    for item, cost, size, audit in [(("a",), 3, 1, "R"), (("b",), 0, 2, "K"), (("a",), 3, 1, "I"), (("c",), 3, 0, "Z")]:
+        agenda.push(item, cost, size, audit)
+    assert [agenda.pop()[0] for _ in range(3)] == [("b",), ("c",), ("a",)]
+    assert agenda.final[("a",)][:2] == (3, "I") and agenda.pop() is None
+
+
+def by_hand(rows):
+    """All columns for the rows of a conversation, in order."""
+    roles, texts = [r for _, r, _ in rows], [t for _, _, t in rows]
+    signs = repair.faults(roles, texts, list(zip(roles, texts)), set())
+    turns = [t for t, _, _ in rows if t is not None]
+    cost, audit = plain(signs)
+    lines, i, state = [], 0, 0
+    for edit in audit:
+        if edit != "D":
+            letter = roles[i][0] if edit == "K" else "a" if state == 2 else "u"
+            lines.append((roles[i] if edit == "K" else {"u": "user", "a": "assistant"}[letter]) + ":" + ("" if edit == "I" else texts[i]))
+            state = repair.STEP[state, letter]
+        i += edit != "I"
+    illegal = sum(a[:1] + b[:1] not in ("su", "ua", "au") for a, b in zip(roles, roles[1:]))
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return gaps, *(signs[1::2].count(f) for f in "bdt"), illegal, cost, audit, digest
+
+
+def made(rng, size):
+    rows = [(rng.choice([None, *range(size)]), rng.choice(["user", "assistant", "system", "tool", " ", ""]), rng.choice(["", " \t", "Yes.", "no", "Why? ", f"n{rng.random()}!"])) for _ in range(size)]
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+
+
+def check(spark, conversations):
+    rows = [(c, t, r, x, False) for c, turns in conversations.items() for t, r, x in turns]
+    rows += [(c, 0, "user", "x", True) for c in conversations] + [(-5, 0, "user", "x", True)]
+    random.Random(1).shuffle(rows)
+    found = {r.conv_id: tuple(r)[1:] for r in repair.repaired(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found.pop(-5) == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert found.keys() == conversations.keys()
+    for conv_id, turns in conversations.items():
+        assert found[conv_id] == by_hand(turns)
+
+
+def test_random_conversations(spark):
+    rng = random.Random(4)
+    conversations = {i: made(rng, rng.randint(0, 12)) for i in range(200)}
+    conversations[None] = made(rng, 9)
+    check(spark, conversations)
+
+
+def test_a_conversation_that_many_tasks_hold(spark):
+    rng = random.Random(6)
+    conversations = {i: made(rng, rng.randint(0, 5)) for i in range(300)}
+    conversations[150] = made(rng, 1500)
+    conversations[None] = [(None, "user", "same.")] * 700
+    check(spark, conversations)
+
+
+def test_damage(spark):
+    rows = [(c, t, r, x) for c in (1, None) for t in [None, *range(40)] for r, x in ((None, "A. B!"), ("assistant", None))]
+    got = sorted(map(repr, map(tuple, repair.damaged(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect())))
+    expected = []
+    for c, t, r, x in rows:
+        k = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        r, x = r or " ", " " if x is None else x
+        x = "" if k == 1 else x.translate({46: None, 33: None, 63: None}) if k == 2 else x
+        expected += [(c, t, "user" if k == 4 else r, x, k == 0)] * (2 if k == 3 else 1)
+    assert got == sorted(map(repr, expected))
+
+
+def test_edges_and_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 1, 2, 3, 4, 5]), rng.choice([None, *range(30)]), rng.choice([None, "user", "assistant", "system", "Änderung", ""]), rng.choice([None, "", " ", "One.", "Two", "three?\n"])) for _ in range(150)]
+    rows += [(9, 0, "user", "word " * 300_000), (9, 1, "assistant", "Yes."), (9, 1, "assistant", "Yes.")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    other = df.select("*", *(F.lit("x").alias(n) for n in "gone row part block audit copies text_head".split()))
+    connection = duckdb.connect()
+    connection.register("conversations", df.toArrow())
+    expected = oracle_rows(connection, ORACLE["op13_repair"])
+    assert expected[0] == sorted(FINAL)
+    assert spark_rows(repair.repaired(repair.damaged(df))) == expected
+    assert spark_rows(repair.repaired(repair.damaged(other))) == expected
+    assert repair.repaired(repair.damaged(df.limit(0))).collect() == []
