@@ -51,6 +51,12 @@ class Connection:
     # False for databases that number rows only in the order of a subquery.
     window_order: bool = True
     properties: Mapping[str, str] = field(default_factory=dict, repr=False)
+    # The snapshot that its readers share, while one is held open.
+    snapshot: str | None = None
+
+    def login(self) -> dict[str, str]:
+        given = {"user": self.user, "password": self.password}
+        return {key: value for key, value in given.items() if value is not None}
 
     def options(self) -> dict[str, str]:
         options = {
@@ -59,11 +65,7 @@ class Connection:
             "fetchsize": str(self.fetch_size),
             "preferTimestampNTZ": "true",
         }
-        if self.user is not None:
-            options["user"] = self.user
-        if self.password is not None:
-            options["password"] = self.password
-        return {**options, **self.properties}
+        return {**options, **self.login(), **self.properties}
 
 
 def resolve_connection(spec: Mapping[str, str], env: Mapping[str, str] | None = None) -> Connection:
@@ -114,8 +116,51 @@ def inventory(
     )
 
 
+# The columns of each table's primary key, or else of its narrowest unique index without
+# NULLs, conditions or expressions, in key order. Any account sees the index catalog.
+_INDEX_KEYS = """
+(SELECT k.table_schema, k.table_name, a.attname AS column_name, p.place AS ordinal_position
+FROM (
+  SELECT DISTINCT ON (c.oid) c.oid, n.nspname AS table_schema, c.relname AS table_name, i.indkey, i.indnkeyatts
+  FROM pg_catalog.pg_index i
+  JOIN pg_catalog.pg_class c ON c.oid = i.indrelid JOIN pg_catalog.pg_namespace n ON n.oid = c.relnamespace
+  WHERE n.nspname IN ({schemas}) AND i.indisunique AND i.indisvalid AND i.indimmediate
+    AND i.indpred IS NULL AND i.indexprs IS NULL
+    AND NOT EXISTS (
+      SELECT 1 FROM pg_catalog.pg_attribute o
+      WHERE o.attrelid = c.oid AND o.attnum = ANY ((i.indkey::int2[])[0:i.indnkeyatts - 1]) AND NOT o.attnotnull
+    )
+  ORDER BY c.oid, i.indisprimary DESC, i.indnkeyatts, i.indexrelid
+) k
+CROSS JOIN LATERAL unnest(k.indkey::int2[]) WITH ORDINALITY AS p(attnum, place)
+JOIN pg_catalog.pg_attribute a ON a.attrelid = k.oid AND a.attnum = p.attnum
+WHERE p.place <= k.indnkeyatts) keys
+"""
+
+
 def primary_keys(spark: SparkSession, connection: Connection, schemas: Sequence[str]) -> DataFrame:
-    """Primary-key columns in key order: (table_schema, table_name, key_columns)."""
+    """Key columns in key order: (table_schema, table_name, key_columns).
+
+    PostgreSQL shows constraints to a table's owner and writers only, so there the keys come
+    from the catalog of indexes, which an account that may only read sees too, and a table
+    without a primary key has its narrowest unique one. Elsewhere they are the primary keys
+    of the standard views.
+    """
+    if connection.driver == POSTGRES_DRIVER:
+        usage = scan(spark, connection, _INDEX_KEYS.format(schemas=", ".join(map(literal, schemas))))
+    else:
+        usage = _constrained(spark, connection, schemas)
+    # A key has at most a few dozen columns, so each list is small.
+    column = F.struct("ordinal_position", "column_name")
+    return (
+        usage.groupBy("table_schema", "table_name")
+        .agg(F.array_sort(F.collect_list(column)).alias("parts"))
+        .select("table_schema", "table_name", F.col("parts.column_name").alias("key_columns"))
+    )
+
+
+def _constrained(spark: SparkSession, connection: Connection, schemas: Sequence[str]) -> DataFrame:
+    """Columns of primary keys, from the standard views."""
     names = ["constraint_schema", "constraint_name", "table_schema", "table_name"]
     listed = F.col("table_schema").isin(list(schemas))
     constraints = (
@@ -128,14 +173,7 @@ def primary_keys(spark: SparkSession, connection: Connection, schemas: Sequence[
         .filter(listed)
         .select(*(F.col(n).alias(n) for n in [*names, "column_name", "ordinal_position"]))
     )
-    # A key has at most a few dozen columns, so each list is small.
-    column = F.struct("ordinal_position", "column_name")
-    return (
-        usage.join(constraints, names)
-        .groupBy("table_schema", "table_name")
-        .agg(F.array_sort(F.collect_list(column)).alias("parts"))
-        .select("table_schema", "table_name", F.col("parts.column_name").alias("key_columns"))
-    )
+    return usage.join(constraints, names)
 
 
 def scan(
@@ -175,13 +213,14 @@ def scan_table(
     """Whole source table, read by its quoted name.
 
     A PostgreSQL table that no key splits is read in ranges of its pages
-    (:func:`page_ranges`), so that no table is one task's work for want of a key.
+    (:func:`page_ranges`) if its readers share a snapshot: without one, a row that is
+    updated meanwhile moves to another page, and would be read twice or not at all.
     """
     relation = jdbc_name(schema, table)
     ranges = []
     if key_columns:
         ranges = key_ranges(spark, connection, relation, key_columns, unique_key, rows_per_partition, sample_percent)
-    if not ranges and connection.driver == POSTGRES_DRIVER:
+    if not ranges and connection.driver == POSTGRES_DRIVER and connection.snapshot:
         ranges = page_ranges(spark, connection, relation)
     return _read(spark, connection, relation, ranges, options)
 
@@ -193,13 +232,24 @@ def _read(
     ranges: Sequence[str],
     options: Mapping[str, str] | None,
 ) -> DataFrame:
+    df = read_parts(spark, connection, relation, ranges, options)
+    # A task reads its ranges one after another, on one connection at a time.
+    return df.coalesce(connection.max_connections) if connection.max_connections and len(ranges) > 1 else df
+
+
+def read_parts(
+    spark: SparkSession,
+    connection: Connection,
+    relation: str,
+    predicates: Sequence[str],
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Rows of a relation, one query for each predicate; all rows without any."""
     options = {**connection.options(), **(options or {})}
-    if len(ranges) < 2:
+    if len(predicates) < 2 and list(predicates) in ([], ["1 = 1"]):
         return spark.read.format("jdbc").options(**options).option("dbtable", relation).load()
     url = options.pop("url")
-    df = spark.read.jdbc(url, relation, predicates=list(ranges), properties=options)
-    # A task reads its ranges one after another, on one connection at a time.
-    return df.coalesce(connection.max_connections) if connection.max_connections else df
+    return spark.read.jdbc(url, relation, predicates=list(predicates), properties=options)
 
 
 def page_ranges(
@@ -208,12 +258,14 @@ def page_ranges(
     """Predicates that split a PostgreSQL table by the pages its rows lie in.
 
     Balanced whatever the data, and planned without reading the table. Views
-    and partitioned parents have no pages of their own and stay in one part.
+    and partitioned parents have no pages of their own and stay in one part. A row version
+    that a snapshot shows stays where it is, so the parts are exact under one snapshot only.
     """
-    size = f"SELECT pg_relation_size({_literal(relation)}::regclass) / current_setting('block_size')::bigint AS pages"
-    pages = _query(spark, connection, size).first()[0] or 0
-    step = max(pages_per_partition, -(-pages // _MAX_PARTITIONS))
-    starts = list(range(0, pages, step))
+    if not connection.snapshot:
+        raise ValueError("page ranges need readers that share a snapshot")
+    size = f"SELECT pg_relation_size({literal(relation)}::regclass) / current_setting('block_size')::bigint AS pages"
+    pages = query(spark, connection, size).first()[0] or 0
+    starts = list(range(0, pages, pages_per_partition))
     predicates = [f"ctid >= '({low},0)'::tid AND ctid < '({high},0)'::tid" for low, high in zip(starts, starts[1:])]
     return [*predicates, *(f"ctid >= '({low},0)'::tid" for low in starts[-1:])]
 
@@ -278,7 +330,7 @@ def _even_strides(
     lie so far apart that the width would say little about the rows."""
     name = jdbc_name(column)
     # One query per end: each is a single step into the index.
-    ends = [_query(spark, connection, f"SELECT {f}({name}) AS k FROM {relation}").first()[0] for f in ("MIN", "MAX")]
+    ends = [query(spark, connection, f"SELECT {f}({name}) AS k FROM {relation}").first()[0] for f in ("MIN", "MAX")]
     if ends[0] is None:
         return []
     low, high = map(int, ends)
@@ -321,25 +373,25 @@ class _RangePlanner:
             yield within or "1 = 1"
             return
         name, rest = jdbc_name(columns[0]), columns[1:]
-        empty = _both(within, f"{name} IS NULL")
-        nulls = _query(self.spark, self.connection, f"SELECT COUNT(*) AS n FROM {self.relation} WHERE {empty}")
+        empty = both(within, f"{name} IS NULL")
+        nulls = query(self.spark, self.connection, f"SELECT COUNT(*) AS n FROM {self.relation} WHERE {empty}")
         yield from self.split(rest, empty) if nulls.first()[0] > self.step else [empty]
         if found is None:
             found = self.boundaries(name, within, self.step)
         # A boundary found more than once is a value that fills several parts.
         low = f"{name} IS NOT NULL"
         for value, times in Counter(found).items():
-            bound = _literal(value)
-            yield _both(within, low, f"{name} < {bound}")
+            bound = literal(value)
+            yield both(within, low, f"{name} < {bound}")
             low = f"{name} >= {bound}"
             if times > 1:
-                yield from self.split(rest, _both(within, f"{name} = {bound}"))
+                yield from self.split(rest, both(within, f"{name} = {bound}"))
                 low = f"{name} > {bound}"
-        yield _both(within, low)
+        yield both(within, low)
 
     def boundaries(self, name: str, within: str | None, step: int, last: int | None = None) -> list:
         """Every ``step``-th value of a column, in the database's own order."""
-        rows = f"{self.relation} WHERE {_both(within, f'{name} IS NOT NULL')}"
+        rows = f"{self.relation} WHERE {both(within, f'{name} IS NOT NULL')}"
         if self.connection.window_order:
             numbered = f"SELECT {name}, ROW_NUMBER() OVER (ORDER BY {name}) AS rn FROM {rows}"
         else:
@@ -347,19 +399,19 @@ class _RangePlanner:
             numbered = f"SELECT {name}, ROW_NUMBER() OVER () AS rn FROM ({ordered}) o"
         stop = f" AND rn <= {last}" if last else ""
         nth = f"SELECT {name}, rn FROM ({numbered}) q WHERE MOD(rn, {step}) = 0{stop}"
-        found = _query(self.spark, self.connection, nth).collect()
+        found = query(self.spark, self.connection, nth).collect()
         return [value for value, _ in sorted(found, key=lambda row: row[1])]
 
 
-def _query(spark: SparkSession, connection: Connection, sql: str) -> DataFrame:
+def query(spark: SparkSession, connection: Connection, sql: str) -> DataFrame:
     return spark.read.format("jdbc").options(**connection.options()).option("query", sql).load()
 
 
-def _both(*tests: str | None) -> str:
+def both(*tests: str | None) -> str:
     return " AND ".join(test for test in tests if test)
 
 
-def _literal(value) -> str:
+def literal(value) -> str:
     if isinstance(value, (int, Decimal)):
         return format(value, "f") if isinstance(value, Decimal) else str(value)
     if isinstance(value, dt.datetime):

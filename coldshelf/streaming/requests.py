@@ -12,16 +12,18 @@ import hashlib
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from coldshelf.session import fixed
 from coldshelf.sources.config import parse_configs
-from coldshelf.sources.lake import qualify
+from coldshelf.sources.lake import delete_files, qualify, resolve
 
 _VERSION = ["path", "modificationTime", "length"]
 _PLAN = "path string, modificationTime timestamp, length bigint, value string"
+# The ledger is one table, partitioned by run and by the day on which a file was written.
+_DAY = "string(to_date(modificationTime)) AS day"
 
 
 def request_files(spark: SparkSession, folder: str, pattern: str = "*.yaml") -> DataFrame:
@@ -34,10 +36,10 @@ def waiting_requests(
     spark: SparkSession, folder: str, ledger: str, pattern: str = "*.yaml", max_files: int | None = None
 ) -> DataFrame:
     """Versions that the ledger does not hold, oldest first; ``max_files`` of them at a time."""
-    files = request_files(spark, folder, pattern).select(*_VERSION)
-    handled = _read_plan(spark, f"{ledger}/*")
-    if handled is not None:
-        files = files.join(handled.select(*_VERSION), _VERSION, "left_anti")
+    files = request_files(spark, folder, pattern).select(*_VERSION, F.expr(_DAY))
+    if _exists(spark, ledger):
+        handled = spark.read.schema(f"{_PLAN}, run string, day string").parquet(ledger)
+        files = files.join(handled.select(*_VERSION, "day"), [*_VERSION, "day"], "left_anti")
     return files.orderBy("modificationTime", "path").limit(max_files) if max_files else files
 
 
@@ -90,25 +92,26 @@ def serve_requests(
 
 
 def _plan(spark, folder: str, ledger: str, plan: str, pattern: str, max_files: int | None) -> DataFrame | None:
-    new = waiting_requests(spark, folder, ledger, pattern, max_files).cache()
-    try:
-        if new.isEmpty():
-            return None
-        oldest = new.agg(F.min("modificationTime")).first()[0]
-        # Only files as young as the oldest new one are opened.
-        files = request_files(spark, folder, pattern).filter(F.col("modificationTime") >= F.lit(oldest))
-        rows = files.join(new, _VERSION, "left_semi").select(*_VERSION, F.col("content").cast("string").alias("value"))
-        rows.coalesce(1).write.parquet(plan)
-    finally:
-        new.unpersist()
+    # A plan that a killed run has left half written was given to nobody.
+    delete_files(spark, plan)
+    new = fixed(waiting_requests(spark, folder, ledger, pattern, max_files))
+    oldest = new.agg(F.min("modificationTime")).first()[0]
+    if oldest is None:
+        return None
+    # Only files as young as the oldest new one are opened.
+    files = request_files(spark, folder, pattern).filter(F.col("modificationTime") >= F.lit(oldest))
+    rows = files.join(new, _VERSION, "left_semi").select(*_VERSION, F.col("content").cast("string").alias("value"), F.expr(_DAY))
+    rows.write.partitionBy("day").parquet(plan)
     return _read_plan(spark, plan)
 
 
 def _read_plan(spark: SparkSession, path: str) -> DataFrame | None:
-    """Requests written down at a path; None if none were."""
-    try:
-        return spark.read.schema(_PLAN).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """Requests written down at a path; None unless all of them were."""
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        return None
+    return spark.read.schema(f"{_PLAN}, day string").parquet(path).drop("day")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, target = resolve(spark, path)
+    return fs.exists(target)

@@ -1,0 +1,246 @@
+import datetime as dt
+import os
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from coldshelf.operators import archive as archiving
+from coldshelf.operators.archive import ContentMismatch, archive_table
+from coldshelf.operators.checksum import measured
+from coldshelf.operators.manifest import ARGUMENTS
+from coldshelf.plans.fanout import append_run_log, archive_many, logged
+from coldshelf.sources import versions
+from coldshelf.sources.lake import catalog_entry, read_archive
+from coldshelf.sources.versions import LeaseHeld, lease, needed, reading, registry, target_lease
+
+RUN_TS = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+
+
+@pytest.fixture
+def put(spark, name, tmp_path):
+    def run(df, **options):
+        return archive_table(df, name, "t", f"{tmp_path}/t/", "6m", run_ts=RUN_TS, **options)
+
+    return run
+
+
+def folders(tmp_path):
+    return sorted(f for f in os.listdir(tmp_path / "t") if f.startswith("run-"))
+
+
+def test_a_reader_finishes_after_its_version_is_replaced(spark, name, put, tmp_path):
+    put(spark.range(1000).repartition(4))
+    with reading(spark, name, "t") as held:
+        put(spark.range(5))
+        put(spark.range(6))
+        assert held.count() == 1000 and len(folders(tmp_path)) == 2
+        assert read_archive(spark, name, "t").count() == 6
+    put(spark.range(7))
+    assert len(folders(tmp_path)) == 1 and not (tmp_path / "t" / "_versions").exists()
+
+
+def test_grace_for_readers_without_a_lease(spark, name, put, tmp_path):
+    put(spark.range(10))
+    opened = read_archive(spark, name, "t")
+    put(spark.range(5), grace_hours=1)
+    assert opened.count() == 10 and len(folders(tmp_path)) == 2
+    put(spark.range(6), grace_hours=1)
+    assert len(folders(tmp_path)) == 3
+    put(spark.range(7))
+    assert len(folders(tmp_path)) == 1
+
+
+def test_a_live_writer_is_not_taken_for_dead(spark, put, tmp_path):
+    put(spark.range(10))
+    other = tmp_path / "t" / "run-other"
+    other.mkdir()
+    with lease(spark, str(other), seconds=60):
+        put(spark.range(5), stale_hours=-1)
+        assert other.exists()
+    put(spark.range(5), stale_hours=-1)
+    assert not other.exists()
+
+
+def test_a_dead_writer_leaves_a_lease_that_ends(spark, put, tmp_path):
+    dead = tmp_path / "t" / "run-dead"
+    dead.mkdir(parents=True)
+    place = registry(str(dead))
+    os.makedirs(place)
+    with open(f"{place}/lease-x", "w") as file:
+        file.write(f"{time.time() + 3600:.3f} ")
+    put(spark.range(5), stale_hours=-1)
+    assert dead.exists()
+    with open(f"{place}/lease-x", "w") as file:
+        file.write(f"{time.time() - 1:.3f} ")
+    for crc in os.listdir(place):  # the local store's own sums
+        if crc.startswith("."):
+            os.remove(f"{place}/{crc}")
+    put(spark.range(5), stale_hours=1000)
+    assert not dead.exists()
+
+
+def test_leases_are_renewed(spark, tmp_path):
+    folder = f"{tmp_path}/t/run-x"
+    with lease(spark, folder, seconds=0.4):
+        time.sleep(1.0)
+        assert needed(spark, folder, 0.0)
+    assert needed(spark, folder, 0.0) is None
+
+
+def test_what_is_being_written_counts_as_held(spark, tmp_path):
+    place = registry(f"{tmp_path}/t/run-x")
+    os.makedirs(place)
+    open(f"{place}/lease-x", "w").close()
+    assert needed(spark, f"{tmp_path}/t/run-x", 0.0)
+
+
+def test_tables_of_others_are_read_without_a_lease(spark, name):
+    spark.sql(f"CREATE DATABASE {name}")
+    spark.range(4).write.saveAsTable(f"{name}.plain")
+    with reading(spark, name, "plain") as df:
+        assert df.count() == 4
+
+
+def test_two_runs_cannot_write_to_one_path(spark, tmp_path):
+    root = f"{tmp_path}/t"
+    with target_lease(spark, root, "run_a"):
+        with pytest.raises(LeaseHeld, match="run_a"):
+            with target_lease(spark, root, "run_b"):
+                pass
+    with target_lease(spark, root, "run_b"):
+        pass
+    assert not os.path.exists(f"{root}/_versions")
+
+
+def test_a_dead_runs_target_is_taken_over(spark, tmp_path):
+    root = f"{tmp_path}/t"
+    versions._write(spark, f"{root}/_versions/writers/0", versions._line(-1, "run_dead"))
+    with target_lease(spark, root, "run_b"):
+        pass
+    # The same run, started again, need not wait.
+    versions._write(spark, f"{root}/_versions/writers/0", versions._line(1000, "run_c"))
+    with target_lease(spark, root, "run_c"):
+        pass
+
+
+def test_only_one_of_many_takes_a_target(spark, tmp_path):
+    got, lock, gate = [], threading.Lock(), threading.Barrier(6)
+
+    def attempt(i):
+        gate.wait()
+        try:
+            with target_lease(spark, f"{tmp_path}/t", f"run_{i}"):
+                with lock:
+                    got.append(i)
+                time.sleep(0.5)
+        except LeaseHeld:
+            pass
+
+    threads = [threading.Thread(target=attempt, args=(i,)) for i in range(6)]
+    [t.start() for t in threads]
+    [t.join(60) for t in threads]
+    assert len(got) == 1
+
+
+# --- what a table holds -----------------------------------------------------
+
+
+def test_the_checksum_ignores_order_and_counts_copies(spark):
+    df = spark.range(1000).select("id", F.create_map(F.lit("k"), "id").alias("m"), F.array("id", F.lit(None).cast("long")).alias("a"))
+    assert measured(df) == measured(df.repartition(7).orderBy(F.rand(3)))
+    assert measured(df) != measured(df.union(df.limit(1)))
+    assert measured(df.limit(0)) == (0, 0)
+    twice = spark.createDataFrame([(1,), (1,)], "x int")
+    assert measured(twice) != measured(twice.limit(0)) and measured(twice) != measured(twice.limit(1))
+
+
+def test_what_was_written_is_what_is_stored(spark, name, put):
+    df = spark.range(500).select("id", F.col("id").cast("double").alias("d"), F.col("id").cast("string").alias("s"), F.lit(None).cast("int").alias("n"))
+    done = put(df, verify=True)
+    assert (done.rows, done.checksum) == measured(read_archive(spark, name, "t"))
+
+
+def test_a_damaged_file_fails_the_table(spark, name, put, tmp_path, monkeypatch):
+    put(spark.range(10))
+    current = catalog_entry(spark, f"{name}.t").location
+    observed = archiving._observed
+
+    def lose_a_file(waves):
+        version = next(f for f in folders(tmp_path) if not current.endswith(f))
+        files = [f for f in os.listdir(tmp_path / "t" / version) if f.endswith(".parquet")]
+        os.remove(tmp_path / "t" / version / files[0])
+        return observed(waves)
+
+    monkeypatch.setattr(archiving, "_observed", lose_a_file)
+    with pytest.raises(ContentMismatch):
+        put(spark.range(100).repartition(4), verify=True)
+    assert read_archive(spark, name, "t").count() == 10 and len(folders(tmp_path)) == 1
+
+
+# --- runs -------------------------------------------------------------------
+
+
+@pytest.fixture
+def jobs(spark, name, tmp_path):
+    def make(*tables):
+        rows = [("src", "main", t, "c", f"{tmp_path}/{t}/", name, f"main_{t}", "6m") for t in tables]
+        return spark.createDataFrame(rows, "source_name string, " + ", ".join(f"{a} string" for a in ARGUMENTS))
+
+    return make
+
+
+def test_a_run_goes_on_where_its_log_ends(spark, name, jobs, tmp_path):
+    log, read_tables = f"{name}.runs", []
+
+    def read(row, fail=()):
+        if row.source_table in fail:
+            raise RuntimeError("killed")
+        read_tables.append(row.source_table)
+        return spark.range(3)
+
+    tables = ["a", "b", "c", "d"]
+    first = archive_many(spark, jobs(*tables), lambda row: read(row, "cd"), run_id="run_x", run_ts=RUN_TS)
+    append_run_log(first, log, f"{tmp_path}/runs")
+    again = archive_many(spark, jobs(*tables), read, run_id="run_x", resume=logged(spark, log, "run_x"))
+    append_run_log(again, log, f"{tmp_path}/runs")
+    assert sorted(read_tables) == tables
+    done = {r.source_table: r for r in again.collect()}
+    assert {r.status for r in done.values()} == {"archived"} and len(done) == 4
+    assert len({r.added_at for r in done.values()}) == 1  # the run's own time
+    archived = [r.source_table for r in logged(spark, log, "run_x").filter("status = 'archived'").collect()]
+    assert sorted(archived) == tables
+    other = archive_many(spark, jobs("a"), read, run_id="run_y", resume=logged(spark, log, "run_x"))
+    assert other.count() == 1 and read_tables.count("a") == 2
+
+
+def test_a_table_that_another_run_is_writing_is_refused(spark, jobs, tmp_path):
+    with target_lease(spark, f"{tmp_path}/a/", "run_other"):
+        done = {r.source_table: r for r in archive_many(spark, jobs("a", "b"), lambda row: spark.range(2), run_id="run_x").collect()}
+    assert (done["a"].status, done["b"].status) == ("refused", "archived")
+    assert "run_other" in done["a"].error
+
+
+def test_a_report_reads_the_partitions_of_its_run(spark, name, jobs, tmp_path):
+    log = f"{name}.runs"
+    for run in ("run_x", "run_y", "run_x"):
+        append_run_log(archive_many(spark, jobs("a"), lambda row: spark.range(2), run_id=run, run_ts=RUN_TS), log, f"{tmp_path}/runs")
+    assert spark.table(log).count() == 2
+    plan = logged(spark, log, "run_x")._jdf.queryExecution().executedPlan().toString()
+    assert "run_id" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert len(logged(spark, log, "run_x").inputFiles()) == 1
+
+
+def test_checksums_are_in_the_status(spark, name, jobs):
+    done = archive_many(spark, jobs("a"), lambda row: spark.range(50), verify=True).first()
+    assert (done.row_count, int(done.checksum)) == measured(read_archive(spark, name, "main_a"))
+
+
+def test_one_report_of_a_stored_table_has_the_stamp_in_its_filter(spark):
+    from coldshelf.operators.retire import expired
+    from workload.queries import AS_OF, _dated_archives
+
+    for stored in _dated_archives(spark, "/root/testdata/sf0.001").values():
+        plan = expired(stored, AS_OF)._jdf.queryExecution().executedPlan().toString()
+        assert "retention_expires_at" in plan.split("PushedFilters:")[1].split("]")[0]
