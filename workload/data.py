@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from coldshelf.functions.naming import jdbc_name
 from coldshelf.session import shared_folder
 from coldshelf.sources.jdbc import Connection
+from coldshelf.sources.lake import resolve
 
 SOURCE_SCHEMA = "main"
 # Primary keys of the tables that are read over JDBC.
@@ -35,6 +36,16 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def rewrite(spark: SparkSession, path: str, text: str) -> None:
+    """Give a file another content, under the same path."""
+    fs, target = resolve(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 def unique(name: str) -> str:
     """A catalog name no other run uses."""
     return f"{name}_{uuid.uuid4().hex[:12]}"

@@ -45,6 +45,22 @@ dated AS (
   FROM orders
 )"""
 
+_ARCHIVED_ORDERS = """
+stamped AS (
+  SELECT *,
+    CASE WHEN o_orderdate < DATE '1997-01-01' THEN 'orders_old' WHEN o_orderdate < DATE '2000-01-01' THEN 'orders_middle'
+         ELSE 'orders_new' END AS table_name
+  FROM orders
+), archived AS (
+  SELECT *,
+    CASE table_name WHEN 'orders_old' THEN TIMESTAMP '1997-01-01' WHEN 'orders_middle' THEN TIMESTAMP '2000-01-01'
+         ELSE TIMESTAMP '2001-08-02 12:00:00' END AS retention_added_at,
+    CASE table_name WHEN 'orders_old' THEN TIMESTAMP '1997-01-01' + INTERVAL 365 DAY
+         WHEN 'orders_middle' THEN TIMESTAMP '2000-01-01' + INTERVAL 180 DAY
+         ELSE TIMESTAMP '2001-08-02 12:00:00' + INTERVAL 10 DAY END AS retention_expires_at
+  FROM stamped
+)"""
+
 
 def _counts(names: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS row_count FROM {n}" for n in names)
@@ -93,7 +109,21 @@ ORACLE = {
         FROM orders""",
     "archive_many_status": f"""
         SELECT name AS source_table, 'main_' || name AS target_table, row_count, 'archived' AS status
-        FROM ({_counts(["customer", "orders", "lineitem", "embeddings"])})""",
+        FROM ({_counts(["customer", "orders", "lineitem", "embeddings"])})
+        UNION ALL SELECT 'no_such_table', 'main_no_such_table', NULL, 'failed'
+        UNION ALL SELECT name, 'main_places', NULL, 'refused' FROM ({_counts(["nation", "region"])})""",
+    "archive_default_time": """
+        SELECT o_orderstatus, count(*) AS row_count, true AS stamped_now, 1 AS times, 180 AS days
+        FROM orders GROUP BY o_orderstatus""",
+    "archive_read_while_replaced": """
+        SELECT 'held' AS version, o_orderstatus, count(*) AS row_count, max(o_orderkey) AS newest
+        FROM orders GROUP BY o_orderstatus
+        UNION ALL SELECT 'current', o_orderstatus, count(*), max(o_orderkey)
+        FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderstatus""",
+    "archive_resume": f"""
+        SELECT name AS source_table, row_count, 'archived' AS status,
+               CASE WHEN name IN ('customer', 'orders') THEN TIMESTAMP '2025-01-02' ELSE TIMESTAMP '2025-01-03' END AS added_at
+        FROM ({_counts(["customer", "orders", "part", "supplier"])})""",
     "archive_listing": f"""
         SELECT 'main_' || name AS table_name, row_count,
                TIMESTAMP '2025-01-01 00:00:00' + INTERVAL 180 DAY AS expires_at
@@ -198,7 +228,11 @@ ORACLE = {
         SELECT lower(c_mktsegment) || '_' || c_nationkey AS source_name,
                lower(c_mktsegment) || '_' || c_nationkey || '_dev' AS connection, 's3://cold-lake/' AS warehouse_path,
                count(*) || 'd' AS retention, '.*' || max(c_custkey) || '$' AS pattern
-        FROM customer GROUP BY c_mktsegment, c_nationkey""",
+        FROM customer GROUP BY c_mktsegment, c_nationkey
+        UNION ALL
+        SELECT lower(c_mktsegment) || '_' || c_nationkey, lower(c_mktsegment) || '_' || c_nationkey || '_dev',
+               's3://colder-lake/', count(*) || 'd', '.*' || max(c_custkey) || '$'
+        FROM customer WHERE c_nationkey <= 2 GROUP BY c_mktsegment, c_nationkey""",
     "expired_rows": f"WITH {_DATED_ORDERS} SELECT * FROM dated WHERE retention_expires_at <= TIMESTAMP '1998-01-01'",
     "expiry_overview": f"""
         WITH {_DATED_ORDERS},
@@ -208,6 +242,15 @@ ORACLE = {
         SELECT table_name, count(*) AS row_count, count(CASE WHEN e <= TIMESTAMP '1998-01-01' THEN 1 END) AS expired_count,
                min(e) AS first_expiry, max(e) AS last_expiry
         FROM stamped GROUP BY table_name""",
+    "expired_in_archives": f"""
+        WITH {_ARCHIVED_ORDERS}
+        SELECT * EXCLUDE (table_name) FROM archived WHERE retention_expires_at <= TIMESTAMP '2000-06-29'""",
+    "archive_expiry_overview": f"""
+        WITH {_ARCHIVED_ORDERS}
+        SELECT table_name, count(*) AS row_count,
+               count(CASE WHEN retention_expires_at <= TIMESTAMP '2000-06-29' THEN 1 END) AS expired_count,
+               min(retention_expires_at) AS first_expiry, max(retention_expires_at) AS last_expiry
+        FROM archived GROUP BY table_name""",
     "table_age": """
         WITH ages AS (
           SELECT 'orders' AS table_name, max(o_orderdate) AS newest FROM orders

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from coldshelf.functions import retention
@@ -17,20 +18,22 @@ from coldshelf.operators import retire
 from coldshelf.operators.archive import archive_table, ensure_database
 from coldshelf.operators.manifest import ARGUMENTS
 from coldshelf.operators.purge import purge
-from coldshelf.operators.stamp import ADDED_AT, EXPIRES_AT, expiry, stamp
+from coldshelf.operators.stamp import ADDED_AT, EXPIRES_AT, expiry, stamp, utc_now
 from coldshelf.operators.validate import violations
-from coldshelf.plans.fanout import append_run_log, archive_many
+from coldshelf.plans.fanout import append_run_log, archive_many, logged
 from coldshelf.plans.pipeline import all_violations, run_archive
 from coldshelf.sources.config import CONFIG_TYPE, read_configs, source_rows
 from coldshelf.sources.jdbc import inventory, scan_table
 from coldshelf.sources.lake import list_tables, read_archive
-from coldshelf.streaming.requests import serve_requests
+from coldshelf.sources.versions import reading
+from coldshelf.streaming.requests import request_files, serve_requests
 from workload.data import (
     HOT_KEY,
     SOURCE_SCHEMA,
     embedded,
     load,
     load_catalog,
+    rewrite,
     scratch,
     source_database,
     table,
@@ -39,6 +42,13 @@ from workload.data import (
 
 RUN_TS = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
 NTZ = "timestamp_ntz"
+# Archives of orders: first and last day, time of the run, policy; and when they are looked at.
+DATED = {
+    "orders_old": (dt.date(1900, 1, 1), dt.date(1997, 1, 1), dt.datetime(1997, 1, 1), "1y"),
+    "orders_middle": (dt.date(1997, 1, 1), dt.date(2000, 1, 1), dt.datetime(2000, 1, 1), "6m"),
+    "orders_new": (dt.date(2000, 1, 1), dt.date(2100, 1, 1), dt.datetime(2001, 8, 2, 12), "10d"),
+}
+AS_OF = dt.datetime(2000, 6, 29)  # the very moment at which the middle one is due
 
 
 # --- sources ---------------------------------------------------------------
@@ -163,9 +173,24 @@ def archive_roundtrip_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_roundtrip_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _archived(spark, table(spark, sf_dir, "embeddings"), "embeddings")
+    """The stamps are instants here, and shown in UTC."""
+    stored = _archived(spark, table(spark, sf_dir, "embeddings"), "embeddings", ts_type="timestamp")
     return stored.select("vec_id", "label", F.posexplode("embedding").alias("position", "value"), ADDED_AT).select(
-        "vec_id", "label", F.col("position").cast("bigint"), F.col("value").cast("double"), ADDED_AT
+        "vec_id", "label", F.col("position").cast("bigint"), F.col("value").cast("double"), _utc(ADDED_AT).alias(ADDED_AT)
+    )
+
+
+def archive_default_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is given no time stamps its rows with its own."""
+    before = utc_now()
+    stored = _archived(spark, table(spark, sf_dir, "orders"), "orders", run_ts=None, ts_type="timestamp")
+    added, span = F.col(ADDED_AT), F.unix_seconds(EXPIRES_AT) - F.unix_seconds(ADDED_AT)
+    now = added.between(F.lit(before), F.lit(utc_now()))
+    return stored.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.bool_and(now).alias("stamped_now"),
+        F.count_distinct(ADDED_AT).alias("times"),
+        F.max(span / 86_400).cast("bigint").alias("days"),
     )
 
 
@@ -182,15 +207,52 @@ def archive_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, database, "orders")
 
 
+def archive_read_while_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader that opened a version sees after it has been replaced, and what the table holds then."""
+    folder, database = scratch(spark, "archive_read"), unique("archive_read")
+    target = {"database": database, "table": "orders", "path": f"{folder}/orders/", "policy": "10d", "ts_type": NTZ}
+    place = {"database_root": folder, "run_ts": RUN_TS}
+    orders = table(spark, sf_dir, "orders")
+    archive_table(orders, **target, **place)
+
+    def summary(df: DataFrame, version: str) -> DataFrame:
+        counted = df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"), F.max("o_orderkey").alias("newest"))
+        return counted.withColumn("version", F.lit(version))
+
+    with reading(spark, database, "orders") as held:
+        archive_table(orders.filter("o_orderstatus = 'F'"), **target, **place)
+        summary(held, "held").write.parquet(f"{folder}/held")
+    return spark.read.parquet(f"{folder}/held").unionByName(summary(read_archive(spark, database, "orders"), "current"))
+
+
 def archive_many_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    statuses, _, _ = _archive_tables(spark, sf_dir, ["customer", "orders", "lineitem", "embeddings"])
+    """Four tables that are there, one that is not, and two that would have the same target."""
+    names = ["customer", "orders", "lineitem", "embeddings", "no_such_table"]
+    shared = {"nation": "places", "region": "places"}
+    statuses, _, _ = _archive_tables(spark, sf_dir, [*names, *shared], shared)
     return statuses.select("source_table", "target_table", "row_count", "status")
 
 
+def archive_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that ended after two of four tables, and is started again under its id."""
+    folder, database, run = scratch(spark, "archive_resume"), unique("resume"), unique("run")
+    ensure_database(spark, database, location=f"{folder}/database")
+    log, connection = qualified_name(database, "runs"), unique("tables")
+    names = ["customer", "orders", "part", "supplier"]
+    for attempt, some in enumerate([names[:2], names], 1):
+        resume = logged(spark, log, run) if attempt > 1 else None
+        statuses, _, _ = _archive_tables(
+            spark, sf_dir, some, place=(folder, connection), run_id=run, resume=resume, run_ts=RUN_TS + dt.timedelta(days=attempt)
+        )
+        append_run_log(statuses, log, f"{folder}/runs")
+    stored = spark.table(log).filter(F.col("run_id") == run)
+    return stored.select("source_table", "row_count", "status", _utc("added_at").alias("added_at"))
+
+
 def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables of an archive database, with the rows each holds."""
     names = ["nation", "part", "supplier", "documents"]
-    _, database, _ = _archive_tables(spark, sf_dir, names)
+    _, database, _ = _archive_tables(spark, sf_dir, names, verify=True)
     rows = None
     for name in names:
         stored = read_archive(spark, database, f"{SOURCE_SCHEMA}_{name}")
@@ -208,16 +270,12 @@ def archive_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for names in (["orders", "events"], ["events"]):
         statuses, _, _ = _archive_tables(spark, sf_dir, names)
         append_run_log(statuses, log, f"{folder}/runs")
-
-    def utc(column: str):
-        return F.convert_timezone(None, F.lit("UTC"), F.col(column).cast(NTZ))
-
     return spark.table(log).select(
         "source_schema",
         "source_table",
         "retention_policy",
-        utc("added_at").alias("added_at"),
-        utc("expires_at").alias("expires_at"),
+        _utc("added_at").alias("added_at"),
+        _utc("expires_at").alias("expires_at"),
         "row_count",
         "status",
     )
@@ -324,8 +382,8 @@ def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One YAML request per market segment and nation, computed from the
-    customers; a second pass over the same folder finds nothing new."""
+    """One YAML request per market segment and nation, computed from the customers. Before
+    the second pass those of three nations are edited in place; a third finds nothing new."""
     folder = scratch(spark, "request_stream")
     requests = _request_texts(spark, sf_dir, lists_only=True)
     requests.write.partitionBy("request").text(f"{folder}/requests")
@@ -335,7 +393,11 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = source_rows(batch).select("source_name", "connection", "warehouse_path", "retention_value", "include_tables")
         rows.write.mode("overwrite").parquet(f"{folder}/handled/{run_id}")
 
-    for _ in range(2):
+    for turn in range(3):
+        if turn == 1:
+            files = request_files(spark, f"{folder}/requests", "*.txt").filter(F.col("path").rlike("request=[a-z]+_[0-2]/"))
+            for file in files.select("path", F.col("content").cast("string").alias("text")).collect():
+                rewrite(spark, file.path, file.text.replace("s3://cold-lake/", "s3://colder-lake/"))
         served = serve_requests(spark, f"{folder}/requests", f"{folder}/checkpoint", handle, pattern="*.txt")
         served.awaitTermination()
     handled = spark.read.parquet(f"{folder}/handled/*")
@@ -363,6 +425,16 @@ def expiry_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retire.expiry_summary(tables, dt.datetime(1998, 1, 1))
 
 
+def expired_in_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The due rows of three archives of orders; the scan skips the files of those that are not due."""
+    found = [retire.expired(stored, AS_OF) for stored in _dated_archives(spark, sf_dir).values()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def archive_expiry_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retire.expiry_summary(_dated_archives(spark, sf_dir), AS_OF)
+
+
 def table_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {
         "orders": (table(spark, sf_dir, "orders"), "o_orderdate"),
@@ -398,36 +470,39 @@ def _request_texts(spark: SparkSession, sf_dir: str, lists_only: bool = False) -
     return groups.select(name.alias("request"), F.concat_ws("\n", *lines).alias("value"))
 
 
-def _archived(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _utc(column: str) -> Column:
+    """An instant as the wall clock time of UTC."""
+    return F.convert_timezone(None, F.lit("UTC"), F.col(column).cast(NTZ))
+
+
+def _archived(spark: SparkSession, df: DataFrame, name: str, **options) -> DataFrame:
     folder, database = scratch(spark, name), unique(f"archive_{name}")
-    archive_table(
-        df,
-        database,
-        name,
-        f"{folder}/{name}/",
-        "6m",
-        run_ts=RUN_TS,
-        ts_type=NTZ,
-        database_root=folder,
-    )
+    given = {"run_ts": RUN_TS, "ts_type": NTZ, **options}
+    archive_table(df, database, name, f"{folder}/{name}/", "6m", database_root=folder, **given)
     return read_archive(spark, database, name)
 
 
-def _archive_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[DataFrame, str, str]:
+def _archive_tables(
+    spark: SparkSession,
+    sf_dir: str,
+    names: list[str],
+    targets: dict[str, str] | None = None,
+    place: tuple[str, str] | None = None,
+    **options,
+) -> tuple[DataFrame, str, str]:
     """Archive given tables at once: statuses, the database, its warehouse folder."""
-    folder, connection = scratch(spark, "warehouse"), unique("tables")
+    folder, connection = place or (scratch(spark, "warehouse"), unique("tables"))
     database = f"archive_{connection}"
+    named = {n: (targets or {}).get(n, n) for n in names}
     rows = [
-        ("tables", SOURCE_SCHEMA, n, connection, f"{folder}/{connection}/{SOURCE_SCHEMA}/{n}/", database, f"{SOURCE_SCHEMA}_{n}", "6m")
-        for n in names
+        ("tables", SOURCE_SCHEMA, n, connection, f"{folder}/{connection}/{SOURCE_SCHEMA}/{t}/", database, f"{SOURCE_SCHEMA}_{t}", "6m")
+        for n, t in named.items()
     ]
     statuses = archive_many(
         spark,
         spark.createDataFrame(rows, ["source_name", *ARGUMENTS]),
         lambda row: table(spark, sf_dir, row.source_table),
-        run_ts=RUN_TS,
-        ts_type=NTZ,
-        database_root=folder,
+        **{"run_ts": RUN_TS, "ts_type": NTZ, "database_root": folder, **options},
     )
     return statuses, database, folder
 
@@ -486,6 +561,18 @@ def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.withColumn(EXPIRES_AT, expiry(F.col("o_orderdate"), policy, NTZ))
 
 
+def _dated_archives(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Orders in three archives, made at different times under different policies."""
+    folder, database = scratch(spark, "dated"), unique("archive_dated")
+    orders = table(spark, sf_dir, "orders")
+    found = {}
+    for name, (first, last, run_ts, policy) in DATED.items():
+        some = orders.filter((F.col("o_orderdate") >= F.lit(first)) & (F.col("o_orderdate") < F.lit(last)))
+        archive_table(some, database, name, f"{folder}/{name}/", policy, run_ts=run_ts, ts_type=NTZ, database_root=folder)
+        found[name] = read_archive(spark, database, name)
+    return found
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -499,8 +586,11 @@ QUERIES = {
         address_parts,
         archive_roundtrip_lineitem,
         archive_roundtrip_arrays,
+        archive_default_time,
         archive_replace,
+        archive_read_while_replaced,
         archive_many_status,
+        archive_resume,
         archive_listing,
         archive_run_log,
         purge_report,
@@ -516,6 +606,8 @@ QUERIES = {
         request_stream,
         expired_rows,
         expiry_overview,
+        expired_in_archives,
+        archive_expiry_overview,
         table_age,
     )
 }
