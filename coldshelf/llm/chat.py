@@ -10,7 +10,7 @@ conversation has to fit into a row; the examples of one are cut from one formatt
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEAD, MIDDLE, TAIL = "### ", ": ", " </turn>\n"
@@ -45,41 +45,31 @@ def formatted(turns: DataFrame) -> DataFrame:
     the reply in it, in characters. Turns go by turn, equal ones by role and text; repeated
     rows are turns of their own; a null turn comes first. A null role or text is empty. Rows
     without conv_id are one conversation. Very long texts are whole. An empty table gives no
-    rows; other columns are left out.
+    rows; other columns are left out. The work grows with the turns, not with their square.
     """
     empty = F.lit("")
-    one = F.struct("turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
-    rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("turns"))
-
-    def piece(t: Column) -> Column:
-        role, text = escaped(t["role"], _ROLE), escaped(t["text"], _TEXT)
-        return F.struct(
-            F.concat(F.lit(HEAD), role, F.lit(MIDDLE), text, F.lit(TAIL)).alias("whole"),
-            F.length(text).alias("size"),
-            (t["role"] == ASSISTANT).alias("reply"),
-        )
-
-    rows = rows.select("conv_id", F.transform("turns", piece).alias("pieces"))
-    # The end of each piece in the formatted text, one after the other.
-    ends = F.aggregate(
-        F.transform("pieces", lambda p: F.length(p["whole"])),
-        F.array().cast("array<int>"),
-        lambda done, size: F.concat(done, F.array(size + F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)))),
-    )
-
-    def example(p: Column, i: Column) -> Column:
-        end = F.get("ends", i)
-        close = end - len(TAIL)
-        return F.struct(
-            i.alias("turn"), end.alias("end"), (close - p["size"]).alias("loss_start"), close.alias("loss_end"), p["reply"].alias("reply")
-        )
-
-    rows = rows.withColumn("ends", ends)
-    return rows.select(
+    rows = turns.select("conv_id", "turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
+    role, text = escaped(F.col("role"), _ROLE), escaped(F.col("text"), _TEXT)
+    # Where a turn ends is a running sum over rows, so no array is gone through for every turn.
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    whole = F.concat(F.lit(HEAD), role, F.lit(MIDDLE), text, F.lit(TAIL))
+    rows = rows.select(
         "conv_id",
-        F.array_join(F.transform("pieces", lambda p: p["whole"]), "").alias("text"),
-        F.filter(F.transform("pieces", example), lambda e: e["reply"]).alias("examples"),
+        (F.row_number().over(order) - 1).alias("place"),
+        (F.col("role") == ASSISTANT).alias("reply"),
+        whole.alias("whole"),
+        F.length(text).alias("size"),
+        F.sum(F.length(whole)).over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int").alias("end"),
+    )
+    close = F.col("end") - len(TAIL)
+    example = F.struct(
+        F.col("place").alias("turn"), "end", (close - F.col("size")).alias("loss_start"), close.alias("loss_end")
+    )
+    grouped = rows.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("place", "whole"))).alias("pieces"),
+        F.array_sort(F.collect_list(F.when(F.col("reply"), example))).alias("examples"),
     )
+    return grouped.select("conv_id", F.array_join("pieces.whole", "").alias("text"), "examples")
 
 
 def expanded(conversations: DataFrame) -> DataFrame:
@@ -88,10 +78,11 @@ def expanded(conversations: DataFrame) -> DataFrame:
     Only the characters from loss_start up to loss_end are trainable: that reply. All turns
     before it are context. A conversation without an assistant has no example.
     """
-    rows = conversations.select("conv_id", "text", F.posexplode("examples").alias("example", "e"))
+    # From a plain posexplode the optimizer would infer a filter, which goes below and has the array made twice.
+    rows = conversations.select("conv_id", "text", F.posexplode_outer("examples").alias("example", "e"))
     return rows.select(
         "conv_id", "example", F.col("e.turn").alias("target_turn"), F.substring("text", F.lit(1), F.col("e.end")).alias("text"), "e.loss_start", "e.loss_end"
-    )
+    ).filter(F.col("example").isNotNull())
 
 
 def read_turns(text: Column) -> Column:
@@ -115,9 +106,26 @@ def read_reply(example: DataFrame) -> Column:
 
 
 def read_back(conversations: DataFrame) -> DataFrame:
-    """What the formatted conversations and their examples say: conv_id, turns, replies and formatted_chars."""
-    rows = conversations.select("conv_id", read_turns(F.col("text")).alias("turns"), F.length("text").cast("long").alias("formatted_chars"))
-    examples = expanded(conversations)
-    replies = examples.select(F.col("conv_id").alias("id"), F.struct("example", read_reply(examples).alias("text")).alias("reply"))
-    replies = replies.groupBy("id").agg(F.array_sort(F.collect_list("reply")).alias("replies"))
-    return rows.join(replies, rows.conv_id.eqNullSafe(replies.id), "left").select("conv_id", "turns", "replies.text", "formatted_chars").withColumnRenamed("text", "replies")
+    """What the formatted conversations and their examples say: conv_id, turns, replies and formatted_chars.
+
+    A conversation without an example has null replies. Each conversation is gone through once.
+    """
+    rows = conversations.select("conv_id", "text", F.posexplode_outer("examples").alias("example", "e"))
+    first = F.coalesce("example", F.lit(0)) == 0
+    example = rows.select(
+        "conv_id",
+        "example",
+        F.substring("text", F.lit(1), F.col("e.end")).alias("text"),
+        "e.loss_start",
+        "e.loss_end",
+        F.when(first, read_turns(F.col("text"))).alias("turns"),
+        F.when(first, F.length("text")).cast("long").alias("chars"),
+    )
+    reply = F.when(F.col("example").isNotNull(), F.struct("example", read_reply(example).alias("text")))
+    found = example.groupBy("conv_id").agg(
+        F.first("turns", ignorenulls=True).alias("turns"),
+        F.array_sort(F.collect_list(reply)).alias("replies"),
+        F.max("chars").alias("formatted_chars"),
+    )
+    replies = F.when(F.size("replies") > 0, F.col("replies.text"))
+    return found.select("conv_id", "turns", replies.alias("replies"), "formatted_chars")
