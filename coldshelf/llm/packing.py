@@ -8,11 +8,16 @@ window holds the target proportions to a token per queue, and only the last is s
 What a queue has served before a round follows from its total alone, so each task places
 its own documents: it needs the tokens of its queue in earlier partitions, and nothing
 passes from task to task.
+
+Sources beyond a number of queues stand in one that is itself served in turn: its sources'
+tokens are cut into units, and the units go by how far they lie in their own source, so a
+stretch of that queue holds its sources in proportion, however many there are.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -21,111 +26,147 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coldshelf.llm.bpe import Bpe, broadcast_vocabulary, encoded, worker_bpe
-from coldshelf.llm.cluster import extended, ship, written
+from coldshelf.llm.bpe import Bpe, broadcast_vocabulary, byte_strings, encoded, worker_bpe
+from coldshelf.llm.cluster import extended, lean, ship, written
+from coldshelf.llm.textops import spans
 
 WINDOW = 2048
 END_ID = 1
+#: Queues without a mixture; a mixture has one for each source that it names, and one for the rest.
 MAX_QUEUES = 1024
+#: Tokens of a unit of the sources that share a queue.
+UNIT = 256
+#: Bits of a token's fraction that deficits are counted in, at most.
 _SHIFT = 32
-_ROUNDS = 4096
+#: Rounds and queues that are looked at together, by their product.
+_CELLS = 1 << 20
 _ROWS = 512
 
 
 class LibraryBpe(Bpe):
-    """The same ids, with pre-tokens merged by the tokenizers library."""
+    """The same ids, with all pre-tokens of a batch merged by one call of the tokenizers library."""
 
     def __init__(self, vocabulary, merges, special):
         super().__init__(vocabulary, merges, special)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import Tokenizer, models
 
         self._library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges))
-        self._library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
-
-    def merge_all(self, pretokens: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._library.encode_batch_fast(pretokens, add_special_tokens=False)]
+        signs = {byte: sign for sign, byte in byte_strings().items()}
+        self._signs = {byte: sign for byte, sign in signs.items() if byte}
+        # A zero byte as a pre-token of its own stands between the others.
+        self._zero, self._between = vocabulary[signs[0]], signs[0]
+
+    def merge_all(self, pretokens: list[str]) -> list[array]:
+        plain = [p for p in pretokens if "\0" not in p]
+        if len(plain) < len(pretokens):  # a pre-token that holds a zero byte is merged by itself
+            found = iter(self._merged(plain))
+            return [next(found) if "\0" not in p else array(self.code, self.merge(p)) for p in pretokens]
+        return self._merged(plain)
+
+    def _merged(self, pretokens: list[str]) -> list[array]:
+        if not pretokens:
+            return []
+        joined = "\0".join(pretokens).encode().decode("latin-1").translate(self._signs)
+        parts = joined.replace("\0", f"\0{self._between}\0").split("\0")
+        encoding = self._library.encode_batch_fast([parts], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = array(self.code, encoding.ids)
+        ends = np.flatnonzero(np.frombuffer(ids, self.id_type) == self._zero).tolist()
+        return [ids[a + 1 : b] for a, b in zip([-1, *ends], [*ends, len(ids)])]
 
 
 class Schedule:
     """Which tokens of each queue a round serves, and where they lie in the whole.
 
-    Amounts are whole numbers in units of 2**-32 token, so that deficits add up without
-    rounding. The queues' shares change when one of them runs empty: then a new phase
-    begins, in which the rest share the windows by their weights.
+    Amounts are whole numbers of fractions of a token, so that deficits add up without
+    rounding. As queues run empty, rounds get shorter; when less than half of a window's share
+    is left, a new phase begins, in which the rest share whole windows by their weights. There
+    are a few dozen phases at most, however many queues.
     """
 
     def __init__(self, totals: list[int], weights: list[float] | None = None, window: int = WINDOW):
-        self.full = [t << _SHIFT for t in totals]
-        wide = sum(totals) + window >= 1 << (62 - _SHIFT)
-        self.kind = object if wide else np.int64
-        shares = totals if weights is None else [round(w * (1 << 30)) for w in weights]
-        self.first, self.base, self.rate = [], [], []
-        at, done = 0, [0] * len(totals)
-        while any(d < f for d, f in zip(done, self.full)):
-            open_queues = [i for i, d in enumerate(done) if d < self.full[i]]
+        self.shift = min(_SHIFT, 60 - (sum(totals) + window).bit_length())
+        if self.shift < 8:
+            raise ValueError("more tokens than a schedule can count")
+        self.limit = np.array(totals, np.int64) << self.shift
+        shares = np.array(totals if weights is None else [round(w * (1 << 40)) for w in weights], object)
+        first, base, rate = [0], [], []
+        done = np.zeros(len(totals), np.int64)
+        while (left := np.flatnonzero(done < self.limit)).size:
             # Queues without a share come when all others are empty.
-            share = shares if any(shares[i] for i in open_queues) else totals
-            whole = sum(share[i] for i in open_queues)
-            rate = [0] * len(totals)
-            for i in open_queues:
-                rate[i] = max(1, (window << _SHIFT) * share[i] // whole) if share[i] else 0
-            steps = min(-(-(self.full[i] - done[i]) // rate[i]) for i in open_queues if rate[i])
-            self.first.append(at)
-            self.base.append(done)
-            self.rate.append(rate)
-            at += steps
-            done = [min(f, d + steps * r) for f, d, r in zip(self.full, done, rate)]
-        self.arrays = [(np.array(b, self.kind), np.array(r, self.kind)) for b, r in zip(self.base, self.rate)]
-        self.limit = np.array(self.full, self.kind)
-        self.edges = np.array([*self.first, at])
+            own = left[shares[left] > 0]
+            share = shares if own.size else np.array(totals, object)
+            own = own if own.size else left
+            whole = int(sum(share[own]))
+            now = np.zeros(len(totals), np.int64)
+            now[own] = [max(1, (window << self.shift) * s // whole) for s in share[own]]
+            ends = -(-(self.limit[own] - done[own]) // now[own])
+            order = np.argsort(ends, kind="stable")
+            gone = np.cumsum(now[own][order])
+            steps = int(ends[order][np.searchsorted(gone, gone[-1] / 2)])
+            base.append(done)
+            rate.append(now)
+            first.append(first[-1] + steps)
+            done = np.minimum(self.limit, done + np.minimum(steps, -(-(self.limit - done) // np.maximum(now, 1))) * now)
+        self.edges = np.array(first)
+        shape = (len(base), len(totals))
+        self.base, self.rate = np.array(base, np.int64).reshape(shape), np.array(rate, np.int64).reshape(shape)
 
     def served(self, rounds: np.ndarray) -> np.ndarray:
         """Whole tokens that each queue has served before each of the rounds."""
-        phase = np.clip(np.searchsorted(self.edges, rounds, side="right") - 1, 0, len(self.first) - 1)
-        out = np.empty((len(rounds), len(self.full)), self.kind)
+        phase = np.clip(np.searchsorted(self.edges, rounds, side="right") - 1, 0, max(0, len(self.base) - 1))
+        out = np.empty((len(rounds), len(self.limit)), np.int64)
         for p in np.unique(phase):
             chosen = phase == p
-            base, rate = self.arrays[p]
-            steps = (rounds[chosen] - self.first[p]).astype(self.kind)
-            out[chosen] = np.minimum(self.limit, base + steps[:, None] * rate)
-        return out >> _SHIFT
-
-    def round_of(self, queue: int, token: int) -> int:
-        """The round that serves a queue's token."""
-        after = (token + 1) << _SHIFT
-        p = max(p for p in range(len(self.first)) if self.base[p][queue] < after)
-        return self.first[p] + (after - 1 - self.base[p][queue]) // self.rate[p][queue]
-
-    def places(self, queue: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First token, number and place in the whole of each service of a queue's tokens."""
-        found = []
-        low, last = self.round_of(queue, begin), self.round_of(queue, end - 1)
-        while low <= last:
-            high = min(last, low + _ROUNDS - 1)
-            done = self.served(np.arange(low, high + 2))
-            before, after = done[:-1], done[1:]
-            own = before.sum(axis=1) + (after[:, :queue] - before[:, :queue]).sum(axis=1)
-            start = np.maximum(before[:, queue], begin)
-            size = np.minimum(after[:, queue], end) - start
-            keep = size > 0
-            found.append((start[keep], size[keep], (own + start - before[:, queue])[keep]))
-            low = high + 1
-        start, size, place = (np.concatenate(x).astype(np.int64) for x in zip(*found))
-        return start, size, place
-
-
-def cut_at_windows(start, size, place, window: int):
+            left, rate = self.limit - self.base[p], self.rate[p]
+            # No more steps than it takes to empty a queue, so that nothing overflows.
+            steps = np.minimum((rounds[chosen] - self.edges[p])[:, None], -(-left // np.maximum(rate, 1)))
+            out[chosen] = self.base[p] + np.minimum(left, steps * rate)
+        return out >> self.shift
+
+    def round_of(self, queue: int, tokens: np.ndarray) -> np.ndarray:
+        """The rounds that serve some of a queue's tokens."""
+        after = (tokens + 1) << self.shift
+        p = np.searchsorted(self.base[:, queue], after) - 1
+        return self.edges[p] + (after - 1 - self.base[p, queue]) // self.rate[p, queue]
+
+    def places(self, queue: int, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All services of some stretches of a queue's tokens: the stretch's number, and the first token,
+        number and place in the whole of each service."""
+        low = self.round_of(queue, begin)
+        count = self.round_of(queue, end - 1) - low + 1
+        which = np.repeat(np.arange(len(begin)), count)
+        rounds = spans(low, count)
+        known = np.unique(np.concatenate((rounds, rounds + 1)))
+        own, ahead = np.empty(len(known), np.int64), np.empty(len(known), np.int64)
+        whole = np.empty(len(known), np.int64)
+        block = max(1, _CELLS // max(1, len(self.limit)))
+        for at in range(0, len(known), block):
+            done = self.served(known[at : at + block])
+            own[at : at + block] = done[:, queue]
+            ahead[at : at + block] = done[:, :queue].sum(axis=1)
+            whole[at : at + block] = done.sum(axis=1)
+        now = np.searchsorted(known, rounds)
+        after = np.searchsorted(known, rounds + 1)
+        start = np.maximum(own[now], begin[which])
+        size = np.minimum(own[after], end[which]) - start
+        place = whole[now] + ahead[after] - ahead[now] + start - own[now]
+        keep = size > 0
+        return which[keep], start[keep], size[keep], place[keep]
+
+
+def cut_at_windows(which, start, size, place, window: int):
     """The same tokens, with no piece across a window's edge."""
     while True:
         room = window - place % window
         over = size > room
         if not over.any():
-            return start, size, place
+            return which, start, size, place
         head = np.minimum(size, room)
-        rest = [(start + head)[over], (size - head)[over], (place + head)[over]]
-        order = np.argsort(np.concatenate((start, rest[0])), kind="stable")
-        start, size, place = (np.concatenate(x)[order] for x in ((start, rest[0]), (head, rest[1]), (place, rest[2])))
+        rest = [which[over], (start + head)[over], (size - head)[over], (place + head)[over]]
+        which, start, size, place = (np.concatenate(x) for x in zip((which, start, head, place), rest))
+        order = np.lexsort((start, which))
+        which, start, size, place = which[order], start[order], size[order], place[order]
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
@@ -160,7 +201,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                     names=schema.names,
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def pack(
@@ -174,16 +215,19 @@ def pack(
 ) -> DataFrame:
     """Packs every token of ``docs`` (doc_id, source, text) into windows of ``window`` tokens.
 
-    ``mixture`` gives each source's share of a window; sources that it does not name
-    share what is left of 1, or come last if nothing is left. Without it the shares are
-    those of the corpus, so all queues run empty together. There are ``max_queues`` queues
-    at most: beyond that the smaller sources stand in one queue, none left out.
+    ``mixture`` gives each source's share of a window, and each source that it names has a
+    queue. All others share one queue, whose share is what the named ones, absent or not, leave
+    of 1; if nothing is left they come last. Without a mixture the shares are those of the
+    corpus, so all queues run empty together; there are ``max_queues`` queues, the largest
+    sources' and one for the rest. The sources of a shared queue are held in proportion to
+    their tokens over its units.
 
     One row per piece: doc_id, source, start and length (in the document's ids), doc_tokens,
     sequence_id, offset (place in the window), and ids (little-endian unsigned 32-bit).
     Every id lies in one piece; all windows but the last are full. A null or empty text
-    is the closing id alone; null sources are a source; rows with the same doc_id are
-    packed each for itself; an empty table gives no rows; other columns are left out.
+    is the closing id alone; a very long one fills many windows, whole; null sources are a
+    source; rows with the same doc_id are packed each for itself; sources of equal size go by
+    name; an empty table gives no rows; other columns are left out.
     """
     spark = docs.sparkSession
     tokens = written(tokenised(docs, path, end_id))
@@ -192,52 +236,112 @@ def pack(
     if mixture is not None:
         names = spark.createDataFrame([(s,) for s in mixture], "source string")
         named = named.join(F.broadcast(names), named.source.eqNullSafe(names.source), "left_semi")
-    largest = named.orderBy(F.desc("tokens"), F.asc_nulls_last("source")).limit(max_queues - 1).collect()
-    queues = spark.createDataFrame([(r.source, i) for i, r in enumerate(largest)], "source string, queue int")
-    parts = by_part.join(F.broadcast(queues), by_part.source.eqNullSafe(queues.source), "left").select(
-        by_part.source, "part", "tokens", F.coalesce("queue", F.lit(len(largest))).alias("queue")
-    )
-    totals = dict(parts.groupBy("queue").agg(F.sum("tokens").alias("tokens")).collect())
-    count = max(totals, default=-1) + 1
-    weights = None
-    if mixture is not None:
-        weights = [mixture[r.source] for r in largest]
-        weights += [max(0.0, 1 - sum(weights))] * (count - len(weights))
-    schedule = spark.sparkContext.broadcast(Schedule([totals.get(i, 0) for i in range(count)], weights, window))
-    ahead = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    parts = written(parts.withColumn("ahead", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)))).alias("p")
+        own = named.orderBy(F.desc("tokens"), F.asc_nulls_last("source")).collect()  # no more than the mixture names
+    else:
+        # One more than there may be tells whether any have to share.
+        own = named.orderBy(F.desc("tokens"), F.asc_nulls_last("source")).limit(max_queues + 1).collect()
+        own = own if len(own) <= max_queues else own[: max_queues - 1]
+    whole = by_part.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    totals = [r.tokens for r in own]
+    weights = [mixture[r.source] for r in own] if mixture is not None else None
+    if shared := whole - sum(totals):
+        totals.append(shared)
+        if weights is not None:
+            weights.append(max(0.0, 1 - sum(mixture.values())))
+    queues = spark.createDataFrame([(r.source, i) for i, r in enumerate(own)], "name string, queue int")
+    ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = by_part.withColumn("ahead", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)))
+    parts = parts.join(F.broadcast(queues), parts.source.eqNullSafe(F.col("name")), "left").drop("name")
+    parts = written(parts).alias("p")
     placed = (
         tokens.alias("t")
         .join(parts, F.col("t.source").eqNullSafe(F.col("p.source")) & (F.col("t.part") == F.col("p.part")))
-        .select("t.doc_id", "t.source", "queue", (F.col("begin") + F.col("ahead")).alias("begin"), "n_tokens", "ids")
+        .select(
+            "t.doc_id", "t.source", "queue", (F.col("begin") + F.col("ahead")).alias("begin"), F.lit(0).cast("long").alias("start"),
+            "n_tokens", F.col("n_tokens").alias("doc_tokens"), "ids",
+        )
     )
+    if shared:
+        sizes = by_part.groupBy("source").agg(F.sum("tokens").alias("total"))
+        rest = _in_turn(placed.filter(F.col("queue").isNull()).drop("queue"), sizes)
+        placed = placed.filter(F.col("queue").isNotNull()).unionByName(rest.withColumn("queue", F.lit(len(own))))
+    plan = spark.sparkContext.broadcast(Schedule(totals, weights, window))
     schema = extended(
         placed.select("doc_id", "source"),
         "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = schedule.value
         for batch in batches:
             for low in range(0, batch.num_rows, _ROWS):
-                yield _pieces(plan, batch.slice(low, _ROWS), window)
+                yield _pieces(plan.value, batch.slice(low, _ROWS), window)
+
+    return placed.mapInArrow(lean(run), schema)
+
+
+def _in_turn(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of sources that share a queue, in units, with their places in it.
+
+    A unit goes by the share of its source's tokens that lies before a point of it. Units are
+    sorted over all tasks, and what each task holds is summed up for those after it.
+    """
+    total = F.col("total")
+    rows = rows.alias("r").join(sizes.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select("r.*", "total")
+    unit = F.explode(F.sequence(F.floor(F.col("begin") / UNIT), F.floor((F.col("begin") + F.col("n_tokens") - 1) / UNIT)))
+    rows = rows.select("*", unit.alias("unit"))
+    low = F.greatest("begin", F.col("unit") * UNIT)
+    high = F.least(F.col("begin") + F.col("n_tokens"), (F.col("unit") + 1) * UNIT)
+    width = F.expr("length(ids) div n_tokens")
+    # Where in its units a source stands; without it, sources of one unit would all come together.
+    phase = F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / (1 << 20)
+    rows = rows.select(
+        "doc_id",
+        "source",
+        low.alias("own"),
+        (low - F.col("begin")).alias("start"),
+        (high - low).alias("n_tokens"),
+        "doc_tokens",
+        F.substring("ids", ((low - F.col("begin")) * width + 1).cast("int"), ((high - low) * width).cast("int")).alias("ids"),
+        ((F.col("unit") * UNIT + F.least(F.lit(UNIT), total - F.col("unit") * UNIT) * phase) / total).alias("lies"),
+    )
+    order = ["lies", "source", "own"]
+    schema = extended(rows.drop("lies", "own"), "part long, begin long")
+
+    def run(batches):
+        part, begin = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ends = begin + np.cumsum(batch.column("n_tokens").to_numpy())
+            starts = np.concatenate(([begin], ends[:-1]))
+            begin = int(ends[-1]) if len(ends) else begin
+            columns = [batch.column(c) for c in schema.names[:-2]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(ends), part)), pa.array(starts)], names=schema.names)
 
-    return placed.mapInArrow(run, schema)
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("lies", "own")
+    units = written(sorted_rows.mapInArrow(lean(run), schema))
+    sums = units.groupBy("part").agg(F.sum("n_tokens").alias("tokens")).orderBy("part").collect()  # a row a partition
+    before = np.concatenate(([0], np.cumsum([r.tokens for r in sums]))).tolist()
+    offsets = units.sparkSession.createDataFrame([(r.part, b) for r, b in zip(sums, before)], "part long, before long")
+    return units.join(F.broadcast(offsets), "part").withColumn("begin", F.col("begin") + F.col("before")).drop("part", "before")
 
 
 def _pieces(plan: Schedule, batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
-    rows, found, blobs = [], [], []
-    columns = (batch.column(c).to_pylist() for c in ("queue", "begin", "n_tokens", "ids"))
-    for row, (queue, begin, size, ids) in enumerate(zip(*columns)):
-        start, length, place = cut_at_windows(*plan.places(queue, begin, begin + size), window)
-        rows.append(np.full(len(start), row))
-        found.append((start - begin, length, np.full(len(start), size), place // window, place % window))
-        blobs.append(np.frombuffer(ids, "<u2" if len(ids) == 2 * size else "<u4").astype("<u4"))
-    columns = [np.concatenate(x).astype(np.int64) for x in zip(*found)]
-    row = pa.array(np.concatenate(rows))
-    edges = np.concatenate(([0], np.cumsum(columns[1] * 4))).astype(np.int32)
-    ids = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(np.concatenate(blobs))])
+    queue, begin, size, first = (batch.column(c).to_numpy() for c in ("queue", "begin", "n_tokens", "start"))
+    found = []
+    for q in np.unique(queue):
+        rows = np.flatnonzero(queue == q)
+        which, start, length, place = cut_at_windows(*plan.places(int(q), begin[rows], begin[rows] + size[rows]), window)
+        found.append((rows[which], start - begin[rows][which], length, place))
+    row, start, length, place = (np.concatenate(x) for x in zip(*found))
+    # The pieces of a row cover its ids without a gap, so in order they are the ids one after the other.
+    order = np.lexsort((start, row))
+    row, start, length, place = row[order], start[order], length[order], place[order]
+    blobs = zip(batch.column("ids").to_pylist(), size.tolist())
+    ids = np.concatenate([np.frombuffer(b, "<u2" if len(b) == 2 * n else "<u4").astype("<u4") for b, n in blobs])
+    edges = np.concatenate(([0], np.cumsum(length * 4))).astype(np.int32)
+    pieces = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)])
+    columns = [start + first[row], length, batch.column("doc_tokens").to_numpy()[row], place // window, place % window]
+    taken = pa.array(row)
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id").take(row), batch.column("source").take(row), *map(pa.array, columns), ids],
+        [batch.column("doc_id").take(taken), batch.column("source").take(taken), *(pa.array(c.astype(np.int64)) for c in columns), pieces],
         names=["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
     )

@@ -113,24 +113,6 @@ def test_packing_is_gapless_and_exact(spark, texts, library):
             assert all(abs(shares[s] - packing.WINDOW * n / whole) <= 2 * len(source) for s, n in source.items())
 
 
-@pytest.mark.parametrize("weights", [None, [0.7, 0.2, 0.1], [0.0, 1.0, 0.0]])
-def test_schedule_serves_every_token_once(weights):
-    totals = [1000, 5000, 37]
-    plan = packing.Schedule(totals, weights, 64)
-    seen = np.zeros(sum(totals), int)
-    for queue, total in enumerate(totals):
-        at = 0
-        for size in (1, 7, total - 8):
-            start, length, place = plan.places(queue, at, at + size)
-            assert start[0] == at and (start[1:] == start[:-1] + length[:-1]).all() and length.sum() == size
-            for p, n in zip(place, length):
-                seen[p : p + n] += 1
-            at += size
-    assert (seen == 1).all()
-    wide = packing.Schedule([t << 34 for t in totals], weights, 64)
-    assert wide.places(1, 5 << 34, (5 << 34) + 9)[1].sum() == 9
-
-
 def test_language_model_scores(spark, texts):
     tokens = {d: [*WORD.findall(t.translate(LOWER)), None] for d, t in texts.items()}
     counts = collections.Counter(w for d, ws in tokens.items() if crc(d) % 10 for w in ws)
