@@ -130,20 +130,6 @@ def test_language_model_beats_single_words_on_held_out_texts(spark):
     assert sum(r.score for r in found) > 0.98 * sum(r.base_score for r in found)
 
 
-def test_count_filter_keeps_levels(spark):
-    rng = np.random.default_rng(4)
-    grams = rng.choice(1 << 40, 30_000, replace=False)
-    counts = rng.geometric(0.3, 30_000) * rng.integers(1, 50, 30_000)
-    table = spark.createDataFrame(list(zip(grams.tolist(), counts.tolist())), "gram long, n long")
-    found = ngram_lm.count_filter(table).counts(grams)
-    level, stored = ngram_lm.levels(counts), ngram_lm.levels(np.maximum(found, 0.5) + 0.1)
-    kept = counts >= 2
-    assert (found[kept] >= np.where(level[kept] > 1, 1.5 * 2.0 ** (level[kept] - 1), 1)).all()  # never too low
-    assert (stored[kept] == level[kept]).mean() > 0.98
-    absent = ngram_lm.count_filter(table).counts(rng.choice(1 << 40, 30_000) | 1 << 50)
-    assert (absent > 0).mean() < 0.02
-
-
 def shingles(text, width=5):
     words = WORD.findall(text.translate(LOWER))
     if len(words) < width:
