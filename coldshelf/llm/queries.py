@@ -138,8 +138,8 @@ def _license_sql() -> str:
     capitals, gaps = licenses._CAPITALS, licenses._GAPS
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
     templates = ", ".join(
-        f"({i}, '{label}', {quoted(sorted(set(licenses.template_words(text))))})"
-        for i, (label, text) in enumerate(licenses.TEMPLATES)
+        f"({i}, '{label}', {quoted(sorted(set(licenses.template_words(text))))}, {quoted(needs)}::VARCHAR[])"
+        for i, (label, text, needs) in enumerate(licenses.TEMPLATES)
     )
     places, base = [], []
     for phrase, label in licenses.PHRASES.items():
@@ -153,14 +153,17 @@ def _license_sql() -> str:
       FROM documents
     ), w AS (
       SELECT row_number() OVER () AS r, doc_id, CASE WHEN line = '' THEN [] ELSE string_split(line, ' ') END AS words FROM lines
-    ), t(template, label, tw) AS (VALUES {templates}
-    ), b AS (
+    ), t(template, label, tw, needs) AS (VALUES {templates}
+    ), s AS (
       SELECT r, unnest(list_transform(range(0, greatest(1, CAST(ceil((len(words) - {step}) / {step}.0) AS BIGINT))),
-        lambda k: list_distinct(words[k * {step} + 1 : k * {step} + {licenses.BLOCK}]))) AS bw
+        lambda k: words[k * {step} + 1 : k * {step} + {licenses.BLOCK}])) AS run
       FROM w
+    ), b AS (
+      SELECT r, list_distinct(run) AS bw, ' ' || array_to_string(run, ' ') || ' ' AS line FROM s
     ), m AS (
       SELECT r, label, len(list_intersect(bw, tw)) / len(tw) AS containment
       FROM b, t WHERE len(list_intersect(bw, tw)) >= {licenses.THRESHOLD} * len(tw)
+        AND len(list_filter(needs, lambda p: NOT contains(line, ' ' || p || ' '))) = 0
     ), f AS (SELECT r, list(DISTINCT label) AS found, max(containment) AS containment FROM m GROUP BY r
     ), p AS (
       SELECT r, doc_id, len(words) AS n_words, list_concat({places[0]}, list_concat({places[1]}, {places[2]})) AS places,
