@@ -82,6 +82,21 @@ def release() -> None:
         trim(0)
 
 
+def rested(spark: SparkSession) -> None:
+    """Has idle workers give their free memory back: a few empty tasks for every core.
+
+    Stages of other kinds leave memory with the workers that they shared; a pipeline does this
+    between its stages.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            yield batch
+
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).mapInArrow(lean(run), "id long").write.format("noop").mode("overwrite").save()
+
+
 def extended(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` with more columns."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

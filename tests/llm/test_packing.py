@@ -4,12 +4,18 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from coldshelf.llm import packing
 from coldshelf.llm.bpe import Bpe, load_vocabulary
 from coldshelf.llm.queries import vocabulary_path
 
+ENCODERS = [kind(*load_vocabulary(vocabulary_path())) for kind in (Bpe, packing.LibraryBpe)] + [Tokenizer.from_file(vocabulary_path())]
+
 
 def places(plan, queue, begin, end):
     return plan.places(queue, np.array([begin]), np.array([end]))
@@ -123,7 +129,17 @@ def test_every_source_that_a_mixture_names_has_its_queue(spark):
     assert all(got.get(s, 0) == pytest.approx(w, abs=40 / 2048) for s, w in mixture.items())
 
 
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("ab'sé1,. \t\n\x0b\x1c\x85\xa0\u2003\u3000\0"))), max_size=40), max_size=5))
+@settings(max_examples=400, deadline=None)
+def test_texts_cut_at_blanks_have_the_ids_of_the_whole(texts):
+    texts = [*texts, None, " a  b \n c", "x<|endoftext|>  <|endoftext|> y "]
+    ids, bounds = ENCODERS[1].encode_column(pa.array(texts, pa.string()))
+    assert bounds[0] == 0 and len(bounds) == len(texts) + 1
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == ENCODERS[2].encode(text or "", add_special_tokens=False).ids
+
+
 def test_pretokens_with_zero_bytes():
-    own, library = Bpe(*load_vocabulary(vocabulary_path())), packing.LibraryBpe(*load_vocabulary(vocabulary_path()))
+    own, library, _ = ENCODERS
     texts = ["a\0b \0\0 c", "\0", "plain words, and Ā too", "", "日本 🙂\0"]
     assert own.encode(texts)[0].tolist() == library.encode(texts)[0].tolist()
