@@ -1,15 +1,18 @@
 """Toxicity by a lexicon: misspelled terms by Levenshtein automata on a trie, weighed by their context.
 
 The lexicon is a fixed list of insults and the words and word stems that the labelled rows
-bring out. A word is spelled into the Levenshtein automata of all insults at once, which run
-along their common trie, and is dropped as soon as no state is left. The words around a hit
-tell a quoted or reported term from one that is thrown at somebody. A logistic curve over
+bring out, in whatever language. A word is spelled into the Levenshtein automata of all terms
+at once, which run along their common trie, and is dropped as soon as no state is left; longer
+terms allow more edits. A word that is near a term, but common itself in clean rows, is no
+misspelling. The words around a hit tell a quoted or reported term from one that is thrown at
+somebody. A logistic curve over
 the hits' weights, fitted on labelled rows, turns them into a score.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,12 +24,15 @@ from coldshelf.llm.cluster import extended, ship, written
 
 #: Labelled rows of each label that the lexicon and the curve are fitted on, at most.
 SAMPLE = 4000
-#: Words and stems that the lexicon takes from labelled rows, at most.
-LEARNED = 400
+#: What makes a word a term: how much more common it is in toxic rows (log of the ratio), and the
+#: least rows and share of toxic rows with it. The share bounds their number by the words of a row.
+TELLING, LEAST_ROWS, LEAST_SHARE = 3.0, 4, 0.01
 THRESHOLD = 0.7
 WINDOW = 4
-DISTANCE = 1
-FUZZY_LENGTH = 5
+#: Edits that a term of so many letters allows; shorter ones allow none.
+EDITS = ((4, 1), (9, 2))
+#: Clean training rows in which a word is common.
+COMMON = 2
 STEMS = range(4, 9)
 _REMEMBERED = 400_000
 
@@ -35,6 +41,12 @@ INSULTS = (
     "arsehole asshole bastard bitch clown cretin disgusting dumbass fuck idiot imbecile jerk loser maggot moron "
     "pathetic retard scum scumbag slut stupid trash vermin whore worthless"
 ).split()
+# Common words near them.
+NEIGHBOURS = frozenset(
+    "apathetic batch birch blown boron brash buck butch chore clown closer crash crown digesting discussing ditch duck flown "
+    "glut hitch idiom itch laser loner looser loses lover lower luck muck mutch perk pitch poser puck regard scam scud "
+    "shore shut slit slot slum stupor suck thrash tuck where whole whose witch".split()
+) - frozenset(INSULTS)
 REPORTING = frozenset("said says called calls term word words quote quoted quotes wrote writes allegedly".split())
 ADDRESSING = frozenset("you your you're youre u du dich dein tu te ton usted eres vous".split())
 QUOTES = "\"'“”„‘’«»`"
@@ -48,25 +60,30 @@ _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 class Automaton:
     """The Levenshtein automata of all terms, run along their trie.
 
-    A state is the set of trie nodes that the letters so far may have led to, each with the
+    ``edits`` tells how many edits a term allows, or is their number for all. A state is the set of trie nodes that the letters so far may have led to, each with the
     edits that took: a letter left out, put in, replaced, or swapped with the next one. States
     and steps are worked out when a word first needs them; most words soon meet the state
     without nodes. Letters that no term has are one letter to it.
     """
 
-    def __init__(self, terms, distance: int):
-        self.distance = distance
+    def __init__(self, terms, edits: int | Callable[[str], int]):
+        allowed = {term: edits(term) if callable(edits) else edits for term in terms}
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
-        for term in terms:
+        self.most = [0]  # edits that any term below a node allows
+        for term, most in allowed.items():
             node = 0
+            self.most[0] = max(self.most[0], most)
             for letter in term:
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
                     self.term.append(None)
+                    self.most.append(0)
                 node = self.children[node][letter]
+                self.most[node] = max(self.most[node], most)
             self.term[node] = term
+        self.allowed = allowed
         self.letters = {letter for node in self.children for letter in node}
         self.steps: dict[tuple[frozenset, str], frozenset] = {}
         self.start = self._closed({(0, 0, "")})
@@ -82,6 +99,7 @@ class Automaton:
             if not state:
                 return None
         found = [(edits, self.term[node]) for node, edits, swapped in state if not swapped and self.term[node]]
+        found = [(edits, term) for edits, term in found if edits <= self.allowed[term]]
         return min(found)[::-1] if found else None
 
     def _step(self, state: frozenset, letter: str) -> frozenset:
@@ -94,12 +112,13 @@ class Automaton:
             children = self.children[node]
             if letter in children:
                 after.add((children[letter], edits, ""))
-            if edits < self.distance:
+            if edits < self.most[node]:
                 after.add((node, edits + 1, ""))
                 for other, child in children.items():
-                    after.add((child, edits + 1, ""))
-                    if other != letter and letter in self.children[child]:
-                        after.add((self.children[child][letter], edits + 1, other))
+                    if edits < self.most[child]:
+                        after.add((child, edits + 1, ""))
+                        if other != letter and letter in self.children[child]:
+                            after.add((self.children[child][letter], edits + 1, other))
         return self._closed(after)
 
     def _closed(self, state: set) -> frozenset:
@@ -108,26 +127,33 @@ class Automaton:
         todo = list(state)
         while todo:
             node, edits, swapped = todo.pop()
-            if edits >= least.get((node, swapped), self.distance + 1):
+            if edits >= least.get((node, swapped), self.most[node] + 1):
                 continue
             least[node, swapped] = edits
-            if not swapped and edits < self.distance:
-                todo += [(child, edits + 1, "") for child in self.children[node].values()]
+            if not swapped:
+                todo += [(child, edits + 1, "") for child in self.children[node].values() if edits < self.most[child]]
         return frozenset((node, edits, swapped) for (node, swapped), edits in least.items())
 
 
+def allowed_edits(term: str) -> int:
+    return max((edits for length, edits in EDITS if len(term) >= length), default=0)
+
+
 @dataclass
 class Lexicon:
-    """Weights of terms and of stems, which begin longer words; insults are also found with an edit."""
+    """Weights of terms, which are also found with edits, and of stems, which begin longer words; and
+    words that are near a term, but none."""
 
     terms: dict[str, float]
     stems: dict[str, float]
+    common: frozenset[str] = NEIGHBOURS
     curve: tuple[float, ...] = (-3.0, 1.0, 1.0, 1.0)
+    fuzzy: bool = True
     _seen: dict = field(default_factory=dict, repr=False)
     _older: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
-        self.automaton = Automaton([t for t in INSULTS if len(t) >= FUZZY_LENGTH], DISTANCE)
+        self.automaton = Automaton(self.terms, allowed_edits)
 
     def find(self, token: str) -> tuple[str | None, float, str | None] | None:
         """Term, its weight here, and stem of a token, or None."""
@@ -142,7 +168,7 @@ class Lexicon:
 
     def _find(self, word: str):
         term, weight = (word, self.terms[word]) if word in self.terms else (None, 0.0)
-        if term is None and len(word) >= FUZZY_LENGTH:
+        if term is None and self.fuzzy and word not in self.common:
             near = self.automaton.within(word)
             if near:
                 term, weight = near[0], 0.6 * self.terms[near[0]]
@@ -228,13 +254,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 
 def _weights(counts: DataFrame, toxic: int, clean: int) -> DataFrame:
-    """Terms more common in toxic texts, with the log of how much more, the most telling ones."""
+    """Terms more common in toxic texts, with the log of how much more: all that are telling and not rare."""
     share = F.log((F.col("bad") + 0.5) / (toxic + 1)) - F.log((F.col("good") + 0.5) / (clean + 1))
-    return (
-        counts.withColumn("weight", share)
-        .filter((F.col("bad") >= max(4, 0.01 * toxic)) & (F.col("weight") > 3))
-        .orderBy(F.desc(F.col("weight") * F.log1p("bad")), "term")
-        .limit(LEARNED)
+    return counts.withColumn("weight", share).filter(
+        (F.col("bad") >= max(LEAST_ROWS, LEAST_SHARE * toxic)) & (F.col("weight") > TELLING)
     )
 
 
@@ -249,23 +272,40 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     letters = F.split(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+", " "), " ")
     words = rows.select("doc_id", "toxic", F.explode(F.array_distinct(letters)).alias("term")).filter("length(term) > 3")
     split = [F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")]
-    terms = _weights(words.groupBy("term").agg(*split), toxic, clean).collect()
+    counts = words.groupBy("term").agg(*split)
+    terms = {r.term: r.weight for r in _weights(counts, toxic, clean).collect()}
     heads = words.select("doc_id", "toxic", "term", F.explode(F.array(*map(F.lit, STEMS))).alias("n"))
     heads = heads.filter(F.length("term") > F.col("n")).withColumn("term", F.substring("term", F.lit(1), F.col("n")))
     several = heads.groupBy("doc_id", "toxic", "term").count().filter("count > 1")
     stems = _weights(several.groupBy("term").agg(*split), toxic, clean).collect()
-    lexicon = Lexicon(start | {r.term: r.weight for r in terms}, {r.term: r.weight for r in stems})
+    terms = start | terms
+    common = _near(counts.filter(F.col("good") >= COMMON).select("term"), terms)
+    lexicon = Lexicon(terms, {r.term: r.weight for r in stems}, NEIGHBOURS | common)
     found = _measured(rows, lexicon).collect()  # three numbers for each row of the sample
     measures = np.array([[r.terms, r.stem, r.hits] for r in found])
     lexicon.curve = fit_curve(measures, np.array([r.toxic for r in found], float))
     return lexicon
 
 
+def _near(words: DataFrame, terms: dict[str, float]) -> frozenset[str]:
+    """Those of some words that lie within the edits of a term, and are none themselves."""
+    ship(words.sparkSession)
+
+    def run(batches):
+        automaton = Automaton(terms, allowed_edits)
+        for batch in batches:
+            near = [w for w in batch.column("term").to_pylist() if w not in terms and automaton.within(w)]
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["term"])
+
+    # No more than there are spellings within the edits of the terms, and words in the sample.
+    return frozenset(r.term for r in words.mapInArrow(run, "term string").collect())
+
+
 def _measured(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
     ship(rows.sparkSession)
     keep = [c for c in rows.columns if c != "text"]
     schema = extended(rows.select(keep), "terms double, stem double, hits double")
-    shared = rows.sparkSession.sparkContext.broadcast((lexicon.terms, lexicon.stems))
+    shared = rows.sparkSession.sparkContext.broadcast((lexicon.terms, lexicon.stems, lexicon.common, lexicon.curve, lexicon.fuzzy))
 
     def run(batches):
         local = Lexicon(*shared.value)
@@ -281,8 +321,8 @@ def _measured(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
 def scored(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
     """Columns doc_id, held_out, score (0 to 1, higher is more toxic) and predicted, for every row of ``docs``.
 
-    Only the text is looked at. A null or empty text scores what the curve gives for no
-    hits. Rows are scored one by one, repeated ones too; an empty table gives no rows; other
+    Only the text is looked at, and all of a very long one. A null or empty text scores what the
+    curve gives for no hits. Of terms that are equally near, the first by name counts. Rows are scored one by one, repeated ones too; an empty table gives no rows; other
     columns are left out.
     """
     a, *slopes = (F.lit(float(w)) for w in lexicon.curve)

@@ -299,6 +299,69 @@ def test_automaton_against_the_edit_distance(distance):
             assert automaton.within(given) == (least[::-1] if least[0] <= distance else None)
 
 
+def test_longer_terms_allow_more_edits():
+    automaton = toxicity.Automaton(["scum", "stupid", "worthless", "ab"], toxicity.allowed_edits)
+    assert automaton.within("scumm") == ("scum", 1) and automaton.within("scxxm") is None
+    assert automaton.within("stuppid") == ("stupid", 1) and automaton.within("stuppidd") is None
+    assert automaton.within("wrothles") == ("worthless", 2)
+    assert automaton.within("ab") == ("ab", 0) and automaton.within("abc") is None
+
+
+def test_common_words_are_no_misspellings(spark):
+    lexicon = toxicity.Lexicon(dict.fromkeys(toxicity.INSULTS, 4.0), {})
+    for word in "where whole lower closer crash pitch batch witch hitch crown".split():
+        assert lexicon.find(word) is None, word
+    # A word that clean rows share is none either.
+    rows = [(i, "these fine crowds of tlown folk meet here", 0) for i in range(0, 400, 2)]
+    rows += [(i, f"what a clown that person is number {i}", 1) for i in range(1, 400, 2)]
+    docs = spark.createDataFrame([(i, f"{t} w{i} v{i} u{i}") for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, x) for i, _, x in rows], "doc_id long, quality int, toxic int")
+    learned = toxicity.learn(docs, labels)
+    assert "tlown" in learned.common and learned.find("tlown") is None and learned.find("clwon")[0] == "clown"
+
+
+def misspelled(word, rng):
+    i = rng.randrange(1, len(word) - 1)
+    return rng.choice([word[:i] + word[i + 1] + word[i] + word[i + 2 :], word[:i] + word[i + 1 :], word[:i] + word[i] + word[i:]])
+
+
+def test_misspelled_toxic_documents_need_the_automaton(spark):
+    """Held-out toxic documents with every listed insult misspelled, with the automaton and without."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    lexicon = toxicity.learn(docs, labels)
+    rng = random.Random(2)
+    insults = re.compile(r"\b(" + "|".join(toxicity.INSULTS) + r")\b", re.I)
+    toxic = dict(labels.select("doc_id", "toxic").collect())
+    held = [r for r in docs.collect() if r.text and crc(r.doc_id) % 3 == 1 and toxic.get(r.doc_id) is not None]
+    caught = {True: 0, False: 0}
+    plain = clean = wrong = 0
+    for r in held:
+        if not toxic[r.doc_id]:
+            clean += 1
+            wrong += lexicon.score(r.text) >= 0.7
+        elif insults.search(r.text):
+            plain += 1
+            text = insults.sub(lambda m: misspelled(m.group(), rng), r.text)
+            for fuzzy in caught:
+                lexicon.fuzzy = fuzzy
+                lexicon._seen, lexicon._older = {}, {}
+                caught[fuzzy] += lexicon.score(text) >= 0.7
+            lexicon.fuzzy = True
+            lexicon._seen, lexicon._older = {}, {}
+    print(f"misspelled: {caught[True]} of {plain} with the automaton, {caught[False]} without; clean: {wrong} of {clean}")
+    assert caught[True] >= 0.7 * plain and caught[False] <= 0.3 * plain and wrong <= 0.02 * clean
+
+
+def test_quotation_against_abuse_in_full_texts(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    lexicon = toxicity.learn(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    filler = " ".join(f"plain{i}" for i in range(40))
+    abuse = f"{filler} you stupid worthless idiot, you pathetic loser {filler}"
+    quoted = f'{filler} the term "stupid" was quoted {filler} and they said "idiot" once {filler}'
+    assert lexicon.score(abuse) >= 0.7 > lexicon.score(quoted)
+
+
 def test_context_tells_quotation_from_abuse():
     lexicon = toxicity.Lexicon(dict.fromkeys(toxicity.INSULTS, 4.0), {})
     plain, *_ = lexicon.measures("he is an idiot indeed")
