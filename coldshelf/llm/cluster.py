@@ -49,11 +49,25 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, and safe from lost executors."""
+#: Spark's own setting that deletes a query's shuffle files when the query has ended.
+_SPENT = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, spent: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and safe from lost executors.
+
+    With ``spent`` the shuffle files that it took go at once, not when the frame is forgotten.
+    """
     spark = df.sparkSession
     path = shared_folder(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(_SPENT, None)
+    if spent:
+        spark.conf.set(_SPENT, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if spent:
+            spark.conf.unset(_SPENT) if before is None else spark.conf.set(_SPENT, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
