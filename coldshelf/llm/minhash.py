@@ -8,8 +8,9 @@ What the estimate leaves is confirmed on the full sets.
 Documents with equal sets are one class from the start. In a bucket of a band, classes are
 compared with the bucket's centre first, the class with most company over all bands; what a
 confirmed link joins needs no more comparing, so a large group of copies costs a row per
-member. Where neighbours of one centre remain in different components, all pairs of them are
-compared as well, block by block, and only links are returned.
+member. Where neighbours of one centre remain in different components, their sketches are compared
+as well, block by block; sets go only to those blocks where a member may have a link, and only
+links are returned.
 """
 
 from __future__ import annotations
@@ -236,11 +237,13 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
     return pairs.join(first, "a").join(second, "b").filter(enough).select("a", "b")
 
 
-def _among_neighbours(docs: DataFrame, neighbours: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+def _among_neighbours(docs: DataFrame, classes: DataFrame, neighbours: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
     """Links between neighbours of one centre that are in different components, as edges (u, v).
 
-    The neighbours are dealt into blocks and each task compares two blocks on the full sets,
-    so only links leave it. Centres whose neighbours are one component are done.
+    The neighbours are dealt into blocks, and each task counts the equal bits of two blocks'
+    sketches. Members that may be linked with one of another component there meet again with
+    their full sets, so no pair leaves a task but a link. Centres whose neighbours are one component
+    are done.
     """
     members = neighbours.join(labels, neighbours.b == labels.node, "left").select(
         "a", "b", F.coalesce("component", "b").alias("component")
@@ -251,22 +254,46 @@ def _among_neighbours(docs: DataFrame, neighbours: DataFrame, labels: DataFrame,
         .filter("low < high")
         .select("a", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     )
-    members = written(members.join(written(open_centres), "a"))
-    texts = docs.select("doc_id", "text").join(_small(members, 64), F.col("doc_id") == F.col("b"))
-    sets = shingle_sets(texts.select("a", "b", "component", "blocks", "text"), settings.width)
+    members = members.join(written(open_centres), "a")
+    members = members.join(classes.select(F.col("doc_id").alias("b"), "sketch"), "b")
     own, other = F.pmod(F.hash("b"), "blocks"), F.col("other")
-    dealt = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "a", F.least(own, other).alias("low"), F.greatest(own, other).alias("high"), "b", "component", "set"
+    dealt = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "a", F.least(own, other).alias("low"), F.greatest(own, other).alias("high"), "b", "component", "sketch"
     )
-    percent = settings.percent
+    percent, key = settings.percent, ["a", "low", "high"]
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def meet(group):
+        likely = _likely_members(np.stack(group["sketch"].to_numpy()), group["component"].to_numpy(), settings)
+        return group.loc[likely, [*key, "b", "component"]]
+
+    near = dealt.groupBy(*key).applyInPandas(meet, f"a {kind}, low int, high int, b {kind}, component {kind}")
+    near = written(near)
+    texts = docs.select("doc_id", "text").join(_small(near.select("b").distinct(), 16), F.col("doc_id") == F.col("b"))
+    sets = shingle_sets(texts.select("b", "text"), settings.width)
 
     def compare(group):
         found = _alike(group["set"].tolist(), group["component"].to_numpy(), percent)
         ids = group["b"].to_numpy()
         return pd.DataFrame({"u": ids[found[0]], "v": ids[found[1]]})
 
-    schema = f"u {dict(docs.dtypes)['doc_id']}, v {dict(docs.dtypes)['doc_id']}"
-    return dealt.groupBy("a", "low", "high").applyInPandas(compare, schema)
+    return near.join(sets, "b").groupBy(*key).applyInPandas(compare, f"u {kind}, v {kind}")
+
+
+def _likely_members(sketches: np.ndarray, component: np.ndarray, settings: Settings) -> np.ndarray:
+    """Places of those whose sketch leaves room for a link with one of another component."""
+    planes = sketches.astype(np.int64).reshape(len(sketches), BITS, settings.planes)
+    unequal = np.zeros((len(planes), len(planes)), np.int64)
+    for word in range(settings.planes):
+        differ = np.zeros_like(unequal)
+        for bit in range(BITS):
+            own = planes[:, bit, word]
+            differ |= own[:, None] ^ own[None, :]
+        unequal += np.bitwise_count(differ)
+    chance = 2.0**-BITS
+    alike = (1 - unequal / settings.hashes - chance) / (1 - chance)
+    likely = (alike >= settings.percent / 100 - settings.slack) & (component[:, None] != component[None, :])
+    return np.flatnonzero(likely.any(axis=1))
 
 
 def _alike(sets: list[np.ndarray], component: np.ndarray, percent: int, columns: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
@@ -297,7 +324,7 @@ def links(docs: DataFrame, classes: DataFrame, edges: DataFrame, settings: Setti
     close = confirmed(docs, _likely(neighbours, classes, settings), settings)
     edges = written(edges.unionByName(close.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     labels = components(edges)
-    more = written(_among_neighbours(docs, neighbours, labels, settings))
+    more = written(_among_neighbours(docs, classes, neighbours, labels, settings))
     return labels if more.isEmpty() else components(edges.unionByName(more))
 
 
@@ -308,8 +335,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     (whether it is that document). Two documents are linked if their sets of distinct shingles
     are alike by the settings. A text of fewer words than a shingle is one shingle. A text
     without words, or null, is linked with nothing. Rows with one doc_id are one document;
-    a row without doc_id is linked with nothing, has no component and is kept. An empty table
-    gives no rows; other columns are left out.
+    a row without doc_id is linked with nothing, has no component and is kept. Very long texts
+    count with all their shingles; of equally good representatives the smallest doc_id is taken. An
+    empty table gives no rows; other columns are left out.
     """
     found = written(signatures(docs, settings))
     usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -343,7 +371,9 @@ def _rows(found: DataFrame, names: DataFrame, labels: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay when each group of near duplicates keeps one document.
 
-    Of rows with the same doc_id one stays as well; rows without doc_id all stay.
+    Of rows with the same doc_id one stays as well; rows without doc_id all stay. Null and empty
+    texts, which are linked with nothing, stay; very long texts are compared whole; an empty table
+    gives no rows; clashing column names are carried through.
     """
     found = written(near_duplicates(docs, settings).select("doc_id", "kept").filter("doc_id IS NOT NULL"))
     gone = found.filter("NOT kept").select("doc_id").distinct()
