@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from coldshelf.llm import caps, ngram_lm, quality
+from coldshelf.llm import caps, ngram_lm
 
 
 @pytest.mark.parametrize("vectors, size, pairs", [(10**5, 64, 3000), (10**6, 64, 1000), (10**7, 64, 300), (10**6, 384, 300), (10**6, 16, 300)])
@@ -34,5 +34,8 @@ def test_words_seen_twice_stay_in_the_model_of_many_tokens(spark):
     assert found[held[0]].n_known == 3 and found[learned[0]].n_tokens == 6_400_001
 
 
-def test_quality_is_learned_from_the_whole_sample():
-    assert quality.fit.__defaults__ == (8192,)
+@pytest.mark.parametrize("chance", [0.01, 0.12, 0.4, 0.5])
+def test_the_sign_filter_misses_next_to_nothing(chance):
+    tail = lambda most: sum(math.comb(64, k) * chance**k * (1 - chance) ** (64 - k) for k in range(most + 1, 65))
+    most = caps.signs_apart(chance)
+    assert tail(most) <= 1e-7 < tail(most - 1)
