@@ -273,8 +273,9 @@ def encoded(bpe: Bpe, column: pa.Array) -> Iterator[tuple[int, int, list, np.nda
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Columns doc_id and ids (array of int): the ids of every whole text of ``docs``.
 
-    A null or empty text has no ids. Rows are encoded one by one, so repeated rows stay
-    repeated, and columns other than doc_id and text are left out.
+    A null or empty text has no ids; a very long one is encoded whole. Rows are encoded one by
+    one, so repeated rows stay repeated; an empty table gives no rows; columns other than doc_id
+    and text are left out.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -294,7 +295,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(ids: DataFrame, path: str) -> DataFrame:
     """``ids`` (columns doc_id and ids) with a column text: the vocabulary's strings joined.
 
-    Bytes that form no character become U+FFFD; null ids give a null text.
+    Bytes that form no character become U+FFFD; null ids give a null text, no ids an empty one, and
+    a very long list the whole text; an empty table gives no rows.
     """
     spark = ids.sparkSession
     ship(spark)

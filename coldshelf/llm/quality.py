@@ -285,8 +285,8 @@ def scored(
     """Columns doc_id, n_words, score (0 to 1, higher is better) and kept, for every row of ``docs`` (doc_id, text).
 
     A null or empty text has no features, so its score is that of the bias alone. Rows are
-    scored one by one, repeated ones too; an empty table gives no rows; of the other columns
-    those of ``keep`` are kept.
+    scored one by one, repeated ones too; a very long text is measured whole; an empty table gives
+    no rows; there are no ties to break; of the other columns those of ``keep`` are kept.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -307,6 +307,10 @@ def scored(
 
 
 def passed(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that a scorer fitted on ``docs`` does not reject."""
+    """The rows of ``docs``, with all their columns, that a scorer fitted on ``docs`` does not reject.
+
+    Nulls, empty and very long texts, repeated rows and empty tables are as in ``scored``: each row is
+    kept or not by its own text, and clashing column names are carried through.
+    """
     found = scored(carried(docs), fit(docs), threshold, ("doc", "text"))
     return restored(found.filter("kept"), docs)

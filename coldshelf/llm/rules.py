@@ -137,5 +137,10 @@ def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 
 def passed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that the rules keep."""
+    """The rows of ``docs``, with all their columns, that the rules keep.
+
+    Null and empty texts fail, as all texts of few words; very long ones are measured whole; each
+    row is judged by its own text, repeated ones too; an empty table gives no rows; clashing
+    column names are carried through.
+    """
     return restored(judged(carried(docs), ("doc", "text")).filter("kept"), docs)
