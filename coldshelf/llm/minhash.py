@@ -282,10 +282,11 @@ def _among_neighbours(docs: DataFrame, classes: DataFrame, neighbours: DataFrame
 
 def _likely_members(sketches: np.ndarray, component: np.ndarray, settings: Settings) -> np.ndarray:
     """Places of those whose sketch leaves room for a link with one of another component."""
-    planes = sketches.astype(np.int64).reshape(len(sketches), BITS, settings.planes)
+    # Without a sign: of a negative number the bits of its absolute value would be counted.
+    planes = sketches.astype(np.int64).view(np.uint64).reshape(len(sketches), BITS, settings.planes)
     unequal = np.zeros((len(planes), len(planes)), np.int64)
     for word in range(settings.planes):
-        differ = np.zeros_like(unequal)
+        differ = np.zeros(unequal.shape, np.uint64)
         for bit in range(BITS):
             own = planes[:, bit, word]
             differ |= own[:, None] ^ own[None, :]
