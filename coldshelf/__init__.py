@@ -7,6 +7,7 @@ from coldshelf.plans.fanout import archive_many
 from coldshelf.plans.pipeline import run_archive
 from coldshelf.sources.config import read_configs
 from coldshelf.sources.jdbc import Connection
+from coldshelf.sources.versions import reading
 from coldshelf.streaming.requests import serve_requests
 
 __all__ = [
@@ -15,6 +16,7 @@ __all__ = [
     "archive_table",
     "purge",
     "read_configs",
+    "reading",
     "run_archive",
     "serve_requests",
     "stamp",
