@@ -31,8 +31,9 @@ MISS = 1e-6
 EACH = 4
 #: Random pairs at the threshold, and rotations of them, that the chance is measured on.
 TRIAL_PAIRS, TRIAL_ROTATIONS = 500, 4
-#: Sign bits of a vector, and the chance at most that a pair at the threshold has too many unequal ones.
-SIGNS, SIGN_MISS = 64, 1e-7
+#: Standard errors that the number of equal signs may fall short.
+SIGN_SLACK = 4.5
+SIGNS = 64
 #: Vectors of fewer dimensions all share one filter for each label.
 LEAST_DIMENSIONS = 8
 
@@ -136,15 +137,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), float).reshape(len(column), -1)
 
 
-def signs_apart(chance: float) -> int:
-    """The number of unequal signs that is exceeded no more often than ``SIGN_MISS``, if each is unequal by ``chance``."""
-    over, most = 1.0, -1
-    while over > SIGN_MISS and most < SIGNS:
-        most += 1
-        over = sum(math.comb(SIGNS, k) * chance**k * (1 - chance) ** (SIGNS - k) for k in range(most + 1, SIGNS + 1))
-    return most
-
-
 def filters(vectors: DataFrame, caps: dict[int, Caps]) -> DataFrame:
     """Columns id, label, size, filter and signs: a row for each cap that a vector is in, by its size's caps."""
     ship(vectors.sparkSession)
@@ -201,7 +193,7 @@ def candidates(vectors: DataFrame, caps: dict[int, Caps], cosine: float) -> Data
     """Pairs a < b of ids that share a label and a filter, and whose signs leave room for the cosine."""
     rows = written(filters(vectors, caps))
     chance = math.acos(cosine) / math.pi
-    most = signs_apart(chance)
+    most = math.ceil(SIGNS * chance + SIGN_SLACK * math.sqrt(SIGNS * chance * (1 - chance)))
     x, y = rows.alias("x"), rows.alias("y")
     same = F.expr("x.label = y.label AND x.size = y.size AND x.filter = y.filter AND x.id < y.id")
     near = F.bit_count(F.col("x.signs").bitwiseXOR(F.col("y.signs"))) <= most

@@ -32,10 +32,3 @@ def test_words_seen_twice_stay_in_the_model_of_many_tokens(spark):
     found = {r.doc_id: r for r in ngram_lm.scored(docs).collect()}
     assert found[held[0]].score > found[held[1]].score + 3
     assert found[held[0]].n_known == 3 and found[learned[0]].n_tokens == 6_400_001
-
-
-@pytest.mark.parametrize("chance", [0.01, 0.12, 0.4, 0.5])
-def test_the_sign_filter_misses_next_to_nothing(chance):
-    tail = lambda most: sum(math.comb(64, k) * chance**k * (1 - chance) ** (64 - k) for k in range(most + 1, 65))
-    most = caps.signs_apart(chance)
-    assert tail(most) <= 1e-7 < tail(most - 1)
