@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldshelf.llm.cluster import extended, ship, written
+from coldshelf.llm.cluster import extended, few, ship, written
 from coldshelf.llm.components import components
 from coldshelf.llm.textops import Words, flat, mix, pieces, prefix_sums, spans, windows
 
@@ -188,12 +188,12 @@ def _small(df: DataFrame, bytes_a_row: int) -> DataFrame:
     return F.broadcast(df) if df.count() * bytes_a_row <= BROADCAST_BYTES else df
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) of document ids whose full sets are similar enough. ``a`` may have many partners."""
+def confirmed(docs: DataFrame, pairs: DataFrame, most: int, settings: Settings) -> DataFrame:
+    """The pairs (a, b), ``most`` at most, of document ids whose full sets are similar enough. ``a`` may have many partners."""
     texts = docs.select("doc_id", "text")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CENTRE_ROWS).cast("int").alias("parts"))
-    pairs = written(pairs.join(parts, "a").withColumn("part", F.pmod(F.hash("b"), "parts")))
-    sides = written(pairs.select("a", "part").distinct())
+    pairs = written(few(pairs.join(parts, "a").withColumn("part", F.pmod(F.hash("b"), "parts")), most, 24))
+    sides = written(few(pairs.select("a", "part").distinct(), pairs.count(), 16))
     members = shingle_sets(texts.join(_small(pairs, 48), F.col("doc_id") == F.col("b")).select("a", "part", "b", "text"), settings.width)
     centres = shingle_sets(texts.join(_small(sides, 32), F.col("doc_id") == F.col("a")).select("a", "part", "text"), settings.width)
     both = members.withColumnRenamed("set", "set_b").join(centres.withColumnRenamed("set", "set_a"), ["a", "part"])
@@ -202,7 +202,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFram
     return sized.filter(F.col("shared") * 100 >= F.col("either") * settings.percent).select("a", "b").distinct()
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
+def _buckets(classes: DataFrame, settings: Settings) -> DataFrame:
     """Columns key, id, company: the buckets of two classes or more, each set of members once.
 
     ``company`` counts the classes met in all bands, so it is largest in the middle of a group.
@@ -210,22 +210,25 @@ def _buckets(classes: DataFrame) -> DataFrame:
     rows = classes.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     marks = [F.sum(F.hash("id", F.lit(k)).cast("long")).alias(f"mark{k}") for k in (1, 2)]
     sizes = rows.groupBy("key").agg(F.count("*").alias("members"), *marks).filter("members > 1")
-    sizes = written(sizes)
-    rows = written(rows.join(sizes, "key"))
+    most = classes.count() * settings.bands
+    sizes = written(few(sizes, most // 2, 32))
+    rows = written(few(rows.join(sizes, "key"), most, 40))
+    most = rows.count()
     company = rows.groupBy("id").agg(F.sum("members").alias("company"))
     once = rows.groupBy("members", "mark1", "mark2").agg(F.min("key").alias("key")).select("key")
-    return written(rows.join(once, "key", "left_semi").select("key", "id").join(company, "id"))
+    return written(few(rows.join(once, "key", "left_semi").select("key", "id").join(company, "id"), most, 24))
 
 
-def _neighbours(classes: DataFrame) -> DataFrame:
+def _neighbours(classes: DataFrame, settings: Settings) -> DataFrame:
     """Columns a and b: each bucket's centre with its other members, every pair once.
 
     Two classes that share a bucket are both neighbours of its centre, or one is the centre.
     """
-    buckets = _buckets(classes)
+    buckets = _buckets(classes, settings)
+    most = buckets.count()
     centres = buckets.groupBy("key").agg(F.max_by("id", F.struct("company", "id")).alias("a"))
-    pairs = buckets.join(written(centres), "key").select("a", F.col("id").alias("b"))
-    return written(pairs.filter("a <> b").distinct())
+    pairs = buckets.join(written(few(centres, most, 16)), "key").select("a", F.col("id").alias("b"))
+    return written(few(pairs.filter("a <> b").distinct(), most, 16))
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -254,7 +257,7 @@ def _among_neighbours(docs: DataFrame, classes: DataFrame, neighbours: DataFrame
         .filter("low < high")
         .select("a", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     )
-    members = members.join(written(open_centres), "a")
+    members = members.join(written(few(open_centres, neighbours.count(), 12)), "a")
     members = members.join(classes.select(F.col("doc_id").alias("b"), "sketch"), "b")
     own, other = F.pmod(F.hash("b"), "blocks"), F.col("other")
     dealt = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
@@ -267,7 +270,9 @@ def _among_neighbours(docs: DataFrame, classes: DataFrame, neighbours: DataFrame
         likely = _likely_members(np.stack(group["sketch"].to_numpy()), group["component"].to_numpy(), settings)
         return group.loc[likely, [*key, "b", "component"]]
 
-    near = dealt.groupBy(*key).applyInPandas(meet, f"a {kind}, low int, high int, b {kind}, component {kind}")
+    # By number: these rows are few bytes and much work, and by their bytes few tasks would get them all.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = dealt.repartition(tasks, *key).groupBy(*key).applyInPandas(meet, f"a {kind}, low int, high int, b {kind}, component {kind}")
     near = written(near)
     texts = docs.select("doc_id", "text").join(_small(near.select("b").distinct(), 16), F.col("doc_id") == F.col("b"))
     sets = shingle_sets(texts.select("b", "text"), settings.width)
@@ -321,9 +326,11 @@ def _alike(sets: list[np.ndarray], component: np.ndarray, percent: int, columns:
 
 def links(docs: DataFrame, classes: DataFrame, edges: DataFrame, settings: Settings) -> DataFrame:
     """Columns node and component for the classes (doc_id, bands, sketch) that similarity or ``edges`` (u, v) link."""
-    neighbours = _neighbours(classes)
-    close = confirmed(docs, _likely(neighbours, classes, settings), settings)
-    edges = written(edges.unionByName(close.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    neighbours = _neighbours(classes, settings)
+    most = neighbours.count()
+    close = confirmed(docs, _likely(neighbours, classes, settings), most, settings)
+    most += edges.count()
+    edges = written(few(edges.unionByName(close.select(F.col("a").alias("u"), F.col("b").alias("v"))), most, 16))
     labels = components(edges)
     more = written(_among_neighbours(docs, classes, neighbours, labels, settings))
     return labels if more.isEmpty() else components(edges.unionByName(more))
@@ -342,18 +349,20 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     """
     found = written(signatures(docs, settings))
     usable = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    names = written(usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")))
+    most = found.count()
+    names = written(few(usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")), most, 24))
     several = usable.groupBy("doc_id").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high")).filter("low < high")
     same = (
         usable.join(several.select("doc_id"), "doc_id", "left_semi")
         .join(names, ["set_a", "set_b"])
         .select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     )
-    classes = written(
+    classes = (
         usable.alias("s")
         .join(names.alias("n"), F.expr("s.doc_id = n.rep AND s.set_a = n.set_a AND s.set_b = n.set_b"))
         .select("s.doc_id", "s.bands", "s.sketch")
     )
+    classes = written(few(classes, most, 8 * (settings.bands + BITS * settings.planes + 1)))
     labels = links(docs, classes, written(same), settings)
     return _rows(found, names, labels)
 

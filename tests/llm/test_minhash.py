@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from coldshelf.llm import minhash
+from coldshelf.llm.components import components
 
 
 def plain_estimate(x, y, settings):
@@ -70,3 +71,18 @@ def test_leftovers_are_linked_whatever_their_sketches_signs(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
     assert found == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_few_edges_take_few_files(spark):
+    # A path of 300 nodes over 48 shuffle partitions, which is a file for each without a count of the edges.
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "u long, v long")
+        found = components(edges)
+        assert {r.node: r.component for r in found.collect()} == dict.fromkeys(range(301), 0)
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
