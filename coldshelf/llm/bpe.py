@@ -1,9 +1,11 @@
 """Byte-level BPE: encoding whole texts, and decoding by concatenating vocabulary strings.
 
-A text is cut into pre-tokens, and each distinct pre-token is merged once: its symbols
-form a doubly linked list, a priority queue holds the rank of every adjacent pair, and
-an entry whose symbols have changed since it was queued is skipped. Cutting, finding
-the distinct pre-tokens and putting the ids of all texts together are array operations.
+A text is cut into pre-tokens, and each distinct pre-token of a batch is merged once: its
+symbols form a doubly linked list, and a queue holds the rank of every adjacent pair. The
+lists and queues of pre-tokens of like length stand side by side in arrays, and each step
+takes the least rank of every queue. A long pre-token has a heap of its own, in which an
+entry whose symbols have changed since it was queued is skipped. Cutting, finding the distinct
+pre-tokens and putting the ids of all texts together are array operations too.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from array import array
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -32,6 +33,11 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 LETTER, NUMBER, SPACE, OTHER = range(4)
 #: Texts that are decoded at a time.
 DECODED = 256
+#: Bytes of pre-tokens that are merged side by side, padded to one of these, and cells of such arrays.
+WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 48, 64)
+_CELLS = 1 << 19
+#: In a queue: the bits of a place, and what stands where no pair merges.
+_PLACE, _NEVER = 6, (1 << 31) - 1
 
 
 def load_vocabulary(path: str) -> tuple[dict[str, int], list[tuple[str, str]], dict[str, int]]:
@@ -50,8 +56,9 @@ def byte_strings() -> dict[str, int]:
 
 
 def character_classes() -> np.ndarray:
-    kinds = {"L": LETTER, "N": NUMBER}
-    table = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
+    categories = "".join(map(unicodedata.category, map(chr, range(0x110000))))  # two letters each
+    major = np.frombuffer(categories.encode(), np.uint8)[::2]
+    table = np.where(major == ord("L"), LETTER, np.where(major == ord("N"), NUMBER, OTHER)).astype(np.uint8)
     table[[ord(c) for c in WHITE_SPACE]] = SPACE
     return table
 
@@ -104,9 +111,9 @@ def _contract(points, kind, edge, blank, quote, starts) -> None:
 
 
 class Bpe:
-    """One vocabulary, with a bounded memory of merged pre-tokens."""
+    """One vocabulary."""
 
-    def __init__(self, vocabulary, merges, special, remembered: int = 300_000):
+    def __init__(self, vocabulary, merges, special):
         self.special = special
         single = byte_strings()
         self.byte_ids = [0] * 256
@@ -121,8 +128,6 @@ class Bpe:
         self.id_type = np.dtype(self.code)
         self.strings = _table([strings.get(i, b"") for i in range(size)])
         self.decimals = _table([b"%d," % i for i in range(size)])
-        self.remembered = remembered
-        self.new, self.old = {}, {}
 
     @cached_property
     def ranks(self) -> dict[tuple[int, int], tuple[int, int]]:
@@ -130,9 +135,16 @@ class Bpe:
         vocabulary, merges = self._merges
         return {(vocabulary[a], vocabulary[b]): (r, vocabulary[a + b]) for r, (a, b) in enumerate(merges)}
 
+    @cached_property
+    def pairs(self) -> "Pairs":
+        return Pairs(self.ranks, self.size).set_bytes(self.byte_ids)
+
     def merge(self, pretoken: str) -> list[int]:
         """The ids of one pre-token."""
-        symbol = [self.byte_ids[b] for b in pretoken.encode()]
+        return self._merge(pretoken.encode())
+
+    def _merge(self, pretoken: bytes) -> list[int]:
+        symbol = [self.byte_ids[b] for b in pretoken]
         size = len(symbol)
         ranks = self.ranks
         queue = []
@@ -163,22 +175,77 @@ class Bpe:
                     heapq.heappush(queue, (found[0], lead, symbol[lead], both, found[1]))
         return [s for s in symbol if s >= 0]
 
-    def merge_all(self, pretokens: list[str]) -> list[list[int]]:
-        return list(map(self.merge, pretokens))
-
-    def _known(self, pretokens: list[str]) -> list[bytes]:
-        """Ids of distinct pre-tokens as bytes. Two generations keep the memory of them bounded."""
-        new, old = self.new, self.old
-        found = [new.get(p) or old.get(p) for p in pretokens]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(missing, self.merge_all([pretokens[i] for i in missing])):
-            found[i] = array(self.code, ids).tobytes()
-        for pretoken, ids in zip(pretokens, found):
-            if len(pretoken) <= 64:
-                new[pretoken] = ids
-        if len(new) >= self.remembered // 2:
-            self.new, self.old = {}, new
-        return found
+    def merge_all(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some pre-tokens, given as ranges of bytes, one after the other, and the number of each one's."""
+        parts = []
+        low = 0
+        for width in WIDTHS:
+            rows = np.flatnonzero((size > low) & (size <= width))
+            step = _CELLS // width
+            for at in range(0, len(rows), step):
+                some = rows[at : at + step]
+                parts.append((some, *self._side_by_side(data, begin[some], size[some], width)))
+            low = width
+        rows = np.flatnonzero(size > low)
+        if len(rows):
+            found = [self._merge(data[begin[i] : begin[i] + size[i]].tobytes()) for i in rows]
+            parts.append((rows, np.concatenate([np.array(f, np.int32) for f in found]), np.array([len(f) for f in found])))
+        each = np.zeros(len(size), np.int64)
+        for rows, _, count in parts:
+            each[rows] = count
+        start = np.cumsum(each) - each
+        out = np.empty(int(each.sum()), self.id_type)
+        for rows, ids, count in parts:
+            out[spans(start[rows], count)] = ids
+        return out, each
+
+    def _side_by_side(self, data, begin, size, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Merges pre-tokens of up to ``width`` bytes, a column each; a row of no symbols stands below."""
+        pairs, count = self.pairs, len(size)
+        place = np.arange(width + 1)[:, None]
+        inside = place < size
+        raw = data[np.minimum(begin + place, len(data) - 1)]
+        symbol = np.where(inside, np.array(self.byte_ids, np.int32)[raw], np.int32(-1))
+        after = np.repeat((place + 1).astype(np.int8), count, axis=1)
+        before = np.repeat((place - 1).astype(np.int8), count, axis=1)
+        queue = np.full((width + 1, count), _NEVER, np.int32)
+        rank = pairs.of_bytes[raw[:-1].astype(np.int32) << 8 | raw[1:]]
+        queue[:-1] = np.where(inside[1:] & (rank != _NEVER), rank << _PLACE | place[:-1].astype(np.int32), _NEVER)
+        column = np.arange(count)
+        while True:
+            least = queue.min(axis=0)
+            live = np.flatnonzero(least != _NEVER)
+            if not len(live):
+                break
+            if 2 * len(live) < len(column):
+                queue, column, least = np.ascontiguousarray(queue[:, live]), column[live], least[live]
+                live = np.arange(len(column))
+            own, least = column[live], least[live]
+            i = least & ((1 << _PLACE) - 1)
+            both = pairs.made[least >> _PLACE]
+            j = after[i, own]
+            follow = after[j, own]
+            symbol[i, own], symbol[j, own] = both, -1
+            after[i, own], before[follow, own] = follow, i
+            lead = before[i, own]
+            queue[j, live] = _NEVER
+            queue[i, live] = pairs.queued(both, symbol[follow, own], i)
+            # Before the first symbol stands the row below all, which is in no pair.
+            queue[lead, live] = pairs.queued(symbol[lead, own], both, lead)
+        rest = symbol.T
+        kept = rest >= 0
+        return rest[kept], kept.sum(axis=1)
+
+    def merged(self, joined: str, points: np.ndarray, begin: np.ndarray, size: np.ndarray):
+        """Ids of the distinct pre-tokens of a text, one after the other, the number of each one's, and
+        which of them each pre-token is; the text also as code points, the pre-tokens as ranges of them."""
+        _, where, which = np.unique(range_hashes(points, begin, begin + size), return_index=True, return_inverse=True)
+        # Where each code point's bytes begin.
+        wide = (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
+        byte = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(wide + np.int8(1), out=byte[1:])
+        first, last = byte[begin[where]], byte[begin[where] + size[where]]
+        return *self.merge_all(np.frombuffer(joined.encode(), np.uint8), first, last - first), which
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the bounds of the texts in them."""
@@ -193,12 +260,8 @@ class Bpe:
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         begin = pretoken_starts(points, bounds) if len(points) else np.zeros(0, np.int64)
         size = np.diff(np.append(begin, len(points)))
-        _, where, which = np.unique(range_hashes(points, begin, begin + size), return_index=True, return_inverse=True)
-        known = self._known([joined[a : a + n] for a, n in zip(begin[where].tolist(), size[where].tolist())])
-        width = self.id_type.itemsize
-        known_size = np.fromiter(map(len, known), np.int64, len(known)) // width
+        known_ids, known_size, which = self.merged(joined, points, begin, size)
         known_start = np.cumsum(known_size) - known_size
-        known_ids = np.frombuffer(b"".join(known), self.id_type)
         each = known_size[which]
         ids = known_ids[spans(known_start[which], each)]
         # The first id of every part; a special string is a part of no length with one id.
@@ -240,6 +303,63 @@ class Bpe:
         return self.gathered(self.strings, np.asarray(ids, np.int64))[0].tobytes().decode("utf-8", "replace")
 
 
+class Pairs:
+    """Ranks of pairs of ids, looked up for many pairs at once, and the id that each rank makes."""
+
+    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]], size: int):
+        pair = np.array(list(ranks), np.int64).reshape(-1, 2)
+        found = np.array(list(ranks.values()), np.int64).reshape(-1, 2)
+        if len(found) and int(found[:, 0].max()) >= _NEVER >> _PLACE:
+            raise ValueError("more merges than a queue can hold")
+        self._size = size + 1
+        self._bits = max(8, (4 * len(pair)).bit_length())
+        self._mask = (1 << self._bits) - 1
+        self._keys = np.full(1 << self._bits, -1, np.int64)
+        self._ranks = np.full(1 << self._bits, _NEVER, np.int32)
+        self.made = np.zeros(int(found[:, 0].max()) + 1 if len(found) else 1, np.int32)
+        self.made[found[:, 0]] = found[:, 1]
+        keys = self._key(pair[:, 0], pair[:, 1])
+        rank, place = found[:, 0], self._home(keys)
+        while len(keys):  # what finds its place taken goes on to the next
+            self._keys[place] = np.where(self._keys[place] < 0, keys, self._keys[place])
+            done = self._keys[place] == keys
+            self._ranks[place[done]] = rank[done]
+            keys, rank, place = keys[~done], rank[~done], (place[~done] + 1) & self._mask
+
+    def set_bytes(self, byte_ids: list[int]) -> "Pairs":
+        """Also keeps the rank of every two bytes."""
+        ids = np.array(byte_ids, np.int64)
+        self.of_bytes = self.rank(np.repeat(ids, 256), np.tile(ids, 256))
+        return self
+
+    def _key(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        # No symbol is -1, and no pair that merges has the key of a pair with one.
+        return (left.astype(np.int64) + 1) * self._size + (right + 1)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or ``_NEVER``."""
+        keys = self._key(left, right)
+        place = self._home(keys)
+        seen = self._keys[place]
+        out = np.where(seen == keys, self._ranks[place], _NEVER)
+        rest = np.flatnonzero((seen != keys) & (seen >= 0))
+        while len(rest):
+            place[rest] = (place[rest] + 1) & self._mask
+            seen = self._keys[place[rest]]
+            hit = seen == keys[rest]
+            out[rest[hit]] = self._ranks[place[rest[hit]]]
+            rest = rest[~hit & (seen >= 0)]
+        return out
+
+    def queued(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """What a queue holds for pairs at some places."""
+        rank = self.rank(left, right)
+        return np.where(rank != _NEVER, rank << _PLACE | place, _NEVER)
+
+
 def _table(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     begin = np.concatenate(([0], np.cumsum([len(s) for s in strings])))
     return np.frombuffer(b"".join(strings), np.uint8), begin

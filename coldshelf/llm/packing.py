@@ -17,7 +17,6 @@ stretch of that queue holds its sources in proportion, however many there are.
 from __future__ import annotations
 
 import os
-from array import array
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 from coldshelf.llm.bpe import WHITE_SPACE, Bpe, broadcast_vocabulary, byte_strings, pretoken_starts, worker_bpe
 from coldshelf.llm.cluster import extended, lean, ship, written
-from coldshelf.llm.textops import flat, pieces, range_hashes, spans
+from coldshelf.llm.textops import flat, pieces, spans
 
 WINDOW = 2048
 END_ID = 1
@@ -44,6 +43,8 @@ _CELLS = 1 << 20
 _ROWS = 512
 #: Bytes of texts that are encoded at a time.
 _ENCODED = 1 << 22
+#: Pre-tokens that go to the tokenizers library in one call.
+_MERGED = 1 << 16
 
 
 #: Bytes before which a blank begins a new pre-token for sure: none that begin white space.
@@ -54,53 +55,39 @@ _SOLID[[sign.encode()[0] for sign in WHITE_SPACE]] = False
 class LibraryBpe(Bpe):
     """The same ids, for a column of texts at a time.
 
-    Texts are cut at their blanks, each distinct stretch of a batch is looked at once, and all
-    new pre-tokens are merged by one call of the tokenizers library.
+    Texts are cut at their blanks, each distinct stretch of a batch is looked at once, and its
+    distinct pre-tokens are merged by the tokenizers library, many in one call.
     """
 
     def __init__(self, vocabulary, merges, special):
         super().__init__(vocabulary, merges, special)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer, models
-
-        self._library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges))
-        signs = {byte: sign for sign, byte in byte_strings().items()}
-        self._signs = {byte: sign for byte, sign in signs.items() if byte}
-        # A zero byte as a pre-token of its own stands between the others.
-        self._zero, self._between = vocabulary[signs[0]], signs[0]
-
-    def _known(self, pretokens: list[str]) -> list[bytes]:
-        new, old = self.new, self.old
-        found = list(map(new.get, pretokens))
-        absent = [i for i, ids in enumerate(found) if ids is None]
-        missing = []
-        for i in absent:
-            ids = found[i] = old.get(pretokens[i])
-            if ids is None:
-                missing.append(i)
-        for i, ids in zip(missing, self._merged([pretokens[i] for i in missing])):
-            found[i] = ids
-        new.update((pretokens[i], found[i]) for i in absent if len(pretokens[i]) <= 64)
-        if len(new) >= self.remembered // 2:
-            self.new, self.old = {}, new
-        return found
-
-    def _merged(self, pretokens: list[str]) -> list[bytes]:
-        """Ids of some pre-tokens, as bytes; one that holds a zero byte is merged by itself."""
-        plain = [p for p in pretokens if "\0" not in p]
-        if len(plain) < len(pretokens):
-            rest = iter(self._merged(plain))
-            return [next(rest) if "\0" not in p else array(self.code, self.merge(p)).tobytes() for p in pretokens]
-        if not pretokens:
-            return []
-        joined = "\0".join(pretokens).encode().decode("latin-1").translate(self._signs)
-        parts = joined.replace("\0", f"\0{self._between}\0").split("\0")
-        encoding = self._library.encode_batch_fast([parts], is_pretokenized=True, add_special_tokens=False)[0]
-        ids = np.array(encoding.ids, self.id_type)
-        ends = np.flatnonzero(ids == self._zero) * self.id_type.itemsize
-        data = ids.tobytes()
-        begins = [0, *(ends + self.id_type.itemsize).tolist()]
-        return [data[a:b] for a, b in zip(begins, [*ends.tolist(), len(data)])]
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        # All are distinct, so the library's own memory of words would find none.
+        self._library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, cache_capacity=0))
+        self._library.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\0")
+        # The code points that stand for bytes; none is 0, which divides what the library is given.
+        self._signs = np.zeros(256, np.uint32)
+        for sign, byte in byte_strings().items():
+            self._signs[byte] = ord(sign)
+        self._bytes = np.diff(self.strings[1])
+
+    def merge_all(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts, each = [np.zeros(0, self.id_type)], [np.zeros(0, np.int64)]
+        for low in range(0, len(begin), _MERGED):
+            some = size[low : low + _MERGED]
+            count = int(some.sum())
+            points = np.zeros(count + len(some) - 1, np.uint32)
+            place = np.arange(count) + np.repeat(np.arange(len(some)), some)
+            points[place] = self._signs[data[spans(begin[low : low + _MERGED], some)]]
+            joined = points.tobytes().decode("utf-32-le")
+            ids = np.array(self._library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.id_type)
+            # A pre-token's ids are those whose bytes end in it.
+            ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(some)) + 1
+            parts.append(ids)
+            each.append(np.diff(ends, prepend=0))
+        return np.concatenate(parts), np.concatenate(each)
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the bounds of the texts in them; none of a null."""
@@ -143,11 +130,9 @@ class LibraryBpe(Bpe):
             return np.zeros(0, self.id_type), np.zeros(len(stretches) + 1, np.int64)
         begin = pretoken_starts(points, bounds)
         size = np.diff(np.append(begin, len(points)))
-        _, where, which = np.unique(range_hashes(points, begin, begin + size), return_index=True, return_inverse=True)
-        known = self._known([joined[a : a + n] for a, n in zip(begin[where].tolist(), size[where].tolist())])
-        each = np.fromiter(map(len, known), np.int64, len(known)) // self.id_type.itemsize
+        known, each, which = self.merged(joined, points, begin, size)
         start = np.cumsum(each) - each
-        ids = np.frombuffer(b"".join(known), self.id_type)[spans(start[which], each[which])]
+        ids = known[spans(start[which], each[which])]
         done = np.concatenate(([0], np.cumsum(each[which])))
         return ids, done[np.searchsorted(begin, bounds)]
 
