@@ -143,3 +143,22 @@ def test_pretokens_with_zero_bytes():
     own, library, _ = ENCODERS
     texts = ["a\0b \0\0 c", "\0", "plain words, and Ā too", "", "日本 🙂\0"]
     assert own.encode(texts)[0].tolist() == library.encode(texts)[0].tolist()
+
+
+def test_pretokens_reach_the_library_in_bounded_calls(monkeypatch):
+    texts = ["a b\0c \0 d\0", "é" * 50 + " 日本", None, "", "hello's world  \n\n x"] * 3 + ["".join(chr(97 + i % 7) for i in range(k)) for k in range(90)]
+    own, library, _ = ENCODERS
+    ids, bounds = own.encode(texts)
+    monkeypatch.setattr(packing, "_MERGED", 5)
+    calls = []
+
+    class Counted:
+        def encode_batch_fast(self, parts, **options):
+            calls.append(parts[0].count("\0"))
+            return inner.encode_batch_fast(parts, **options)
+
+    inner = library._library
+    monkeypatch.setattr(library, "_library", Counted())
+    found, edges = library.encode_column(pa.array(texts, pa.string()))
+    assert found.tolist() == ids.tolist() and list(edges) == list(bounds)
+    assert len(calls) > 10 and max(calls) < 5
