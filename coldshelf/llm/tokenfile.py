@@ -44,6 +44,8 @@ FILE_TOKENS = 1 << 23
 READ_TOKENS, READ_DOCUMENTS = 1 << 20, 1 << 13
 #: Bytes of texts that are encoded at a time.
 ENCODED = 1 << 23
+#: Words that go to the library's merges in one call.
+MERGED = 1 << 16
 #: Words whose ids a worker remembers, and their longest.
 REMEMBERED, LONGEST = 300_000, 64
 
@@ -204,12 +206,12 @@ class WordIds:
     Nothing reaches across a blank of ASCII, so the ids of a text are those of its words, and
     each distinct word of a batch is looked at once; a worker remembers words, in bounded
     number. New words of plain signs are cut into their parts here and go to the library's
-    merges in one call, with line ends between them; all others go through the whole library.
+    merges, many in one call; all others go through the whole library.
     """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self._library = Tokenizer.from_str(spec)
         self._library.no_truncation()
@@ -218,11 +220,14 @@ class WordIds:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         suffix = model["end_of_word_suffix"]
         self._merges = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=suffix))
+        self._merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\0")
         if not all("<|" in t["content"] for t in json.loads(spec)["added_tokens"]):
             raise ValueError("special strings are expected to hold <|")
         signs = {byte: sign for sign, byte in byte_strings().items()}
-        self._line_end = model["vocab"][signs[10] + suffix]
-        self._signs = {byte: sign for byte, sign in signs.items() if byte}  # a zero byte stands between parts
+        self._bytes = np.zeros(max(model["vocab"].values()) + 1, np.int64)
+        for string, number in model["vocab"].items():
+            self._bytes[number] = len(string.removesuffix(suffix))
+        self._signs = {byte: sign for byte, sign in signs.items() if byte}
         most = max(self._library.get_vocab(with_added_tokens=True).values(), default=0)
         self.type = np.dtype("<u2" if most < 1 << 16 else "<u4")
         self._new: dict[str, bytes] = {"": b""}
@@ -232,7 +237,7 @@ class WordIds:
         """Ids of all texts, one after the other, and the number of each text's; none of a null."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         words = lists.flatten().dictionary_encode()
-        found = self._ids(words.dictionary.to_pylist())
+        found = self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         each = np.fromiter(map(len, found), np.int64, len(found)) // self.type.itemsize
         start = np.cumsum(each) - each
         which = words.indices.to_numpy(zero_copy_only=False)
@@ -262,19 +267,22 @@ class WordIds:
         return found
 
     def _merged(self, words: list[str]) -> list[bytes]:
-        """Ids of words of plain signs, all in one call."""
-        if not words:
-            return []
-        parts = _PARTS.findall("\n".join(words).lower())
-        # The vocabulary is written in signs that stand for bytes.
-        parts = "\0".join(parts).encode().decode("latin-1").translate(self._signs).split("\0")
-        encoding = self._merges.encode_batch_fast([parts], is_pretokenized=True, add_special_tokens=False)[0]
-        ids = np.array(encoding.ids, self.type)
-        ends = np.flatnonzero(ids == self._line_end)
-        edges = np.concatenate(([0], ends + 1)) * self.type.itemsize
-        stops = np.append(ends, len(ids)) * self.type.itemsize
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip(edges.tolist(), stops.tolist())]
+        """Ids of words of plain signs, many in one call."""
+        found = []
+        for low in range(0, len(words), MERGED):
+            lines = "\n".join(words[low : low + MERGED]).lower()
+            # The vocabulary is written in signs that stand for bytes; a zero byte stands between parts.
+            parts = "\0".join(_PARTS.findall(lines)).replace("\0\n\0", "\0")
+            parts = parts.encode().decode("latin-1").translate(self._signs)
+            encoding = self._merges.encode_batch_fast([parts], add_special_tokens=False)[0]
+            ids = np.array(encoding.ids, self.type)
+            # A word's ids are those whose bytes end in it.
+            breaks = np.flatnonzero(np.frombuffer(lines.encode() + b"\n", np.uint8) == 10)
+            last = np.searchsorted(np.cumsum(self._bytes[ids]), breaks - np.arange(len(breaks))) + 1
+            stops = (last * self.type.itemsize).tolist()
+            data = ids.tobytes()
+            found += [data[a:b] for a, b in zip([0, *stops], stops)]
+        return found
 
 
 _WORKER: dict[str, WordIds] = {}

@@ -112,3 +112,13 @@ def test_only_files_of_the_format_are_opened(tmp_path):
         tokenfile.opened(str(tmp_path / "x"))
     with pytest.raises((pa.ArrowInvalid, OSError)):
         tokenfile.opened(str(tmp_path / "missing"))
+
+
+def test_words_reach_the_merges_in_bounded_calls(words, library, monkeypatch):
+    monkeypatch.setattr(tokenfile, "MERGED", 3)
+    words._new, words._old = {"": b""}, {}
+    texts = ["It's 12a-b, ÉTÉ straße!", "x" * 70, "<|x we'll ĿŀĦ ſo", None, " \n", "don't can't 'd's a1b2c3 ..."] * 2
+    ids, size = words.encode(pa.array(texts))
+    ends = np.cumsum(size)
+    got = [ids[e - n : e].tolist() for e, n in zip(ends, size)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
