@@ -41,10 +41,11 @@ _SHIFT = 32
 #: Rounds and queues that are looked at together, by their product.
 _CELLS = 1 << 20
 _ROWS = 512
-#: Bytes of texts that are encoded at a time.
-_ENCODED = 1 << 22
+#: Rows of texts that a worker is handed at a time, and bytes of them that are encoded at a time.
+_HANDED = 2048
+_ENCODED = 1 << 21
 #: Pre-tokens that go to the tokenizers library in one call.
-_MERGED = 1 << 16
+_MERGED = 1 << 14
 
 
 #: Bytes before which a blank begins a new pre-token for sure: none that begin white space.
@@ -293,7 +294,7 @@ def pack(
     name; an empty table gives no rows; other columns are left out.
     """
     spark = docs.sparkSession
-    tokens = written(tokenised(docs, path, end_id))
+    tokens = written(tokenised(docs, path, end_id), handed=_HANDED)
     by_part = written(tokens.groupBy("source", "part").agg(F.sum("n_tokens").alias("tokens")))
     named = by_part.groupBy("source").agg(F.sum("tokens").alias("tokens"))
     if mixture is not None:

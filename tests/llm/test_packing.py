@@ -2,6 +2,9 @@
 
 import collections
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,7 @@ from tokenizers import Tokenizer
 
 from coldshelf.llm import packing
 from coldshelf.llm.bpe import Bpe, load_vocabulary
+from coldshelf.llm.cluster import written
 from coldshelf.llm.queries import vocabulary_path
 
 ENCODERS = [kind(*load_vocabulary(vocabulary_path())) for kind in (Bpe, packing.LibraryBpe)] + [Tokenizer.from_file(vocabulary_path())]
@@ -162,3 +166,59 @@ def test_pretokens_reach_the_library_in_bounded_calls(monkeypatch):
     found, edges = library.encode_column(pa.array(texts, pa.string()))
     assert found.tolist() == ids.tolist() and list(edges) == list(bounds)
     assert len(calls) > 10 and max(calls) < 5
+
+
+ENCODES = """
+import random, pyarrow as pa
+from coldshelf.llm import packing
+from coldshelf.llm.bpe import load_vocabulary
+from coldshelf.llm.queries import vocabulary_path
+def mb(key):
+    return next(int(line.split()[1]) >> 10 for line in open("/proc/self/status") if line.startswith(key))
+bpe, rng = packing.LibraryBpe(*load_vocabulary(vocabulary_path())), random.Random(3)
+words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(60000)]
+texts = pa.array([" ".join(rng.choices(words, k=500)) for _ in range(3000)])
+bpe.encode(["start"])
+open("/proc/self/clear_refs", "w").write("5")
+base = mb("VmRSS")
+for low, high in packing.pieces(texts, packing._ENCODED):
+    bpe.encode_column(texts.slice(low, high - low))
+print(mb("VmHWM") - base)
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/clear_refs").exists(), reason="peak memory is read from Linux")
+def test_a_worker_encodes_in_little_memory():
+    root = str(Path(packing.__file__).parents[2])
+    found = subprocess.run([sys.executable, "-c", ENCODES], cwd=root, capture_output=True, text=True, check=True)
+    assert int(found.stdout) < 50
+
+
+def test_a_worker_is_handed_few_rows_at_a_time(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rows = spark.range(0, 5000, 1, 1).mapInArrow(run, "n long")
+    assert sorted(r.n for r in written(rows, handed=2048).collect()) == [904, 2048, 2048]
+    assert spark.conf.get(key) == before
+    try:
+        spark.conf.set(key, "1000")
+        assert {r.n for r in written(rows, handed=2048).collect()} == {1000}
+        spark.conf.set(key, "0")  # no limit
+        assert max(r.n for r in written(rows, handed=2048).collect()) == 2048
+        assert spark.conf.get(key) == "0"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_packing_is_handed_bounded_batches(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(packing, "written", lambda df, **options: asked.append(options) or written(df, **options))
+    docs = spark.createDataFrame([(i, "a", f"text {i}") for i in range(50)], "doc_id long, source string, text string")
+    usual = sorted(map(tuple, packing.pack(docs, vocabulary_path()).collect()))
+    assert asked[0] == {"handed": packing._HANDED}
+    monkeypatch.setattr(packing, "_HANDED", 3)
+    assert sorted(map(tuple, packing.pack(docs, vocabulary_path()).collect())) == usual
