@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from dataclasses import replace
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from coldshelf.sources.jdbc import (
     scan_table,
 )
 from compare import spark_rows
-from workload.data import load, load_catalog
+from workload.data import embedded, load, load_catalog
 
 
 def check_split(spark, source, relation, key, rows, step):
@@ -265,3 +266,10 @@ def test_resolve_connection():
         resolve_connection(inline, {"U": "me"})
     with pytest.raises(ValueError, match="jdbc_url"):
         resolve_connection({"username": "a"})
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,2,3000]", "spark://host:7077", "yarn"])
+def test_embedded_database_is_refused_where_executors_are_other_processes(master):
+    session = SimpleNamespace(sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(RuntimeError, match="spark.coldshelf.source.url"):
+        embedded(session, "any")
