@@ -1,6 +1,7 @@
 """The count filter, and scores against a plain probe of the same bits."""
 
 import math
+import zlib
 
 import duckdb
 import numpy as np
@@ -108,3 +109,38 @@ def test_keys_pack():
     keys = np.array([0, 1, (1 << 40) - 1, 123_456_789_012], np.uint64)
     assert len(ngram_lm._packed(keys)) == 20
     assert (ngram_lm._unpacked(ngram_lm._packed(keys)) == keys).all()
+
+
+def grams_of(text):
+    """The pairs and single words of a text, ends included, with its begin."""
+    words = Words(*flat(pa.array([text]))).hash.view(np.int64)
+    before, now = np.array([-2, *words]), np.array([*words, -1])
+    return ngram_lm._bigrams(before, now), ngram_lm._singles(np.array([-2, *words, -1]))
+
+
+def test_the_model_holds_what_is_seen_once(spark):
+    learned = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10][:2]
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    words = [f"w{i}" for i in range(2000)]
+    # Every word of the first text is seen once, and every pair; the second repeats one word.
+    texts = [" ".join(words), "often " * 500, "w7 w8 w9", "w7 w9 w8"]
+    docs = spark.createDataFrame(list(zip([*learned, *held], texts)), "doc_id long, text string")
+    model = ngram_lm.learn(docs)
+    bits = model.bits()
+    for grams in grams_of(texts[0]):
+        assert (bits.levels(*ngram_lm._keys(grams, model.segments)) >= 1).all()
+    for size in (ngram_lm.BROADCAST_BYTES, 0):  # the bits at hand, or asked by a join
+        found = {r.doc_id: r for r in ngram_lm.scored(docs, model, size).collect()}
+        assert found[held[0]].n_known == found[held[1]].n_known == 4
+        # The first holds two pairs that were seen once, the second none.
+        assert found[held[0]].score > found[held[1]].score + 1
+
+
+def test_a_model_of_words_seen_once_holds_their_counts(spark):
+    learned = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10)
+    docs = spark.createDataFrame([(learned, "one two three"), (None, None)], "doc_id long, text string")
+    model = ngram_lm.learn(docs)
+    assert model.size > 0
+    for grams in grams_of("one two three"):
+        level = model.bits().levels(*ngram_lm._keys(grams, model.segments))
+        assert (ngram_lm._estimates(level) >= 1).all()
